@@ -18,7 +18,7 @@ MIN_TEXT_TOKENS = 20
 MAX_SPAN_TOKENS = 32
 MAX_SEQUENCE = 512
 
-PLAIN_TOKEN = rf"[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}{T.BLANK_CHARS}]"
+PLAIN_TOKEN = r"(?U)[\p{L}\p{N}]+|\S"
 
 
 def label_overlap(df: DataFrame, key: str, rule: str = "clean") -> DataFrame:
@@ -115,7 +115,7 @@ def depth_vs_baseline(df: DataFrame, threshold: float = SHALLOW) -> DataFrame:
 
 def plain_text_length(text: Column) -> Column:
     """Default token length: alphanumeric runs and single other marks."""
-    return F.coalesce(F.regexp_count(text, F.lit(PLAIN_TOKEN)), F.lit(0))
+    return F.coalesce(F.regexp_count(T.spaced(text), F.lit(PLAIN_TOKEN)), F.lit(0))
 
 
 def plain_label_lengths(labels: Column) -> Column:

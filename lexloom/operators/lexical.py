@@ -146,7 +146,7 @@ def text_quality(df: DataFrame) -> DataFrame:
             "_words": T.count_words(text),
             "_sentences": T.count_sentences(text),
             "_chars": F.greatest(chars, F.lit(1)),
-            "_in_words": T.length_without(text, T.BLANK + "+"),
+            "_in_words": T.length_without(T.spaced(text), T.BLANK_RUN),
             "_punct": chars - T.length_without(text, T.PUNCTUATION + "+"),
             "_upper": chars - T.length_without(text, T.UPPER + "+"),
             "_digits": chars - T.length_without(text, f"[{T.DIGIT}]+"),
