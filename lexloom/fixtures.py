@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexloom.functions import text as T
 from lexloom.functions.columns import no_strings
+from lexloom.session import work_dir
 from lexloom.sources.corpus import read_articles
 
 HELDOUT_RATIO = 0.02
 SEED = 42
 LEFT, RIGHT = "local_new", "hf_published"
 
+_written: dict[tuple[str, str], str] = {}
+
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     names = columns or ("doc_id", "text", "lang", "source")
@@ -29,6 +32,16 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E, written once per session and folder so that queries scan a table as they would in use."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _written:
+        path = work_dir(spark, "examples-table")
+        derive_examples(spark, sf_dir).write.parquet(path)
+        _written[at] = path
+    return spark.read.parquet(_written[at])
+
+
+def derive_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E(doc_id, bundle_id, text, language_level, genre, model, origin, labels, not_labels)."""
     d = documents(spark, sf_dir).withColumn("tok", T.tokens(F.col("text")))
     key = F.col("doc_id")
@@ -57,14 +70,8 @@ def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns of `examples` that need no label, for text-only operators."""
-    key = F.col("doc_id")
-    return documents(spark, sf_dir).select(
-        "doc_id",
-        "text",
-        F.col("source").alias("genre"),
-        F.when(key % 3 == 0, LEFT).otherwise(RIGHT).alias("origin"),
-    )
+    """The columns of `examples` that text-only operators read."""
+    return examples(spark, sf_dir).select("doc_id", "text", "genre", "origin")
 
 
 def replies(spark: SparkSession, sf_dir: str) -> DataFrame:

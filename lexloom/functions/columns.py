@@ -35,8 +35,13 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def text_key(column: Column | str) -> Column:
-    """32-byte digest of a text: a short, exact grouping key for long texts."""
-    return F.unhex(F.sha2(F.col(column) if isinstance(column, str) else column, 256))
+    """32-byte digest of a text: a short, exact grouping key for long texts.
+
+    Never null (a missing text gets the empty key), so joins on it add no null
+    filters that would digest every text twice.
+    """
+    text = F.col(column) if isinstance(column, str) else column
+    return F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b""))
 
 
 def long_sum(column: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lexloom.functions import text as T
 from lexloom.functions.columns import count_if, percent, text_key
@@ -68,31 +68,46 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
     Equal values are counted first, so only distinct values are shuffled and read
     again; continuous columns take their quartiles from distributed running counts.
     """
-    integral = all_integral(df, cols)
-    counts = value_counts_long(df, cols, by)
-    if not integral:
-        counts = materialise(counts)
     keys = [*by, "metric"]
+    counts = value_counts_long(df, cols, by)
+    if all_integral(df, cols):
+        return _describe_lengths(counts, keys)
+    counts = materialise(counts)
+    n, v = F.col("n"), F.col("value")
     basic = counts.groupBy(*keys).agg(
-        F.sum("n").alias("count"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+        F.sum("n").alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")
     )
-    spread = (
-        null_safe_join(counts, basic.select(*keys, "mean"), keys)
-        .groupBy(*keys)
-        .agg(
-            F.sum("n").alias("_n"),
-            F.sum(F.col("n") * (F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean"))).alias("_ss"),
-        )
-        .select(*keys, F.when(F.col("_n") > 1, F.sqrt(F.col("_ss") / (F.col("_n") - 1))).alias("std"))
+    off = v - F.col("mean")
+    spread = null_safe_join(counts, basic.select(*keys, "mean"), keys).groupBy(*keys).agg(
+        _deviation(F.sum(n * off * off), F.sum(n)).alias("std")
     )
-    quartiles = weighted_percentiles(counts, (0.25, 0.5, 0.75), keys, integral)
+    quartiles = weighted_percentiles(counts, (0.25, 0.5, 0.75), keys)
     joined = null_safe_join(null_safe_join(basic, spread, keys), quartiles, keys)
     return joined.select(
-        *keys, "count", "mean", "std", "min",
-        F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max",
+        *keys, "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
+        F.col("q2").alias("p75"), "max",
+    )
+
+
+def _deviation(squares: Column, n: Column) -> Column:
+    return F.when(n > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (n - 1)))
+
+
+def _describe_lengths(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Integer columns have few distinct values, so one aggregate per group holds them all."""
+    n, v = F.col("n"), F.col("value")
+    squares = F.sum(v * v * n) - F.sum(v * n) * F.sum(v * n) / F.sum(n)
+    out = counts.groupBy(*keys).agg(
+        F.sum(n).alias("count"),
+        (F.sum(v * n) / F.sum(n)).alias("mean"),
+        _deviation(squares, F.sum(n)).alias("std"),
+        F.min(v).alias("min"),
+        F.percentile(v, [0.25, 0.5, 0.75], n).alias("_q"),
+        F.max(v).alias("max"),
+    )
+    return out.select(
+        *keys, "count", "mean", "std", "min", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
+        F.col("_q")[2].alias("p75"), "max",
     )
 
 
@@ -122,29 +137,26 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) ->
     Equal values are counted once; range, bins and totals come from those counts.
     """
     by = list(by)
-    counts = (
-        df.select(*by, F.col(column).cast("double").alias("value"))
+    every = df if by else df.withColumn("_all", F.lit(1))
+    keys = by or ["_all"]
+    counts = materialise(
+        every.select(*keys, F.col(column).cast("double").alias("value"))
         .where(F.col("value").isNotNull())
-        .groupBy(*by, "value")
+        .groupBy(*keys, "value")
         .agg(F.count("*").alias("n"))
     )
-    ends = counts.groupBy(*by).agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("total"))
-    flat = F.col("lo") == F.col("hi")
-    ends = ends.where(F.col("total") > 0).withColumns(
-        {
-            "lo": F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")),
-            "hi": F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")),
-        }
+    low, high = F.min("value"), F.max("value")
+    ends = counts.groupBy(*keys).agg(
+        F.when(low == high, low - 0.5).otherwise(low).alias("lo"),
+        F.when(low == high, high + 0.5).otherwise(high).alias("hi"),
+        F.sum("n").alias("total"),
     )
-    if by:
-        placed = null_safe_join(counts, ends, by)
-    else:
-        placed = counts.withColumns({c: ends.select(c).scalar() for c in ("lo", "hi")})
+    placed = null_safe_join(counts, ends, keys)
     width = (F.col("hi") - F.col("lo")) / bins
     at = F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
-    filled = placed.groupBy(*by, at.alias("bin")).agg(F.sum("n").alias("n"))
-    grid = ends.select(*by, "lo", "hi", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return null_safe_join(grid, filled, [*by, "bin"], "left").select(
+    filled = placed.groupBy(*keys, at.alias("bin")).agg(F.sum("n").alias("n"))
+    grid = ends.select(*keys, "lo", "hi", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return null_safe_join(grid, filled, [*keys, "bin"], "left").select(
         *by,
         "bin",
         (F.col("lo") + F.col("bin") * width).alias("left_edge"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexloom.functions.columns import count_if, long_sum, percent, ratio
 from lexloom.functions.text import count_words
 from lexloom.operators.curate import labels_with_role
-from lexloom.operators.scan import null_safe_join
+from lexloom.operators.scan import join_vocabulary
 
 
 def label_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -155,7 +155,7 @@ def label_diversity(fs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def flag_new(df: DataFrame, genres: DataFrame, name: str = "genre") -> DataFrame:
     """Add `is_new` from the genre table; unknown genres are not new."""
     known = genres.select(F.col("name").alias(name), "is_new").distinct()
-    return null_safe_join(df, known, [name], "left").withColumn("is_new", F.coalesce("is_new", F.lit(False)))
+    return join_vocabulary(df, known, name, "left").withColumn("is_new", F.coalesce("is_new", F.lit(False)))
 
 
 def genre_distribution(df: DataFrame, genres: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexloom.functions import text as T
 from lexloom.functions.columns import count_if, let, long_sum, no_strings, ratio
 from lexloom.operators.labels import flag_new
-from lexloom.operators.scan import null_safe_join, prefix_sum
+from lexloom.operators.scan import join_vocabulary, null_safe_join, prefix_sum
 from lexloom.session import materialise
 from lexloom.vocab import STOPWORDS
 
@@ -174,13 +174,13 @@ def quality_by_genre(df: DataFrame, genres: DataFrame, by: str = "genre") -> Dat
     return flag_new(means, genres, by).orderBy("flesch_kincaid", by)
 
 
-def _ngrams_of(tokens: Column, n: int, last_start: Column | None = None) -> Column:
-    """All n-grams of a token array that start no later than `last_start` (1-based)."""
-    last = F.size(tokens) - n + 1
-    if last_start is not None:
-        last = F.least(last, last_start)
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
+def _ngrams_of(tokens: Column, n: int) -> Column:
+    """All n-grams of a token array: the array zipped with itself shifted by 1 .. n-1."""
+    count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    grams = F.slice(tokens, F.lit(1), count)
+    for shift in range(1, n):
+        grams = F.zip_with(grams, F.slice(tokens, F.lit(shift + 1), count), lambda a, b: F.concat(a, F.lit(" "), b))
+    return grams
 
 
 def ngrams(
@@ -233,7 +233,7 @@ def _crossing_ngrams(texts: DataFrame, n: int, by: Sequence[str], key: str) -> D
         F.size("tail").alias("n_tail"),
         F.concat("tail", F.slice("following", 1, n - 1)).alias("run"),
     )
-    return joined.select(*by, _ngrams_of(F.col("run"), n, F.col("n_tail")).alias("grams"))
+    return joined.select(*by, F.slice(_ngrams_of(F.col("run"), n), F.lit(1), F.col("n_tail")).alias("grams"))
 
 
 def top_ngrams(counts: DataFrame, by: Sequence[str] = (), k: int = 20) -> DataFrame:
@@ -286,7 +286,7 @@ def category_words(df: DataFrame, categories: DataFrame, k: int = 15) -> DataFra
 
     `categories` maps genre to category. A word outside a category's own top k counts 0 there.
     """
-    tagged = df.join(categories.select("genre", "category"), "genre")
+    tagged = join_vocabulary(df, categories.select("genre", "category"), "genre")
     top = top_words(word_counts(tagged, ["category"], STOPWORDS), ["category"], k)
     scaled = top.withColumn("scaled", F.col("n") / F.max("n").over(Window.partitionBy("category")))
     names = [r["category"] for r in categories.select("category").distinct().orderBy("category").collect()]

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexloom.functions.columns import let
 from lexloom.functions.draws import order_hash, uniform_int
 from lexloom.functions.text import is_blank
+from lexloom.operators.scan import MAX_VOCABULARY
 
 BUCKET_DIGITS = 4  # hex digits: at most 65,536 buckets of the hashed order
 
@@ -116,6 +117,3 @@ def assign_conditions(
             .drop(f"_{name}")
         )
     return out
-
-
-MAX_VOCABULARY = 10_000

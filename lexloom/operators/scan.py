@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from lexloom.functions.columns import let
 
 MAX_BUCKETS = 4096
+MAX_VOCABULARY = 10_000
 
 
 def _quantile_bounds(df: DataFrame, order: str, buckets: int) -> list[float]:
@@ -57,24 +58,25 @@ def prefix_sum(
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = min(MAX_BUCKETS, 4 * partitions)
     bounds = _quantile_bounds(df, order, buckets)
-    ranged = df.withColumn("_range", _bucket_of(F.col(order).cast("double"), bounds))
+    # One struct key, so that the join and the window share a partitioning, and
+    # null groups match themselves.
+    place = F.struct(*by, _bucket_of(F.col(order).cast("double"), bounds).alias("_range"))
+    ranged = df.withColumn("_place", place)
 
     # At most `buckets` rows per group reach these windows.
-    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*by)
-    offsets = ranged.groupBy(*by, "_range").agg(*[F.sum(v).alias(v) for v in values]).select(
-        *by,
-        "_range",
+    group = [F.col("_place")[c] for c in by]
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy(F.col("_place")["_range"]).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_place").agg(*[F.sum(v).alias(v) for v in values])
+    offsets = totals.select(
+        "_place",
         *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_{v}_offset") for v in values],
         *[F.sum(v).over(whole).alias(f"{v}_total") for v in values],
     )
     if not by:
         offsets = F.broadcast(offsets)  # at most MAX_BUCKETS rows
-    inside = (
-        Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    joined = null_safe_join(ranged, offsets, [*by, "_range"])
-    return joined.select(
+    inside = Window.partitionBy("_place").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return ranged.join(offsets, "_place").select(
         *df.columns,
         *[
             (F.col(f"_{v}_offset") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(f"{v}_before")
@@ -87,13 +89,25 @@ def prefix_sum(
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equal keys where null equals null; keeps the left key columns."""
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
-    condition = None
+    condition = F.lit(True)
     for key in keys:
-        term = left[key].eqNullSafe(renamed[f"_r_{key}"])
-        condition = term if condition is None else condition & term
+        condition = condition & left[key].eqNullSafe(renamed[f"_r_{key}"])
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def is_vocabulary(df: DataFrame) -> bool:
+    """Whether a table is small enough to be sent to every task."""
+    return df.limit(MAX_VOCABULARY + 1).count() <= MAX_VOCABULARY
+
+
+def join_vocabulary(df: DataFrame, vocabulary: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join rows to a table such as the genres. Within MAX_VOCABULARY rows it is
+    broadcast, and rows of a very frequent key stay where they are; a larger table
+    is joined as the adaptive plan sees fit."""
+    small = F.broadcast(vocabulary) if is_vocabulary(vocabulary) else vocabulary
+    return null_safe_join(df, small, [key], how)
+
+
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """One row per (by, metric, value), nulls dropped; several numeric columns in one pass."""
     wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
@@ -108,21 +122,13 @@ def all_integral(df: DataFrame, cols: Sequence[str]) -> bool:
     return all(isinstance(df.schema[c].dataType, T.IntegralType) for c in cols)
 
 
-def weighted_percentiles(
-    counts: DataFrame, probabilities: Sequence[float], by: Sequence[str], integral: bool
-) -> DataFrame:
+def weighted_percentiles(counts: DataFrame, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Exact linear-interpolated percentiles of (by, value, n) rows as `q0`, `q1`, ...
 
-    Integer columns have few distinct values, which one aggregate per group can
-    hold. A continuous column has about one value per row, so its percentiles are
-    read off distributed running counts instead.
+    A continuous column has about one value per row, too many for one aggregate,
+    so the percentiles are read off distributed running counts.
     """
     by = list(by)
-    if integral:
-        return counts.groupBy(*by).agg(
-            F.percentile("value", list(probabilities), F.col("n")).alias("_q")
-        ).select(*by, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probabilities))])
-
     ranked = prefix_sum(counts, "value", ["n"], by)
     first, last = F.col("n_before"), F.col("n_before") + F.col("n") - 1
 
