@@ -167,7 +167,7 @@ def dedupe_against(new: DataFrame, existing: DataFrame, across_splits: bool = Fa
     """New rows whose text is not yet in the same split (or, optionally, in any)."""
     keys = ["_text"] if across_splits else ["_text", "split"]
     known = existing.withColumn("_text", text_key("text")).select(*keys).distinct()
-    return new.withColumn("_text", text_key("text")).join(known, keys, "left_anti").drop("_text")
+    return new.withColumn("_text", text_key("text")).join(known, keys, "left_anti").select(*new.columns)
 
 
 def append_increment(existing: DataFrame, new: DataFrame) -> DataFrame:

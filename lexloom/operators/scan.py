@@ -15,6 +15,8 @@ MAX_VOCABULARY = 10_000
 
 def _quantile_bounds(df: DataFrame, order: str, buckets: int) -> list[float]:
     """At most `buckets` cut points that split the rows about evenly by `order`."""
+    if buckets < 2:
+        return []
     probabilities = [i / buckets for i in range(1, buckets)]
     bounds = df.approxQuantile(order, probabilities, 1.0 / (4 * buckets))
     return sorted(set(bounds))
