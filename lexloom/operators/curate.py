@@ -138,9 +138,9 @@ def leak_check(split_df: DataFrame, heldout: DataFrame) -> DataFrame:
     train_labels = (
         split_df.where(F.col("split") == "train")
         .select(F.explode(F.concat("labels", "not_labels")).alias("label"))
-        .join(heldout.select("label"), "label", "left_semi")
+        .distinct()
     )
-    leaked = train_labels.agg(F.count_distinct("label").alias("n"))
+    leaked = train_labels.join(heldout.select("label"), "label", "left_semi").agg(F.count("*").alias("n"))
     held = heldout.agg(F.count("*").alias("n"))
     return split_df.agg(
         count_if(F.col("split") == "train").alias("train_rows"),
@@ -164,9 +164,14 @@ def route_counts(routed: DataFrame) -> DataFrame:
 
 
 def dedupe_against(new: DataFrame, existing: DataFrame, across_splits: bool = False) -> DataFrame:
-    """New rows whose text is not yet in the same split (or, optionally, in any)."""
+    """New rows whose text is not yet in the same split (or, optionally, in any).
+
+    Only digests of existing texts are compared. Where `existing` has them stored
+    as `text_digest`, its texts are not read.
+    """
     keys = ["_text"] if across_splits else ["_text", "split"]
-    known = existing.withColumn("_text", text_key("text")).select(*keys).distinct()
+    digest = F.col("text_digest") if "text_digest" in existing.columns else text_key("text")
+    known = existing.withColumn("_text", digest).select(*keys).distinct()
     return new.withColumn("_text", text_key("text")).join(known, keys, "left_anti").select(*new.columns)
 
 

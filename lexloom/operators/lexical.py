@@ -83,14 +83,20 @@ def msttr(
 ) -> DataFrame:
     """Mean type/token ratio of the full segments of the corpus-long token stream.
 
-    Texts follow each other in key order. A text's place in the stream is a prefix
-    sum of token counts; each text then sends one set of words per segment it
-    touches, so a segment gathers at most `segment` words. Without a full segment
-    the plain ratio of the short one stands in.
+    Texts follow each other in the order of `key`, which is numeric and unique. A
+    text's place in the stream is a prefix sum of token counts, taken over keys
+    and counts alone; the texts are shuffled once, to meet their places. Each text
+    then sends one set of words per segment it touches, so a segment gathers at
+    most `segment` words. Without a full segment the plain ratio of the short one
+    stands in.
     """
-    texts = df.select(*by, key, content_tokens(T.tokens(F.col("text")), stopwords).alias("tokens"))
-    sized = texts.withColumn("n_tokens", F.size("tokens").cast("bigint"))
-    placed = prefix_sum(sized, key, ["n_tokens"], by).where(F.col("n_tokens") > 0)
+
+    def tokens_of(text: str) -> Column:
+        return content_tokens(T.tokens(F.col(text)), stopwords)
+
+    sizes = materialise(df.select(*by, key, F.size(tokens_of("text")).cast("bigint").alias("n_tokens")))
+    places = prefix_sum(sizes.where(F.col("n_tokens") > 0), key, ["n_tokens"], by).drop(*by, "n_tokens_total")
+    placed = df.select(*by, key, "text").join(places, key).withColumn("tokens", tokens_of("text"))
     start, end = F.col("n_tokens_before"), F.col("n_tokens_before") + F.col("n_tokens")
     pieces = placed.withColumn(
         "segment", F.explode(F.sequence(F.floor(start / segment), F.floor((end - 1) / segment)))
@@ -114,7 +120,7 @@ def msttr(
     )
     if not by:
         return found.select("segments", F.coalesce("msttr", F.lit(0.0)).alias("msttr"))
-    groups = df.select(*by).distinct()
+    groups = sizes.select(*by).distinct()
     return null_safe_join(groups, found, by, "left").select(
         *by, F.coalesce("segments", F.lit(0)).alias("segments"), F.coalesce("msttr", F.lit(0.0)).alias("msttr")
     )

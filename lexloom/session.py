@@ -56,11 +56,11 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Give every core work when the input has fewer splits than the session has cores.
+    """Give every core work when the input has far fewer splits than the session has cores.
 
     Large inputs have many more splits than cores and pass through untouched.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if 2 * df.rdd.getNumPartitions() > cores:
         return df
     return df.repartition(cores, *keys)

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lexloom.functions.columns import text_key
 from lexloom.operators.bundles import expand_replies
 from lexloom.operators.curate import dedupe_against, merge_by_text, route_increment
+from lexloom.session import materialise
 from lexloom.sources.corpus import normalise_lists
 
 REPLY_SCHEMA = "bundle_id bigint, genre string, language_level string, response string"
 INCREMENT_SCHEMA = "text string, labels array<string>, not_labels array<string>, model string"
-CURATED_SCHEMA = "text string, labels array<string>, not_labels array<string>, model array<string>"
+ADDED_SCHEMA = (
+    "text string, labels array<string>, not_labels array<string>, model array<string>, text_digest binary, "
+    "batch bigint, split string"
+)
 
 
 def stream_expand(
@@ -35,8 +40,8 @@ def stream_expand(
 
 
 def read_increment(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Rows added so far, with `batch` and `split`."""
-    return spark.read.schema(f"{CURATED_SCHEMA}, batch bigint, split string").parquet(out_dir)
+    """Rows added so far, with the digest of their text, `batch` and `split`."""
+    return spark.read.schema(ADDED_SCHEMA).parquet(out_dir)
 
 
 def stream_increment(
@@ -52,18 +57,19 @@ def stream_increment(
 
     `heldout` is decided before the stream starts. A batch owns the folder named
     by its number and compares only with earlier ones, so running it again after
-    a failure replaces its rows by the same rows.
+    a failure replaces its rows by the same rows. Published texts are digested
+    once, at the start, and added rows carry their digests, so a batch reads no
+    old text.
     """
-    empty = spark.createDataFrame([], f"{CURATED_SCHEMA}, batch bigint, split string")
-    empty.write.mode("ignore").partitionBy("batch", "split").parquet(out_dir)
-    base = published.select("text", "split")
+    spark.createDataFrame([], ADDED_SCHEMA).write.mode("ignore").partitionBy("batch", "split").parquet(out_dir)
+    base = materialise(published.select(text_key("text").alias("text_digest"), "split").distinct())
 
     def add(batch: DataFrame, number: int) -> None:
         earlier = read_increment(batch.sparkSession, out_dir).where(F.col("batch") < number)
         routed = route_increment(merge_by_text(normalise_lists(batch)), heldout)
         fresh = dedupe_against(
-            routed.where(F.col("split") != "dropped"), base.unionByName(earlier.select("text", "split"))
-        )
+            routed.where(F.col("split") != "dropped"), base.unionByName(earlier.select("text_digest", "split"))
+        ).withColumn("text_digest", text_key("text"))
         fresh.write.mode("overwrite").partitionBy("split").parquet(f"{out_dir}/batch={number}")
 
     return (
