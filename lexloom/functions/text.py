@@ -18,14 +18,13 @@ BLANK_RUN = r"(?U)\s+"
 WORD = r"(?U)\S+"
 SENTENCE_END = r"[.!?]+"
 TOKEN = r"[a-z]+(?:'[a-z]+)?"
-VOWEL_RUN = r"[aeiouy]+"
 SILENT_ENDING = r"(?:es|ed|e)"
 PUNCTUATION = r"""[.,;:!?\-()\[\]{}"'/]"""
 LETTER = r"\p{L}"
 UPPER = r"\p{IsUppercase}"
-# Decimal digits plus the superscript, subscript and enclosed digits str.isdigit accepts.
-DIGIT = (
-    r"\p{Nd}\u00b2\u00b3\u00b9\u1369-\u1371\u19da\u2070\u2074-\u2079\u2080-\u2089"
+# Superscript, subscript and enclosed digits, which str.isdigit accepts beside decimal ones.
+OTHER_DIGIT = (
+    r"\u00b2\u00b3\u00b9\u1369-\u1371\u19da\u2070\u2074-\u2079\u2080-\u2089"
     r"\u2460-\u2468\u2474-\u247c\u2488-\u2490\u24ea\u24f5-\u24fd\u24ff\u2776-\u277e"
     r"\u2780-\u2788\u278a-\u2792\x{10a40}-\x{10a43}\x{10e60}-\x{10e68}\x{11052}-\x{1105a}"
     r"\x{1f100}-\x{1f10a}"
@@ -34,9 +33,13 @@ DIGIT = (
 FK_WORDS, FK_SYLLABLES, FK_BASE = 0.39, 11.8, 15.59
 CL_LETTERS, CL_SENTENCES, CL_BASE = 0.0588, 0.296, 15.8
 
-SHORT_WORD = r"(?U)(?<!\S)\S{1,3}(?!\S)"
-ENDING_OF_WORD = rf"(?U){SILENT_ENDING}(?!\S)"
-FIRST_VOWEL_TO_END = r"(?U)[aeiouy]\S*"
+# From one vowel run of a word to the next: a vowel (not that of a three-letter word),
+# consonants, and a vowel ahead that does not belong to a silent ending.
+NEXT_SYLLABLE = (
+    r"(?U)[aeiouy](?<!(?<!\S)[aeiouy](?=\S\S(?!\S)))"
+    r"[^\saeiouy]++"
+    rf"(?!{SILENT_ENDING}(?!\S))(?=[aeiouy])"
+)
 
 
 def spaced(text: Column) -> Column:
@@ -45,7 +48,8 @@ def spaced(text: Column) -> Column:
     White space and its complement are then the regex engine's own classes, which
     it matches many times faster than a negated list of ranges.
     """
-    return F.translate(text, SEPARATORS, " " * len(SEPARATORS))
+    replaced = F.translate(text, SEPARATORS, " " * len(SEPARATORS))
+    return F.when(text.rlike(f"[{SEPARATORS}]"), replaced).otherwise(text)
 
 
 def trim_blanks(text: Column) -> Column:
@@ -71,23 +75,23 @@ def count_syllables(text: Column, n_words: Column) -> Column:
     """Syllables of all words of a text.
 
     Per word: 1 for up to three characters, otherwise the vowel runs left after
-    the silent ending is cut off, at least 1. Summed over the words that is
-    words + runs - (words with a run), counted over the longer words alone, which
-    four passes of a regex over the whole text deliver without splitting it.
+    the silent ending is cut off, at least 1. That is one per word plus one for
+    every step from a vowel run to the next, which one pass of a regex counts.
     """
-    longer = F.regexp_replace(F.regexp_replace(spaced(F.lower(text)), SHORT_WORD, ""), ENDING_OF_WORD, "")
-    return let(
-        longer,
-        lambda t: n_words
-        + F.regexp_count(t, F.lit(VOWEL_RUN))
-        - F.regexp_count(t, F.lit(FIRST_VOWEL_TO_END)),
-    )
+    return n_words + F.coalesce(F.regexp_count(spaced(F.lower(text)), F.lit(NEXT_SYLLABLE)), F.lit(0))
 
 
 def length_without(text: Column, dropped: str) -> Column:
     return F.char_length(F.regexp_replace(text, dropped, ""))
 
 
+def count_digits(text: Column) -> Column:
+    """Decimal digits and the few other kinds; only texts with a numeric mark are searched for those."""
+    decimal = F.char_length(text) - length_without(text, r"\p{Nd}+")
+    other = F.char_length(text) - length_without(text, f"[{OTHER_DIGIT}]+")
+    return decimal + F.when(text.rlike(r"\p{No}"), other).otherwise(0)
+
+
 def flesch_kincaid(words: Column, sentences: Column, syllables: Column) -> Column:
     grade = FK_WORDS * (words / sentences) + FK_SYLLABLES * (syllables / words) - FK_BASE
     return F.when(words > 0, grade).otherwise(F.lit(0.0))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexloom.functions.columns import count_if, long_sum, no_strings, percent, text_key
 from lexloom.operators.sampling import ordered_sample
+from lexloom.session import materialise
 
 # A held-out set up to this size travels inside the plan as a literal hash set;
 # beyond it the rows are matched with joins.
@@ -78,7 +79,7 @@ def positive_labels(df: DataFrame) -> DataFrame:
 
 def choose_heldout(df: DataFrame, ratio: float = TEST_RATIO, seed: int | str = 42) -> DataFrame:
     """floor(ratio * #positive labels) positive labels in seeded order."""
-    vocabulary = positive_labels(df)
+    vocabulary = materialise(positive_labels(df))
     n = int(vocabulary.count() * ratio)
     return ordered_sample(vocabulary, "label", seed, 0, n)
 

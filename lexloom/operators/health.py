@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lexloom.functions import text as T
 from lexloom.functions.columns import count_if, percent, text_key
 from lexloom.operators.scan import (
-    all_integral,
+    are_lengths,
     null_safe_join,
     value_counts_long,
     weighted_percentiles,
@@ -70,7 +70,7 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
     """
     keys = [*by, "metric"]
     counts = value_counts_long(df, cols, by)
-    if all_integral(df, cols):
+    if are_lengths(df, cols):
         return _describe_lengths(counts, keys)
     counts = materialise(counts)
     n, v = F.col("n"), F.col("value")
@@ -94,7 +94,7 @@ def _deviation(squares: Column, n: Column) -> Column:
 
 
 def _describe_lengths(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Integer columns have few distinct values, so one aggregate per group holds them all."""
+    """Sizes per row have few distinct values, so one aggregate per group holds them all."""
     n, v = F.col("n"), F.col("value")
     squares = F.sum(v * v * n) - F.sum(v * n) * F.sum(v * n) / F.sum(n)
     out = counts.groupBy(*keys).agg(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexloom.functions import text as T
 from lexloom.functions.columns import count_if, let, long_sum, no_strings, ratio
 from lexloom.operators.labels import flag_new
-from lexloom.operators.scan import join_vocabulary, null_safe_join, prefix_sum
+from lexloom.operators.scan import is_vocabulary, join_vocabulary, null_safe_join, prefix_sum
 from lexloom.session import materialise
 from lexloom.vocab import STOPWORDS
 
@@ -155,7 +155,7 @@ def text_quality(df: DataFrame) -> DataFrame:
             "_in_words": T.length_without(T.spaced(text), T.BLANK_RUN),
             "_punct": chars - T.length_without(text, T.PUNCTUATION + "+"),
             "_upper": chars - T.length_without(text, T.UPPER + "+"),
-            "_digits": chars - T.length_without(text, f"[{T.DIGIT}]+"),
+            "_digits": T.count_digits(text),
             "_letters": T.length_without(text, rf"\P{{L}}+"),
         }
     ).withColumn("_syllables", T.count_syllables(text, F.col("_words")))
@@ -292,6 +292,8 @@ def category_words(df: DataFrame, categories: DataFrame, k: int = 15) -> DataFra
 
     `categories` maps genre to category. A word outside a category's own top k counts 0 there.
     """
+    if not is_vocabulary(categories):
+        raise ValueError("too many genres for a category table")
     tagged = join_vocabulary(df, categories.select("genre", "category"), "genre")
     top = top_words(word_counts(tagged, ["category"], STOPWORDS), ["category"], k)
     scaled = top.withColumn("scaled", F.col("n") / F.max("n").over(Window.partitionBy("category")))

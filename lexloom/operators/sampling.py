@@ -15,7 +15,7 @@ BUCKET_DIGITS = 4  # hex digits: at most 65,536 buckets of the hashed order
 
 
 def ordered_sample(df: DataFrame, key: str, seed: int | str, skip: int = 0, take: int | None = None) -> DataFrame:
-    """Rows `skip` .. `skip + take` of the seeded order; `key` is unique.
+    """Rows `skip` .. `skip + take` of the seeded order; `key` is unique and `df` deterministic.
 
     A sample may be as large as the table, so no sort of it ever reaches one
     task: counts per digest prefix locate the two buckets the sample starts and

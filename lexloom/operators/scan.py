@@ -121,8 +121,9 @@ def value_counts_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()
     return long_values(df, cols, by).groupBy(*by, "metric", "value").agg(F.count("*").alias("n"))
 
 
-def all_integral(df: DataFrame, cols: Sequence[str]) -> bool:
-    return all(isinstance(df.schema[c].dataType, T.IntegralType) for c in cols)
+def are_lengths(df: DataFrame, cols: Sequence[str]) -> bool:
+    """Whether all columns are of type int, as sizes and counts per row are; keys are longs."""
+    return all(isinstance(df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType)) for c in cols)
 
 
 def weighted_percentiles(counts: DataFrame, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
