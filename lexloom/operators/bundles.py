@@ -34,41 +34,55 @@ def _strings(value: Column, path: str) -> Column:
     return F.coalesce(F.filter(items, lambda x: x.isNotNull() & (x != "")), no_strings())
 
 
-def read_examples_of(df: DataFrame) -> DataFrame:
-    """One row per object among the examples of each valid bundle, before any label rule."""
+def _read_examples(df: DataFrame) -> DataFrame:
+    """One row per element of each bundle's examples, at least one per reply, before the label
+    rule; `text` is null for what is no example."""
     other = [c for c in df.columns if c not in ("bundle", "is_valid", "response")]
-    elements = df.where("is_valid").select(
-        *other, F.posexplode(F.try_variant_get("bundle", "$.examples", "array<variant>")).alias("example_no", "element")
-    )
+    examples = F.when(F.col("is_valid"), F.try_variant_get("bundle", "$.examples", "array<variant>"))
+    elements = df.select(*other, "response", "bundle", "is_valid", F.posexplode_outer(examples).alias("example_no", "element"))
     text = F.try_variant_get("element", "$.text", "variant")
-    return elements.where(F.schema_of_variant("element").startswith("OBJECT")).select(
+    return elements.select(
         *other,
+        F.col("response").isNotNull().alias("_replied"),
+        F.col("bundle").isNotNull().alias("_parsed"),
+        F.col("is_valid").alias("_valid"),
         "example_no",
         # A missing text is an empty one; a text of another type is no text.
-        F.when(text.isNull(), F.lit(""))
-        .when(F.schema_of_variant(text) == "STRING", F.try_variant_get("element", "$.text", "string"))
-        .alias("text"),
-        _strings(F.col("element"), "$.labels").alias("labels"),
-        _strings(F.col("element"), "$.not_labels").alias("not_labels"),
+        F.when(
+            F.schema_of_variant("element").startswith("OBJECT"),
+            F.when(text.isNull(), F.lit("")).when(
+                F.schema_of_variant(text) == "STRING", F.try_variant_get("element", "$.text", "string")
+            ),
+        ).alias("text"),
+        _strings(F.col("element"), "$.labels").alias("_pos"),
+        _strings(F.col("element"), "$.not_labels").alias("_neg"),
+    )
+
+
+def _without_conflicts(rows: DataFrame) -> DataFrame:
+    """Remove labels found in both lists from both. (`_pos` and `_neg` have names of their own
+    because inside a lambda a column alias of the same select would win.)"""
+    return rows.select(
+        *[c for c in rows.columns if c not in ("_pos", "_neg")],
+        F.filter("_pos", lambda x: ~F.array_contains(F.col("_neg"), x)).alias("labels"),
+        F.filter("_neg", lambda x: ~F.array_contains(F.col("_pos"), x)).alias("not_labels"),
     )
 
 
+def _is_usable() -> Column:
+    return F.col("text").isNotNull() & (F.size("labels") > 0) & (F.size("not_labels") > 0)
+
+
 def expand_bundles(df: DataFrame, source: str = "wikipedia", require_text: bool = False) -> DataFrame:
     """Labelled rows of all valid bundles.
 
     A label in both lists of a text is removed from both, repeats are kept, and a
     row survives only with a string text and labels left on both sides.
     """
-    # Under other names: inside a lambda a column alias of the same select would win.
-    rows = read_examples_of(df).withColumnsRenamed({"labels": "_pos", "not_labels": "_neg"})
-    clean = rows.select(
-        *[c for c in rows.columns if c not in ("_pos", "_neg")],
-        F.filter("_pos", lambda x: ~F.array_contains(F.col("_neg"), x)).alias("labels"),
-        F.filter("_neg", lambda x: ~F.array_contains(F.col("_pos"), x)).alias("not_labels"),
-    ).where(F.col("text").isNotNull() & (F.size("labels") > 0) & (F.size("not_labels") > 0))
+    rows = _without_conflicts(_read_examples(df.where("is_valid"))).where(_is_usable())
     if require_text:
-        clean = clean.where(~is_blank(F.col("text")))
-    return clean.withColumn("source", F.lit(source))
+        rows = rows.where(~is_blank(F.col("text")))
+    return rows.drop("_replied", "_parsed", "_valid").withColumn("source", F.lit(source))
 
 
 def expand_replies(df: DataFrame, source: str = "wikipedia") -> DataFrame:
@@ -76,25 +90,23 @@ def expand_replies(df: DataFrame, source: str = "wikipedia") -> DataFrame:
     return expand_bundles(validate_bundles(parse_responses(df)), source)
 
 
-def generation_counters(df: DataFrame, key: str = "bundle_id") -> DataFrame:
+def generation_counters(df: DataFrame) -> DataFrame:
     """Replies by outcome and rows written, from one pass over the replies."""
-    bundles = validate_bundles(parse_responses(df))
-    per_bundle = bundles.select(
-        key,
-        F.col("response").isNull().alias("no_reply"),
-        (F.col("response").isNotNull() & F.col("bundle").isNull()).alias("malformed"),
-        (F.col("bundle").isNotNull() & ~F.col("is_valid")).alias("invalid"),
-        "is_valid",
-    ).agg(
-        F.count("*").alias("bundles"),
-        count_if(F.col("no_reply")).alias("no_reply"),
-        count_if(F.col("malformed")).alias("malformed"),
-        count_if(F.col("invalid")).alias("invalid"),
-        count_if(~F.col("is_valid")).alias("failed_bundles"),
-        count_if(F.col("is_valid")).alias("usable_bundles"),
+    rows = _without_conflicts(_read_examples(validate_bundles(parse_responses(df.select("response")))))
+    once = F.coalesce(F.col("example_no"), F.lit(0)) == 0  # one row of each reply
+
+    def replies(condition: Column) -> Column:
+        return count_if(once & condition)
+
+    return rows.agg(
+        count_if(once).alias("bundles"),
+        replies(~F.col("_replied")).alias("no_reply"),
+        replies(F.col("_replied") & ~F.col("_parsed")).alias("malformed"),
+        replies(F.col("_parsed") & ~F.col("_valid")).alias("invalid"),
+        replies(~F.col("_valid")).alias("failed_bundles"),
+        replies(F.col("_valid")).alias("usable_bundles"),
+        count_if(_is_usable()).alias("examples"),
     )
-    written = expand_bundles(bundles).agg(F.count("*").alias("n"))
-    return per_bundle.withColumn("examples", written.scalar())
 
 
 def bundle_compliance(df: DataFrame) -> DataFrame:

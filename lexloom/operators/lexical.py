@@ -134,7 +134,7 @@ def text_ttr(df: DataFrame) -> DataFrame:
 
 def ttr_by_group(df: DataFrame, by: str, k: int = 20) -> DataFrame:
     """Type/token ratio per group, the k highest and the k lowest."""
-    per_group = ttr(word_counts(df, [by]), [by]).select(by, "ttr")
+    per_group = materialise(ttr(word_counts(df, [by]), [by]).select(by, "ttr"))
     top = per_group.orderBy(F.desc("ttr"), by).limit(k).withColumn("end", F.lit("top"))
     bottom = per_group.orderBy("ttr", by).limit(k).withColumn("end", F.lit("bottom"))
     return top.unionByName(bottom)

@@ -19,35 +19,50 @@ def ordered_sample(df: DataFrame, key: str, seed: int | str, skip: int = 0, take
 
     A sample may be as large as the table, so no sort of it ever reaches one
     task: counts per digest prefix locate the two buckets the sample starts and
-    ends in, only those are ranked, and the sample itself is a filter on the
-    digest between the two cut points, without a shuffle of the rows.
+    ends in, only those are ranked, and the sample itself is a filter of the rows
+    between the two cut points, without a shuffle. The cut points, two rows, are
+    found when this is called.
     """
     if take is not None and take <= 0:
         return df.limit(0)
-    if skip <= 0 and take is None:
-        return df
-    digest = order_hash(key, seed)
-    keyed = df.select(digest.alias("h"), F.col(key).alias("k"))
-    bucket = F.substring("h", 1, BUCKET_DIGITS)
-    counts = keyed.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
-    # At most 16 ** BUCKET_DIGITS rows.
-    seen = counts.withColumn("seen", F.sum("n").over(Window.orderBy("b")))
-
-    def cut(position: int) -> Column:
-        """The (digest, key) at this 0-based position, null past the end."""
-        at = seen.where((F.col("seen") - F.col("n") <= position) & (F.col("seen") > position))
-        inside = keyed.withColumn("b", bucket).join(F.broadcast(at), "b")  # one bucket
-        ranked = inside.withColumn(
-            "pos", F.col("seen") - F.col("n") + F.row_number().over(Window.partitionBy("b").orderBy("h", "k")) - 1
-        )
-        return ranked.where(F.col("pos") == position).select(F.struct("h", "k")).scalar()
-
-    here = F.struct(digest.alias("h"), F.col(key).alias("k"))
-    condition = here >= cut(skip) if skip > 0 else F.lit(True)
-    if take is not None:
-        end = cut(skip + take)
-        condition = condition & (end.isNull() | (here < end))
-    return df.where(condition)
+    last = None if take is None else skip + take
+    positions = [p for p in (skip, last) if p]
+    cuts = _rows_at(df, key, seed, positions)
+    here = F.struct(order_hash(key, seed).alias("h"), F.col(key).alias("k"))
+
+    def at(position: int) -> Column:
+        h, k = cuts[position]
+        return F.struct(F.lit(h).alias("h"), F.lit(k).cast(df.schema[key].dataType).alias("k"))
+
+    if skip > 0:
+        df = df.where(here >= at(skip) if skip in cuts else F.lit(False))
+    if last is not None and last in cuts:
+        df = df.where(here < at(last))
+    return df
+
+
+def _rows_at(df: DataFrame, key: str, seed: int | str, positions: list[int]) -> dict[int, tuple]:
+    """(digest, key) of the rows at 0-based positions of the seeded order; none past the end."""
+    if not positions:
+        return {}
+    keyed = df.select(order_hash(key, seed).alias("h"), F.col(key).alias("k")).withColumn(
+        "b", F.substring("h", 1, BUCKET_DIGITS)
+    )
+    counts = keyed.groupBy("b").agg(F.count("*").alias("n"))
+    # At most 16 ** BUCKET_DIGITS rows in this window, and one per position after it.
+    seen = counts.withColumn("before", F.sum("n").over(Window.orderBy("b")) - F.col("n"))
+    hit = F.lit(False)
+    for p in positions:
+        hit = hit | ((F.col("before") <= p) & (p < F.col("before") + F.col("n")))
+    before = {r["b"]: r["before"] for r in seen.where(hit).collect()}
+    if not before:
+        return {}
+    rank = F.row_number().over(Window.partitionBy("b").orderBy("h", "k")) - 1
+    wanted = F.lit(False)
+    for b, n in before.items():
+        wanted = wanted | ((F.col("b") == b) & F.col("r").isin([p - n for p in positions]))
+    found = keyed.where(F.col("b").isin(list(before))).withColumn("r", rank).where(wanted).collect()
+    return {before[r["b"]] + r["r"]: (r["h"], r["k"]) for r in found}
 
 
 def sample_rows(df: DataFrame, key: str, n: int | None, seed: int | str = 42) -> DataFrame:

@@ -59,4 +59,4 @@ def generate(
     replies = spark.read.schema(REPLY_SCHEMA).parquet(f"{replies_path}/{run}")
     rows = expand_replies(replies).select("source", "genre", "language_level", "text", "labels", "not_labels")
     write_examples(rows, f"{rows_path}/{run}", "overwrite")
-    return generation_counters(replies, "article_id")
+    return generation_counters(replies)
