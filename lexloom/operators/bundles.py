@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexloom.functions.columns import count_if, no_strings
+from lexloom.functions.columns import count_if, let, long_sum, no_strings
 from lexloom.functions.text import is_blank, trim_blanks
 
 # The bounds a reply is asked to keep.
@@ -34,55 +34,53 @@ def _strings(value: Column, path: str) -> Column:
     return F.coalesce(F.filter(items, lambda x: x.isNotNull() & (x != "")), no_strings())
 
 
-def _read_examples(df: DataFrame) -> DataFrame:
-    """One row per element of each bundle's examples, at least one per reply, before the label
-    rule; `text` is null for what is no example."""
-    other = [c for c in df.columns if c not in ("bundle", "is_valid", "response")]
-    examples = F.when(F.col("is_valid"), F.try_variant_get("bundle", "$.examples", "array<variant>"))
-    elements = df.select(*other, "response", "bundle", "is_valid", F.posexplode_outer(examples).alias("example_no", "element"))
-    text = F.try_variant_get("element", "$.text", "variant")
-    return elements.select(
-        *other,
-        F.col("response").isNotNull().alias("_replied"),
-        F.col("bundle").isNotNull().alias("_parsed"),
-        F.col("is_valid").alias("_valid"),
-        "example_no",
+def _usable_examples() -> Column:
+    """array<struct<example_no, text, labels, not_labels>>: the examples of a bundle that make rows.
+
+    All of it is one expression on the reply, so that each element is cleaned
+    once; as filters over exploded columns the optimizer would repeat the cleaning.
+    """
+
+    def text_of(element: Column) -> Column:
         # A missing text is an empty one; a text of another type is no text.
-        F.when(
-            F.schema_of_variant("element").startswith("OBJECT"),
-            F.when(text.isNull(), F.lit("")).when(
-                F.schema_of_variant(text) == "STRING", F.try_variant_get("element", "$.text", "string")
+        text = F.try_variant_get(element, "$.text", "variant")
+        string = F.try_variant_get(element, "$.text", "string")
+        found = F.when(text.isNull(), F.lit("")).when(F.schema_of_variant(text) == "STRING", string)
+        return F.when(F.schema_of_variant(element).startswith("OBJECT"), found)
+
+    def row(element: Column, number: Column) -> Column:
+        lists = F.struct(
+            _strings(element, "$.labels").alias("pos"), _strings(element, "$.not_labels").alias("neg")
+        )
+        return let(
+            lists,
+            lambda x: F.struct(
+                number.alias("example_no"),
+                text_of(element).alias("text"),
+                F.filter(x["pos"], lambda label: ~F.array_contains(x["neg"], label)).alias("labels"),
+                F.filter(x["neg"], lambda label: ~F.array_contains(x["pos"], label)).alias("not_labels"),
             ),
-        ).alias("text"),
-        _strings(F.col("element"), "$.labels").alias("_pos"),
-        _strings(F.col("element"), "$.not_labels").alias("_neg"),
-    )
+        )
 
-
-def _without_conflicts(rows: DataFrame) -> DataFrame:
-    """Remove labels found in both lists from both. (`_pos` and `_neg` have names of their own
-    because inside a lambda a column alias of the same select would win.)"""
-    return rows.select(
-        *[c for c in rows.columns if c not in ("_pos", "_neg")],
-        F.filter("_pos", lambda x: ~F.array_contains(F.col("_neg"), x)).alias("labels"),
-        F.filter("_neg", lambda x: ~F.array_contains(F.col("_pos"), x)).alias("not_labels"),
+    examples = F.when(F.col("is_valid"), F.try_variant_get("bundle", "$.examples", "array<variant>"))
+    return F.filter(
+        F.transform(examples, row),
+        lambda r: r["text"].isNotNull() & (F.size(r["labels"]) > 0) & (F.size(r["not_labels"]) > 0),
     )
 
 
-def _is_usable() -> Column:
-    return F.col("text").isNotNull() & (F.size("labels") > 0) & (F.size("not_labels") > 0)
-
-
 def expand_bundles(df: DataFrame, source: str = "wikipedia", require_text: bool = False) -> DataFrame:
     """Labelled rows of all valid bundles.
 
     A label in both lists of a text is removed from both, repeats are kept, and a
     row survives only with a string text and labels left on both sides.
     """
-    rows = _without_conflicts(_read_examples(df.where("is_valid"))).where(_is_usable())
+    other = [c for c in df.columns if c not in ("bundle", "is_valid", "response")]
+    # The outer form infers no filter on its input, which would parse every reply again.
+    rows = df.select(*other, F.inline_outer(_usable_examples())).where(F.col("example_no").isNotNull())
     if require_text:
         rows = rows.where(~is_blank(F.col("text")))
-    return rows.drop("_replied", "_parsed", "_valid").withColumn("source", F.lit(source))
+    return rows.withColumn("source", F.lit(source))
 
 
 def expand_replies(df: DataFrame, source: str = "wikipedia") -> DataFrame:
@@ -92,20 +90,21 @@ def expand_replies(df: DataFrame, source: str = "wikipedia") -> DataFrame:
 
 def generation_counters(df: DataFrame) -> DataFrame:
     """Replies by outcome and rows written, from one pass over the replies."""
-    rows = _without_conflicts(_read_examples(validate_bundles(parse_responses(df.select("response")))))
-    once = F.coalesce(F.col("example_no"), F.lit(0)) == 0  # one row of each reply
-
-    def replies(condition: Column) -> Column:
-        return count_if(once & condition)
-
-    return rows.agg(
-        count_if(once).alias("bundles"),
-        replies(~F.col("_replied")).alias("no_reply"),
-        replies(F.col("_replied") & ~F.col("_parsed")).alias("malformed"),
-        replies(F.col("_parsed") & ~F.col("_valid")).alias("invalid"),
-        replies(~F.col("_valid")).alias("failed_bundles"),
-        replies(F.col("_valid")).alias("usable_bundles"),
-        count_if(_is_usable()).alias("examples"),
+    replies = validate_bundles(parse_responses(df.select("response"))).select(
+        F.col("response").isNotNull().alias("replied"),
+        F.col("bundle").isNotNull().alias("parsed"),
+        F.col("is_valid").alias("valid"),
+        F.coalesce(F.size(_usable_examples()), F.lit(0)).alias("rows"),
+    )
+    replied, parsed, valid = F.col("replied"), F.col("parsed"), F.col("valid")
+    return replies.agg(
+        F.count("*").alias("bundles"),
+        count_if(~replied).alias("no_reply"),
+        count_if(replied & ~parsed).alias("malformed"),
+        count_if(parsed & ~valid).alias("invalid"),
+        count_if(~valid).alias("failed_bundles"),
+        count_if(valid).alias("usable_bundles"),
+        long_sum(F.col("rows")).alias("examples"),
     )
 
 

@@ -204,10 +204,11 @@ def ngrams(
     each text, so whole texts are never sorted.
     """
     tokens = content_tokens(T.tokens(F.col("text")), stopwords)
-    grams = df.select(*by, let(tokens, lambda t: _ngrams_of(t, n)).alias("grams"))
+    # Exploding a named column would let the optimizer build it a second time for a filter.
+    grams = df.select(*by, F.explode(let(tokens, lambda t: _ngrams_of(t, n))).alias("ngram"))
     if across_texts and n > 1:
         grams = grams.unionByName(_crossing_ngrams(df.select(*by, key, tokens.alias("tokens")), n, by, key))
-    return grams.select(*by, F.explode("grams").alias("ngram")).groupBy(*by, "ngram").agg(F.count("*").alias("n"))
+    return grams.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
 
 
 def _crossing_ngrams(texts: DataFrame, n: int, by: Sequence[str], key: str) -> DataFrame:
@@ -239,7 +240,7 @@ def _crossing_ngrams(texts: DataFrame, n: int, by: Sequence[str], key: str) -> D
         F.size("tail").alias("n_tail"),
         F.concat("tail", F.slice("following", 1, n - 1)).alias("run"),
     )
-    return joined.select(*by, F.slice(_ngrams_of(F.col("run"), n), F.lit(1), F.col("n_tail")).alias("grams"))
+    return joined.select(*by, F.explode(F.slice(_ngrams_of(F.col("run"), n), F.lit(1), F.col("n_tail"))).alias("ngram"))
 
 
 def top_ngrams(counts: DataFrame, by: Sequence[str] = (), k: int = 20) -> DataFrame:
