@@ -424,7 +424,8 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'depth', 'shallow_share', v, v < 0.1 FROM (SELECT count(*) FILTER (score >= 0.8) / count(*) AS v FROM ov)
         UNION ALL SELECT 'fit', 'long_span_share', v, v < 0.01 FROM (SELECT count(*) FILTER (bad) / count(*) AS v FROM ft WHERE series = 'label')
         UNION ALL SELECT 'fit', 'long_sequence_share', v, v < 0.05 FROM (SELECT count(*) FILTER (bad) / count(*) AS v FROM ft WHERE series = 'sequence'))
-        SELECT section, metric, round(value, 6) AS value, passed FROM m""",
+        SELECT section, metric, round(value, 6) AS value,
+            CASE WHEN passed IS NULL THEN 'info' WHEN passed THEN 'pass' ELSE 'fail' END AS status FROM m""",
     "summary_table": f"""WITH {OV},
         lc AS (SELECT label, count(*) FILTER (is_pos) AS n_pos, count(*) FILTER (NOT is_pos) AS n_neg FROM oi GROUP BY label),
         u AS (SELECT count(*) AS examples, avg(len(labels)) AS mean_positive, stddev_samp(len(labels)) AS std_positive,

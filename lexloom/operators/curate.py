@@ -11,6 +11,8 @@ from lexloom.session import materialise
 # A held-out set up to this size travels inside the plan as a literal hash set;
 # beyond it the rows are matched with joins.
 MAX_LITERAL_LABELS = 20_000
+# Keys of rows that carry a held-out label, 34 bytes each, are broadcast up to this number.
+MAX_BROADCAST_HITS = 500_000
 
 # Fixed value: share of the positive labels held out for about 1% test rows.
 TEST_RATIO = 0.005 / 3
@@ -98,14 +100,16 @@ def _with_hits(df: DataFrame, heldout: DataFrame, key: str) -> DataFrame:
 
         return df.withColumns({"pos_hit": hit("labels"), "neg_hit": hit("not_labels")})
 
-    # Few rows are hit: only their keys are grouped, and rows keep their place
-    # when the adaptive plan finds the hits small.
-    hits = (
+    # Few rows are hit, and only their keys are grouped. Their number is known before
+    # the join, so that the rows stay in place where it allows a broadcast.
+    hits = materialise(
         labels_with_role(df.withColumn("_key", text_key(F.col(key).cast("string"))), "_key")
         .join(heldout.select("label").distinct(), "label", "left_semi")
         .groupBy("_key")
         .agg(F.max("is_pos").alias("pos_hit"), F.max(~F.col("is_pos")).alias("neg_hit"))
     )
+    if hits.count() <= MAX_BROADCAST_HITS:
+        hits = F.broadcast(hits)
     flagged = df.withColumn("_key", text_key(F.col(key).cast("string"))).join(hits, "_key", "left").drop("_key")
     return flagged.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in ("pos_hit", "neg_hit")})
 

@@ -208,7 +208,7 @@ def token_fit(
 
 
 def _metric_rows(wide: DataFrame, rows: list[tuple]) -> DataFrame:
-    """Turn a one-row aggregate into rows of (names..., value, passed)."""
+    """Turn a one-row aggregate into rows of (section, metric, value, status)."""
     return wide.select(
         F.inline(
             F.array(
@@ -217,7 +217,7 @@ def _metric_rows(wide: DataFrame, rows: list[tuple]) -> DataFrame:
                         F.lit(section).alias("section"),
                         F.lit(metric).alias("metric"),
                         value.cast("double").alias("value"),
-                        passed.alias("passed"),
+                        (F.lit("info") if passed is None else F.when(passed, "pass").otherwise("fail")).alias("status"),
                     )
                     for section, metric, value, passed in rows
                 ]
@@ -227,7 +227,7 @@ def _metric_rows(wide: DataFrame, rows: list[tuple]) -> DataFrame:
 
 
 def quality_scorecard(df: DataFrame, min_words: int = 10) -> DataFrame:
-    """(section, metric, value, passed) against the thresholds of a corpus fit for training.
+    """(section, metric, value, status) against the thresholds of a corpus fit for training.
 
     One pass reads texts, one reads labels; copies of a text combine before they
     are shuffled.
@@ -257,7 +257,7 @@ def quality_scorecard(df: DataFrame, min_words: int = 10) -> DataFrame:
     from_rows = _metric_rows(
         a,
         [
-            ("health", "examples", n, F.lit(None).cast("boolean")),
+            ("health", "examples", n, None),
             ("health", "duplicate_share", dupes, dupes < 0.02),
             ("health", "short_share", short, short < 0.01),
             ("labels", "mean_positive", pos, pos >= 2),

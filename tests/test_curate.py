@@ -71,12 +71,14 @@ def test_split_never_leaks(corpus):
     assert check.test_rows + check.train_rows < 400
 
 
-def test_both_ways_to_match_heldout_agree(corpus, monkeypatch):
+def test_all_ways_to_match_heldout_agree(corpus, monkeypatch):
     held = curate.choose_heldout(corpus, 0.1)
     by_literal = {r.text: r.split for r in curate.assign_split(corpus, held).collect()}
     monkeypatch.setattr(curate, "MAX_LITERAL_LABELS", 2)
+    by_broadcast = {r.text: r.split for r in curate.assign_split(corpus, held).collect()}
+    monkeypatch.setattr(curate, "MAX_BROADCAST_HITS", 0)
     by_join = {r.text: r.split for r in curate.assign_split(corpus, held).collect()}
-    assert by_literal == by_join and set(by_join.values()) == {"train", "test", "dropped"}
+    assert by_literal == by_broadcast == by_join and set(by_join.values()) == {"train", "test", "dropped"}
 
 
 def test_empty_heldout_is_all_train(corpus):
