@@ -20,7 +20,9 @@ def read_replies(spark: SparkSession, path: str) -> DataFrame:
     """Replies written so far; none before the first run."""
     try:
         return spark.read.schema(REPLY_SCHEMA).parquet(path)
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise  # unread replies would be asked for again
         return spark.createDataFrame([], REPLY_SCHEMA)
 
 
