@@ -86,7 +86,7 @@ class Bins:
         return [r for _, rows in out for r in rows]
 
     def rest(self) -> list:
-        out = [r for same in self.bins for _, rows in same for r in rows]
+        out = self.done() + [r for same in self.bins for _, rows in same for r in rows]
         self.__init__(self.room, self.most, self.number)
         return out
 

@@ -38,16 +38,24 @@ def _toss_table(size: int) -> np.ndarray:
 _TOSS = _toss_table(128)
 
 
-def _coin_labels(s: np.ndarray) -> np.ndarray:
-    """Deterministic coin tossing down to labels below 6; neighbours that differ keep different labels."""
-    x = s[1:] ^ s[:-1]
-    low = x & (~x + x.dtype.type(1))
-    at = np.bitwise_count(low - x.dtype.type(1)).astype(x.dtype)
+def _coin_labels(s: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Deterministic coin tossing down to labels below 6; neighbours that differ keep different labels.
+
+    The first symbol of each text is tossed against zero, so no text depends on the one before it.
+    """
+    left = np.empty_like(s)
+    left[1:] = s[:-1]
+    left[heads] = 0
+    x = s ^ left
+    one = s.dtype.type(1)
+    at = np.bitwise_count((x & (~x + one)) - one).astype(s.dtype)
     at[x == 0] = 0
-    label = np.zeros(len(s), np.uint8)
-    label[1:] = (at * x.dtype.type(2) + ((s[1:] >> at) & x.dtype.type(1))).astype(np.uint8)
+    label = (at * s.dtype.type(2) + ((s >> at) & one)).astype(np.uint8)
+    before = np.empty_like(label)
     for _ in range(3):
-        label[1:] = _TOSS[label[:-1], label[1:]]
+        before[1:] = label[:-1]
+        before[heads] = 0
+        label = _TOSS[before, label]
     return label
 
 
@@ -70,11 +78,11 @@ def parse_level(s: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
         names[long] = _mixed(names[long] * _M1 + run[long].astype(np.uint64))
     heads = first[at]
     symbols = names if s.dtype == np.uint64 or long.any() else s[at]
-    label = _coin_labels(symbols)
+    label = _coin_labels(symbols, heads)
     label[heads] = 6
     cut = heads.copy()
     if len(label) > 2:
-        cut[1:-1] |= (label[1:-1] > label[:-2]) & (label[1:-1] > label[2:]) & ~heads[:-2]
+        cut[1:-1] |= (label[1:-1] > label[:-2]) & (label[1:-1] > label[2:])
     begin = np.nonzero(cut)[0]
     place = np.arange(len(names), dtype=np.uint64) - np.repeat(begin, np.diff(np.append(begin, len(names)))).astype(np.uint64)
     phrases = _mixed(np.add.reduceat(_mixed(names + (place + np.uint64(1)) * _M1), begin))

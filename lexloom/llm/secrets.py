@@ -50,9 +50,9 @@ _NEAR = {
     if 0 <= r + dr < len(_KEYBOARD) and 0 <= c + dc < len(_KEYBOARD[r + dr])
     for b in [_KEYBOARD[r + dr][c + dc]]
 }
+_YEAR, _MONTH, _DAY = r"(?:19|20)\d\d", r"(?:1[0-2]|0?[1-9])", r"(?:3[01]|[12]\d|0?[1-9])"
 _DATES = re.compile(
-    r"(?=((?:19|20)\d\d[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:0?[1-9]|[12]\d|3[01])"
-    r"|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d))|(?=((?:19|20)\d\d))"
+    rf"(?=({_YEAR}[-/._]?{_MONTH}[-/._]?{_DAY}|{_DAY}[-/._]?{_MONTH}[-/._]?{_YEAR}))|(?=({_YEAR}))"
 )
 
 

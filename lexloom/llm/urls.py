@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -18,6 +19,8 @@ from lexloom.llm import trees
 TRAIN_ROWS = 20_000
 #: Rules live in the plan, so their number is bounded.
 MAX_RULES = 1_000
+#: Hosts that must share a suffix for its block rate to count.
+SHARED = 3
 #: A url is blocked at this score or above.
 BLOCK = 0.5
 
@@ -81,8 +84,8 @@ def _entropy(s: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(s).values()) if n else 0.0
 
 
-def lexical(url: str | None, model: UrlModel, own: int | None = None) -> list[float]:
-    """Lexical features of a url. `own` is its label when it was counted in the suffix rates: it is taken out."""
+def lexical(url: str | None, model: UrlModel) -> list[float]:
+    """Lexical features of a url, with the block rates of its suffixes."""
     url = url or ""
     scheme, _, rest = url.partition("://")
     m = re.match(r"([^/?#]*)([^?#]*)(?:\?([^#]*))?", rest)
@@ -97,8 +100,6 @@ def lexical(url: str | None, model: UrlModel, own: int | None = None) -> list[fl
     ]
     for suffix in suffixes_of(url):
         n, bad = model.suffixes.get(suffix, (0, 0))
-        if own is not None:
-            n, bad = n - 1, bad - own
         row += [(bad + 4 * model.share) / (n + 4), math.log1p(max(n, 0))]
     return row
 
@@ -106,6 +107,8 @@ def lexical(url: str | None, model: UrlModel, own: int | None = None) -> list[fl
 def fit_urls(labelled: DataFrame, url: str = "url", label: str = "y", bound: int = TRAIN_ROWS) -> UrlModel:
     """Fit on labelled urls (1: block); above `bound` rows those with the smallest hash.
 
+    One half of them, by checksum, gives the suffix rates, the other half the trees, so
+    that no tree sees a rate that holds its own label.
     Rows without url or label take no part. Without any, every url scores one half.
     """
     rows = (
@@ -113,18 +116,24 @@ def fit_urls(labelled: DataFrame, url: str = "url", label: str = "y", bound: int
         .where(F.col("u").isNotNull() & F.col("y").isNotNull())
         .orderBy(F.xxhash64("u"), "u", "y").limit(bound).collect()
     )
-    y = np.array([r["y"] for r in rows], float)
+    halves = ([r for r in rows if zlib.crc32(r["u"].encode("utf-8", "replace")) & 1 == h] for h in (0, 1))
+    counted, trained = halves
     counts: dict[str, list[int]] = {}
-    for r in rows:
+    hosts: dict[str, set[str]] = {}
+    for r in counted:
+        host = re.split(r"[/?#]", r["u"].partition("://")[2], maxsplit=1)[0].lower()
         for s in suffixes_of(r["u"]):
+            hosts.setdefault(s, set()).add(host)
             c = counts.setdefault(s, [0, 0])
             c[0] += 1
             c[1] += r["y"]
-    share = float((y.sum() + 0.5) / (len(y) + 1))
-    model = UrlModel(trees.fit(np.zeros((0, 1)), y[:0]), {s: (n, b) for s, (n, b) in counts.items()}, share)
+    suffixes = {s: (n, bad) for s, (n, bad) in counts.items() if len(hosts[s]) >= SHARED}
+    share = (sum(r["y"] for r in rows) + 0.5) / (len(rows) + 1)
+    model = UrlModel(trees.fit(np.zeros((0, 1)), np.zeros(0)), suffixes, share)
     if rows:
-        x = np.array([lexical(r["u"], model, r["y"]) for r in rows], float)
-        model.forest = trees.fit(x, y)
+        used = trained or counted
+        x = np.array([lexical(r["u"], model) for r in used], float)
+        model.forest = trees.fit(x, np.array([r["y"] for r in used], float))
     return model
 
 
