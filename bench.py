@@ -1,7 +1,10 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR selects the data, BENCH_CPUS the local cores, BENCH_QUERIES (comma
-separated, or `all`) the queries. Every query runs to completion into a no-op sink.
+separated, or `all`) the queries, BENCH_WARM=1 a second run of each. Every query runs
+to completion into a no-op sink. `derive_corpus` is the time to read the documents and
+write the labelled corpus that the other queries read; `shuffle_mb` is what a query's
+first run wrote to shuffles.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ import sys
 import time
 
 from checks.queries import QUERIES
-from lexloom import build_session
+from lexloom import build_session, fixtures
 
 HEADLINE = (
     "merge_by_text strict_split seen_in_train_buckets expand_bundles label_counts label_roles label_diversity "
@@ -21,6 +24,18 @@ HEADLINE = (
 ).split()
 
 
+def shuffled(spark) -> float:
+    """MB written to shuffles so far."""
+    store = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(store.apply(i).totalShuffleWrite() for i in range(store.size())) / 1e6
+
+
+def timed(run) -> float:
+    start = time.perf_counter()
+    run()
+    return round(time.perf_counter() - start, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -31,13 +46,22 @@ def main() -> None:
         spark__ui__showConsoleProgress="false", spark__driver__memory="16g",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    QUERIES["label_counts"](spark, sf_dir).count()  # start-up is not a query
-    seconds = {}
+    spark.range(100).groupBy("id").count().count()  # start-up is not a query
+    derive = timed(lambda: fixtures.examples(spark, sf_dir).count())
+    print(f"{derive:8.3f} derive_corpus", file=sys.stderr, flush=True)
+    QUERIES["label_counts"](spark, sf_dir).count()
+    seconds, warm, megabytes = {}, {}, {}
     for name in names:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
-        print(f"{seconds[name]:8.3f} {name}", file=sys.stderr, flush=True)
+
+        def run(name=name):
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+
+        before = shuffled(spark)
+        seconds[name] = timed(run)
+        megabytes[name] = round(shuffled(spark) - before, 2)
+        if os.environ.get("BENCH_WARM"):
+            warm[name] = timed(run)
+        print(f"{seconds[name]:8.3f} {megabytes[name]:9.2f} MB {name}", file=sys.stderr, flush=True)
     print(
         json.dumps(
             {
@@ -47,6 +71,9 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "cpus": int(cpus),
+                "derive_corpus": derive,
+                "shuffle_mb": megabytes,
+                **({"warm": warm} if warm else {}),
             }
         )
     )

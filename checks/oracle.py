@@ -6,7 +6,7 @@ Spark plan: plain windows, lists and group-bys over whole tables.
 
 from __future__ import annotations
 
-from lexloom.operators.prompts import SYSTEM_PROMPT, USER_TEMPLATE  # texts only
+from lexloom.operators.prompts import SYSTEM_PROMPT
 from lexloom.vocab import LENGTHS, LEVELS, STOPWORDS
 
 BL = r"\t-\r\x{1c}-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -30,6 +30,10 @@ li AS (SELECT doc_id, origin, text, unnest(labels) AS label, true AS is_pos FROM
 lc AS (SELECT label, count(*) FILTER (is_pos) AS n_pos, count(*) FILTER (NOT is_pos) AS n_neg FROM li GROUP BY label)"""
 
 
+def literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def merged(source: str, name: str, where: str = "true", model: str = "array_to_string(list_sort(list(DISTINCT model)), '|')") -> str:
     """CTEs that merge rows of `source` by text into `name`."""
     return f"""
@@ -88,9 +92,9 @@ d AS (SELECT * FROM rn WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.text = rn.text
 # Replies by number of the bundle.
 B = E + """,
 bundle AS (SELECT bundle_id, min_by(genre, doc_id) AS genre, min_by(language_level, doc_id) AS language_level, count(*) AS members,
-    bundle_id % 7 = 0 AS no_reply, bundle_id % 7 <> 0 AND bundle_id % 11 = 0 AS malformed,
+    bundle_id % 7 = 0 AS no_reply, bundle_id % 7 <> 0 AND (bundle_id % 11 = 0 OR bundle_id % 13 <> 0 AND bundle_id % 17 = 0) AS malformed,
     bundle_id % 7 <> 0 AND bundle_id % 11 <> 0 AND bundle_id % 13 = 0 AS hollow,
-    bundle_id % 7 <> 0 AND bundle_id % 11 <> 0 AND bundle_id % 13 <> 0 AS usable
+    bundle_id % 7 <> 0 AND bundle_id % 11 <> 0 AND bundle_id % 13 <> 0 AND bundle_id % 17 <> 0 AS usable
     FROM e GROUP BY bundle_id),
 x AS (SELECT b.bundle_id, b.genre, b.language_level, doc_id, text,
     list_filter(labels, lambda l: NOT list_contains(not_labels, l)) AS labels,
@@ -299,10 +303,13 @@ ORACLE: dict[str, str] = {
         SELECT doc_id AS article_id FROM o, c WHERE pos < ceil((2 * n - w) / 5)""",
     "paragraph_window": f"WITH {articles_cut()} SELECT doc_id AS article_id, concat('Title ', doc_id) AS title, md5(text) AS text FROM pw",
     "assign_conditions": f"{COND} SELECT article_id, genre_name, length_label, level_label FROM cond",
-    "build_prompts": f"{COND} SELECT article_id, genre, language_level, 2::BIGINT AS n_messages, 'user' AS role, len(content) AS n_chars, md5(content) AS content FROM pr",
+    "build_prompts": f"""{COND} SELECT article_id, genre, language_level, 2::BIGINT AS n_messages, 'user' AS role, len(content) AS n_chars,
+        md5(content) AS content, md5({literal(SYSTEM_PROMPT)}) AS system FROM pr""",
     "complete": f"""{COND} SELECT article_id, CASE WHEN len(content) % 5 = 0 OR len(content) % 7 = 0 THEN NULL
         ELSE concat('sized:64:', len(content)) END AS response FROM pr""",
-    "parse_responses": f"WITH {B} SELECT bundle_id, usable OR hollow AS parsed, CASE WHEN usable THEN members ELSE 0 END AS n_examples FROM bundle",
+    "parse_responses": f"""WITH {B}, jt AS (SELECT bundle_id, string_agg(text, '|' ORDER BY doc_id) AS texts FROM e GROUP BY bundle_id)
+        SELECT bundle_id, usable OR hollow AS parsed, CASE WHEN usable THEN members ELSE 0 END AS n_examples,
+        md5(CASE WHEN usable THEN texts ELSE '' END) AS texts FROM bundle JOIN jt USING (bundle_id)""",
     "validate_bundles": f"WITH {B} SELECT bundle_id, usable AS is_valid FROM bundle",
     "expand_bundles": f"""WITH {B} SELECT bundle_id, genre, language_level, doc_id % 5 AS example_no, md5(text) AS text, {JOINED},
         'wikipedia' AS source FROM x WHERE len(labels) > 0 AND len(not_labels) > 0""",
@@ -324,6 +331,7 @@ ORACLE: dict[str, str] = {
         count(*) AS unique_all, count(*) FILTER (n_pos > 0 AND n_neg > 0) AS unique_both FROM lc""",
     "choose_heldout": f"WITH {E},{held('e', 'h')} SELECT label FROM h",
     "strict_split": f"WITH {SPLIT} SELECT md5(text) AS text, split FROM s",
+    "strict_split_unmerged": f"WITH {E},{held('e', 'h')},{routed('e', 'h', 'r')} SELECT doc_id, split FROM r",
     "leak_check": f"""WITH {SPLIT},{roles_by_split('s')} SELECT (SELECT count(*) FROM s WHERE split = 'train') AS train_rows,
         (SELECT count(*) FROM s WHERE split = 'test') AS test_rows, (SELECT count(*) FROM h) AS heldout_labels,
         (SELECT count(*) FROM h JOIN f USING (label) WHERE train_pos OR train_neg) AS leaked_labels""",
@@ -331,6 +339,8 @@ ORACLE: dict[str, str] = {
     "route_increment": f"WITH {INC} SELECT md5(text) AS text, split FROM rn",
     "route_counts": f"WITH {INC} SELECT split, count(*) AS n FROM rn GROUP BY split",
     "dedupe_against": f"WITH {INC} SELECT md5(text) AS text, split FROM d",
+    "dedupe_skipped": f"""WITH {INC} SELECT split, count(*) FILTER (NOT seen) AS added, count(*) FILTER (seen) AS skipped FROM (
+        SELECT rn.split, EXISTS (SELECT 1 FROM x WHERE x.text = rn.text AND x.split = rn.split) AS seen FROM rn) GROUP BY split""",
     "append_increment": f"""WITH {INC} SELECT md5(text) AS text, split, array_to_string(labels, '|') AS labels, model FROM x
         UNION ALL SELECT md5(text), split, array_to_string(labels, '|'), model FROM d WHERE split <> 'dropped'""",
     "increment_growth": f"""WITH {INC} SELECT split, count(*) FILTER (old) AS before, count(*) AS after FROM (
@@ -347,6 +357,9 @@ ORACLE: dict[str, str] = {
     "describe": f"WITH {ENRICH}, lf AS ({long_form('en', NUM)}) SELECT metric, {DESCRIBE} FROM lf GROUP BY metric",
     "describe_by_origin": f"WITH {ENRICH}, lf AS ({long_form('en', NUM)}) SELECT origin, metric, {DESCRIBE} FROM lf GROUP BY ALL",
     "describe_quality": f"WITH {Q}, lf AS ({long_form('q', QUAL)}) SELECT origin, metric, {DESCRIBE} FROM lf GROUP BY ALL",
+    "describe_keys": f"""WITH k AS (SELECT l_returnflag, l_orderkey + 1000000000 AS "order", l_orderkey + 1000000000 AS order_int, l_linenumber AS line FROM lineitem),
+        lf AS ({long_form('k', ('"order"', 'order_int', 'line'), 'l_returnflag')})
+        SELECT l_returnflag, trim(metric, '"') AS metric, {DESCRIBE} FROM lf GROUP BY ALL""",
     "short_texts": f"""WITH {ENRICH} SELECT count(*) AS rows, count(*) FILTER (text_words < 10) AS short,
         round(100.0::DOUBLE * count(*) FILTER (text_words < 10) / count(*), 6) AS short_pct FROM en""",
     "label_counts": f"WITH {LI} SELECT label, n_pos, n_neg FROM lc",
@@ -452,6 +465,8 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (n = 1) AS hapaxes FROM wc GROUP BY origin""",
     "top_words": f"""WITH {W} SELECT origin, word, n, row_number() OVER (PARTITION BY origin ORDER BY n DESC, word) AS rank FROM wc
         WHERE word NOT IN {STOP} QUALIFY rank <= 30""",
+    "top_words_many": f"""WITH {W} SELECT origin, word, n, row_number() OVER (PARTITION BY origin ORDER BY n DESC, word) AS rank FROM wc
+        QUALIFY rank <= 5000""",
     "ttr": f"""WITH {W} SELECT origin, round(count(*) / sum(n), 6) AS ttr,
         round(count(*) FILTER (word NOT IN {STOP}) / sum(n) FILTER (word NOT IN {STOP}), 6) AS ttr_content FROM wc GROUP BY origin""",
     "msttr": f"WITH {E},{segments(False)}",
@@ -471,8 +486,7 @@ ORACLE: dict[str, str] = {
     "bigrams": f"WITH {E},{within_ctes(2)} SELECT ngram, n FROM ng",
     "top_bigrams_across_texts": f"""WITH {E},{ngram_ctes(2, True, by='origin')} SELECT grp AS origin, ngram, n,
         row_number() OVER (PARTITION BY grp ORDER BY n DESC, ngram) AS rank FROM ng QUALIFY rank <= 20""",
-    "trigrams_across_texts": f"""WITH {E},{ngram_ctes(3, False, by='origin')} SELECT grp AS origin, n, count(*) AS types, min(ngram) AS first,
-        max(ngram) AS last FROM ng GROUP BY ALL""",
+    "trigrams_across_texts": f"WITH {E},{ngram_ctes(3, False, by='origin')} SELECT grp AS origin, ngram, n FROM ng",
     "top_trigrams": f"WITH {E},{within_ctes(3)} SELECT ngram, n FROM ng ORDER BY n DESC, ngram LIMIT 20",
     "ngram_overlap": f"""WITH {E},{ngram_ctes(2, True, by='origin')},
         a AS (SELECT ngram FROM ng WHERE grp = 'local_new' ORDER BY n DESC, ngram LIMIT 5000),
@@ -511,7 +525,6 @@ ORACLE: dict[str, str] = {
             list_sum(list_transform(range(0, 6000), lambda i: exp(-(z * (i + 0.5) * 0.002 + pow((i + 0.5) * 0.002, 2) / 2)))))), 6) AS mw_p FROM z""",
     "stream_expand": f"""WITH {B} SELECT 'wikipedia' AS source, genre, language_level, md5(text) AS text, {JOINED}
         FROM x WHERE len(labels) > 0 AND len(not_labels) > 0""",
+    "stream_increment_replayed": f"WITH {INC} SELECT md5(text) AS text, split, {JOINED}, model FROM d WHERE split <> 'dropped'",
     "stream_increment": f"WITH {INC} SELECT md5(text) AS text, split, {JOINED}, model FROM d WHERE split <> 'dropped'",
 }
-
-assert SYSTEM_PROMPT and USER_TEMPLATE

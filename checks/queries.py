@@ -107,7 +107,7 @@ def read_published(spark, sf_dir):
 def write_dataset_train_only(spark, sf_dir):
     path = work_dir(spark, "train")
     corpus.write_dataset(curate.merge_by_text(fx.examples(spark, sf_dir), "first"), path)
-    return digest(corpus.read_published(spark, path, "train"))
+    return digest(corpus.read_published(spark, path, "train")).select("text", "labels", "not_labels", "model", "split")
 
 
 # --- sampling, conditions, prompts -------------------------------------------
@@ -167,6 +167,7 @@ def build_prompts(spark, sf_dir):
     return p.select(
         "article_id", "genre", "language_level", F.size("messages").alias("n_messages"), user["role"].alias("role"),
         F.char_length(user["content"]).alias("n_chars"), F.md5(user["content"]).alias("content"),
+        F.md5(F.col("messages")[0]["content"]).alias("system"),
     )
 
 
@@ -197,7 +198,11 @@ def complete(spark, sf_dir):
 def parse_responses(spark, sf_dir):
     p = bundles.parse_responses(fx.replies(spark, sf_dir))
     examples = F.try_variant_get("bundle", "$.examples", "array<variant>")
-    return p.select("bundle_id", F.col("bundle").isNotNull().alias("parsed"), F.coalesce(F.size(examples), F.lit(0)).alias("n_examples"))
+    texts = F.array_join(F.transform(examples, lambda e: F.try_variant_get(e, "$.text", "string")), "|")
+    return p.select(
+        "bundle_id", F.col("bundle").isNotNull().alias("parsed"), F.coalesce(F.size(examples), F.lit(0)).alias("n_examples"),
+        F.md5(F.coalesce(texts, F.lit(""))).alias("texts"),
+    )
 
 
 @query
@@ -250,6 +255,13 @@ def strict_split(spark, sf_dir):
     return digest(curate.strict_split(merged, heldout)).select("text", "split")
 
 
+@query
+def strict_split_unmerged(spark, sf_dir):
+    """Rows as they are, copies of a text with labels of their own among them."""
+    rows = fx.examples(spark, sf_dir).select("doc_id", "text", "labels", "not_labels")
+    return curate.assign_split(rows, curate.choose_heldout(rows, fx.HELDOUT_RATIO, fx.SEED)).select("doc_id", "split")
+
+
 @query
 def leak_check(spark, sf_dir):
     merged, heldout = split(spark, sf_dir)
@@ -291,6 +303,12 @@ def dedupe_against(spark, sf_dir):
     return digest(curate.dedupe_against(curate.route_increment(new, heldout), existing)).select("text", "split")
 
 
+@query
+def dedupe_skipped(spark, sf_dir):
+    existing, heldout, new = increment(spark, sf_dir)
+    return curate.dedupe_counts(curate.route_increment(new, heldout), existing)
+
+
 @query
 def append_increment(spark, sf_dir):
     existing, heldout, new = increment(spark, sf_dir)
@@ -345,6 +363,17 @@ def describe_quality(spark, sf_dir):
     return health.describe(lexical.text_quality(fx.texts(spark, sf_dir)), lexical.QUALITY, ["origin"])
 
 
+@query
+def describe_keys(spark, sf_dir):
+    """Large keys as longs, and small numbers as ints."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    big = F.col("l_orderkey").cast("bigint") + F.lit(1_000_000_000)
+    return health.describe(
+        lines.select(big.alias("order"), (big.cast("int")).alias("order_int"), F.col("l_linenumber").cast("int").alias("line"), "l_returnflag"),
+        ("order", "order_int", "line"), ["l_returnflag"],
+    )
+
+
 @query
 def short_texts(spark, sf_dir):
     return health.short_texts(fx.texts(spark, sf_dir))
@@ -559,6 +588,11 @@ def top_words(spark, sf_dir):
     return lexical.top_words(content, ["origin"], 30)
 
 
+@query
+def top_words_many(spark, sf_dir):
+    return lexical.top_words(origin_words(spark, sf_dir), ["origin"], 5000)
+
+
 @query
 def ttr(spark, sf_dir):
     return lexical.ttr(origin_words(spark, sf_dir), ["origin"])
@@ -630,8 +664,7 @@ def top_bigrams_across_texts(spark, sf_dir):
 
 @query
 def trigrams_across_texts(spark, sf_dir):
-    grams = lexical.ngrams(fx.texts(spark, sf_dir), 3, ["origin"], None, across_texts=True, key="doc_id")
-    return grams.groupBy("origin", "n").agg(F.count("*").alias("types"), F.min("ngram").alias("first"), F.max("ngram").alias("last"))
+    return lexical.ngrams(fx.texts(spark, sf_dir), 3, ["origin"], None, across_texts=True, key="doc_id")
 
 
 @query
@@ -641,10 +674,8 @@ def top_trigrams(spark, sf_dir):
 
 @query
 def ngram_overlap(spark, sf_dir):
-    t = fx.texts(spark, sf_dir)
-    a = lexical.ngrams(t.where(F.col("origin") == fx.LEFT), 2, across_texts=True, key="doc_id")
-    b = lexical.ngrams(t.where(F.col("origin") == fx.RIGHT), 2, across_texts=True, key="doc_id")
-    return lexical.ngram_overlap(a, b)
+    grams = materialise(lexical.ngrams(fx.texts(spark, sf_dir), 2, ["origin"], across_texts=True, key="doc_id"))
+    return lexical.ngram_overlap(*[grams.where(F.col("origin") == side) for side in (fx.LEFT, fx.RIGHT)])
 
 
 @query
@@ -727,3 +758,23 @@ def stream_increment(spark, sf_dir):
             spark, f"{base}/in", existing, fixed, f"{base}/out", f"{base}/checkpoint"
         ).awaitTermination()
     return digest(jobs.read_increment(spark, f"{base}/out")).select("text", "split", "labels", "not_labels", "model")
+
+
+@query
+def stream_increment_replayed(spark, sf_dir):
+    """Two arrivals, a lost checkpoint, and both again: nothing is there twice."""
+    base = work_dir(spark, "stream-replayed")
+    e = fx.examples(spark, sf_dir)
+    existing, heldout, _ = increment(spark, sf_dir)
+    fixed = materialise(heldout)
+    new = e.where((F.col("doc_id") % 10 >= 8) | (F.col("doc_id") % 50 == 0))
+    # A text's copies arrive together, so that merging them in one batch or in all is the same.
+    half = F.pmod(F.xxhash64("text"), F.lit(2))
+    for part, checkpoint in ((0, "first"), (1, "first"), (None, "second")):
+        if part is not None:
+            rows = new.where(half == part).select("text", "labels", "not_labels", "model")
+            rows.write.mode("append").json(f"{base}/in")
+        jobs.stream_increment(
+            spark, f"{base}/in", existing, fixed, f"{base}/out", f"{base}/{checkpoint}", files_per_batch=100
+        ).awaitTermination()
+    return digest(jobs.read_increment(spark, f"{base}/out")).select("text", "split", "labels", "not_labels", "model")

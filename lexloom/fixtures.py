@@ -1,7 +1,7 @@
 """Relations the checks derive from the `documents` table.
 
 `examples` are labelled rows, `replies` are model replies of five documents each,
-some missing, malformed, empty or fenced, and `articles` are the source texts.
+some missing, malformed, empty, fenced, inside an array or with a repeated key, and `articles` are the source texts.
 """
 
 from __future__ import annotations
@@ -36,7 +36,8 @@ def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _written:
         path = work_dir(spark, "examples-table")
-        derive_examples(spark, sf_dir).write.parquet(path)
+        files = spark.sparkContext.defaultParallelism
+        derive_examples(spark, sf_dir).repartition(files, "doc_id").write.parquet(path)
         _written[at] = path
     return spark.read.parquet(_written[at])
 
@@ -97,6 +98,8 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(b % 7 == 0, F.lit(None).cast("string"))
         .when(b % 11 == 0, F.substring("j", 1, 40))
         .when(b % 13 == 0, F.lit('{"shared_labels":[],"examples":[]}'))
+        .when(b % 17 == 0, F.concat(F.lit("["), "j", F.lit("]")))
+        .when(b % 19 == 0, F.concat(F.lit('{"examples":[],'), F.expr("substring(j, 2)")))
         .when(b % 2 == 0, F.concat(F.lit("Here you go:\n```json\n"), "j", F.lit("\n```")))
         .otherwise(F.col("j"))
         .alias("response"),

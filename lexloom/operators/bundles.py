@@ -15,9 +15,17 @@ NEGATIVE_RANGE = (8, 15)
 
 
 def parse_responses(df: DataFrame, response: str = "response") -> DataFrame:
-    """Add `bundle VARIANT`: the JSON object inside a reply (fences and chatter cut off), null if malformed."""
+    """Add `bundle VARIANT`: the JSON object inside a reply (fences and chatter cut off), null if malformed.
+
+    A repeated key keeps its last value, as in most JSON readers; Spark decides that by a
+    setting of the session, which is set here. An object that an array holds is no
+    bundle: a bracket before it is still open.
+    """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     found = F.regexp_extract(F.col(response), r"(?s)(\{.*\})", 1)
-    return df.withColumn("bundle", F.try_parse_json(found))
+    before = F.regexp_extract(F.col(response), r"(?s)\A([^{]*)", 1)
+    in_array = F.regexp_count(before, F.lit(r"\[")) > F.regexp_count(before, F.lit(r"\]"))
+    return df.withColumn("bundle", F.when(~in_array, F.try_parse_json(found)))
 
 
 def validate_bundles(df: DataFrame) -> DataFrame:

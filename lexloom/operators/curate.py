@@ -65,9 +65,13 @@ def role_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def label_vocabulary(df: DataFrame) -> DataFrame:
-    """Distinct labels by role and overall."""
-    return role_flags(df).agg(
+def label_vocabulary(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Distinct labels by role and overall; from label counts (`n_pos`, `n_neg`) where a caller has them."""
+    if counts is None:
+        flags = role_flags(df)
+    else:
+        flags = counts.select((F.col("n_pos") > 0).alias("in_pos"), (F.col("n_neg") > 0).alias("in_neg"))
+    return flags.agg(
         count_if(F.col("in_pos")).alias("unique_pos"),
         count_if(F.col("in_neg")).alias("unique_neg"),
         F.count("*").alias("unique_all"),
@@ -86,44 +90,47 @@ def choose_heldout(df: DataFrame, ratio: float = TEST_RATIO, seed: int | str = 4
     return ordered_sample(vocabulary, "label", seed, 0, n)
 
 
-def _with_hits(df: DataFrame, heldout: DataFrame, key: str) -> DataFrame:
+def _with_hits(df: DataFrame, heldout: DataFrame) -> DataFrame:
     """Add `pos_hit` and `neg_hit`: does a row carry a held-out label in that role.
 
-    `key` identifies a row and is used only when the held-out set is too large to
-    be a literal.
+    A small held-out set travels as a literal. A larger one is joined, keyed by what
+    decides a hit, the two label lists themselves, so both ways give every row the same
+    answer, whatever its text.
     """
     sample = [r["label"] for r in heldout.select("label").limit(MAX_LITERAL_LABELS + 1).collect()]
     if len(sample) <= MAX_LITERAL_LABELS:
 
         def hit(column: str) -> Column:
-            return F.exists(column, lambda x: x.isin(*sample)) if sample else F.lit(False)
+            return F.coalesce(F.exists(column, lambda x: x.isin(*sample)), F.lit(False)) if sample else F.lit(False)
 
         return df.withColumns({"pos_hit": hit("labels"), "neg_hit": hit("not_labels")})
 
     # Few rows are hit, and only their keys are grouped. Their number is known before
     # the join, so that the rows stay in place where it allows a broadcast.
+    keyed = df.withColumn("_key", text_key(F.to_json(F.struct("labels", "not_labels"))))
+    lists = keyed.select("_key", *[F.coalesce(c, no_strings()).alias(c) for c in ("labels", "not_labels")])
     hits = materialise(
-        labels_with_role(df.withColumn("_key", text_key(F.col(key).cast("string"))), "_key")
+        labels_with_role(lists, "_key")
         .join(heldout.select("label").distinct(), "label", "left_semi")
         .groupBy("_key")
         .agg(F.max("is_pos").alias("pos_hit"), F.max(~F.col("is_pos")).alias("neg_hit"))
     )
     if hits.count() <= MAX_BROADCAST_HITS:
         hits = F.broadcast(hits)
-    flagged = df.withColumn("_key", text_key(F.col(key).cast("string"))).join(hits, "_key", "left").drop("_key")
+    flagged = keyed.join(hits, "_key", "left").drop("_key")
     return flagged.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in ("pos_hit", "neg_hit")})
 
 
-def assign_split(df: DataFrame, heldout: DataFrame, key: str = "text") -> DataFrame:
+def assign_split(df: DataFrame, heldout: DataFrame) -> DataFrame:
     """Add `split`: test with a held-out positive, dropped with only a held-out negative, else train."""
-    flagged = _with_hits(df, heldout, key)
+    flagged = _with_hits(df, heldout)
     split = F.when(F.col("pos_hit"), "test").when(F.col("neg_hit"), "dropped").otherwise("train")
     return flagged.withColumn("split", split).drop("pos_hit", "neg_hit")
 
 
-def strict_split(df: DataFrame, heldout: DataFrame, key: str = "text") -> DataFrame:
+def strict_split(df: DataFrame, heldout: DataFrame) -> DataFrame:
     """Train and test rows; rows that would leak a held-out label are left out."""
-    return assign_split(df, heldout, key).where(F.col("split") != "dropped")
+    return assign_split(df, heldout).where(F.col("split") != "dropped")
 
 
 def _split_role_flags(df: DataFrame) -> DataFrame:
@@ -159,15 +166,20 @@ def reconstruct_heldout(published: DataFrame) -> DataFrame:
     return flags.where(F.col("test_pos") & ~F.col("train_pos") & ~F.col("train_neg")).select("label")
 
 
-def route_increment(new: DataFrame, heldout: DataFrame, key: str = "text") -> DataFrame:
+def route_increment(new: DataFrame, heldout: DataFrame) -> DataFrame:
     """Send new rows to test, train or dropped."""
-    return assign_split(new, heldout, key)
+    return assign_split(new, heldout)
 
 
 def route_counts(routed: DataFrame) -> DataFrame:
     return routed.groupBy("split").agg(F.count("*").alias("n"))
 
 
+def _known(existing: DataFrame, keys: list[str]) -> DataFrame:
+    digest = F.col("text_digest") if "text_digest" in existing.columns else text_key("text")
+    return existing.select(digest.alias("_text"), *[k for k in keys if k != "_text"]).distinct()
+
+
 def dedupe_against(new: DataFrame, existing: DataFrame, across_splits: bool = False) -> DataFrame:
     """New rows whose text is not yet in the same split (or, optionally, in any).
 
@@ -175,9 +187,17 @@ def dedupe_against(new: DataFrame, existing: DataFrame, across_splits: bool = Fa
     as `text_digest`, its texts are not read.
     """
     keys = ["_text"] if across_splits else ["_text", "split"]
-    digest = F.col("text_digest") if "text_digest" in existing.columns else text_key("text")
-    known = existing.withColumn("_text", digest).select(*keys).distinct()
-    return new.withColumn("_text", text_key("text")).join(known, keys, "left_anti").select(*new.columns)
+    return new.withColumn("_text", text_key("text")).join(_known(existing, keys), keys, "left_anti").select(*new.columns)
+
+
+def dedupe_counts(new: DataFrame, existing: DataFrame, across_splits: bool = False) -> DataFrame:
+    """Per split of the new rows: how many `dedupe_against` keeps as `added`, and how many it skips as `skipped`."""
+    keys = ["_text"] if across_splits else ["_text", "split"]
+    known = _known(existing, keys).withColumn("_known", F.lit(True))
+    marked = new.select("split", text_key("text").alias("_text")).join(known, keys, "left")
+    return marked.groupBy("split").agg(
+        count_if(F.col("_known").isNull()).alias("added"), count_if(F.col("_known")).alias("skipped")
+    )
 
 
 def append_increment(existing: DataFrame, new: DataFrame) -> DataFrame:

@@ -226,11 +226,11 @@ def _metric_rows(wide: DataFrame, rows: list[tuple]) -> DataFrame:
     )
 
 
-def quality_scorecard(df: DataFrame, min_words: int = 10) -> DataFrame:
+def quality_scorecard(df: DataFrame, min_words: int = 10, counts: DataFrame | None = None) -> DataFrame:
     """(section, metric, value, status) against the thresholds of a corpus fit for training.
 
-    One pass reads texts, one reads labels; copies of a text combine before they
-    are shuffled.
+    One pass reads texts, one reads labels, none where a caller has the label counts;
+    copies of a text combine before they are shuffled.
     """
     lengths = token_lengths(df).withColumns(
         {"k": text_key("text"), "s": T.overlap_scores(F.col("text"), F.concat("labels", "not_labels"))}
@@ -269,7 +269,7 @@ def quality_scorecard(df: DataFrame, min_words: int = 10) -> DataFrame:
         ],
     )
     p, q = F.col("n_pos") > 0, F.col("n_neg") > 0
-    b = label_counts(df).agg(
+    b = (label_counts(df) if counts is None else counts).agg(
         F.count("*").alias("v"),
         long_sum(total_count()).alias("instances"),
         count_if(total_count() == 1).alias("single"),
@@ -294,8 +294,8 @@ def quality_scorecard(df: DataFrame, min_words: int = 10) -> DataFrame:
     return from_rows.unionByName(from_labels)
 
 
-def summary_table(df: DataFrame, min_count: int = 2) -> DataFrame:
-    """Metric/value table of size, vocabularies, label balance, roles and depth."""
+def summary_table(df: DataFrame, min_count: int = 2, counts: DataFrame | None = None) -> DataFrame:
+    """Metric/value table of size, vocabularies, label balance, roles and depth; `counts` are label counts if there are any."""
 
     def rows(wide: DataFrame, metrics: dict[str, Column]) -> DataFrame:
         entries = [F.struct(F.lit(m).alias("metric"), c.cast("double").alias("value")) for m, c in metrics.items()]
@@ -313,7 +313,7 @@ def summary_table(df: DataFrame, min_count: int = 2) -> DataFrame:
         },
     )
     p, q, often = F.col("n_pos") > 0, F.col("n_neg") > 0, total_count() >= min_count
-    labels = label_counts(df).agg(
+    labels = (label_counts(df) if counts is None else counts).agg(
         F.count("*").alias("v"),
         count_if(p).alias("vp"),
         count_if(p & q).alias("both"),

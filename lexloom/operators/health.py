@@ -8,12 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexloom.functions import text as T
 from lexloom.functions.columns import count_if, percent, text_key
-from lexloom.operators.scan import (
-    are_lengths,
-    null_safe_join,
-    value_counts_long,
-    weighted_percentiles,
-)
+from lexloom.operators.scan import exact_percentiles, is_vocabulary, long_values, null_safe_join
 from lexloom.session import materialise
 
 NUMERIC = ("n_pos", "n_neg", "text_words", "text_chars", "n_sentences", "n_all_labels")
@@ -63,60 +58,34 @@ def health(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max per column (and group), exact.
+    """count, mean, sample std, min, quartiles and max per column (and group), exact, for any numeric type.
 
-    Equal values are counted first, so only distinct values are shuffled and read
-    again; continuous columns take their quartiles from distributed running counts.
+    The columns are stored once, narrow. All but the quartiles are partial aggregates; the
+    quartiles rank only the values near them, see `exact_percentiles`.
     """
     keys = [*by, "metric"]
-    counts = value_counts_long(df, cols, by)
-    if are_lengths(df, cols):
-        return _describe_lengths(counts, keys)
-    counts = materialise(counts)
-    n, v = F.col("n"), F.col("value")
-    basic = counts.groupBy(*keys).agg(
-        F.sum("n").alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")
+    values = materialise(long_values(df, cols, by))
+    v = F.col("value")
+    basic = values.groupBy(*keys).agg(
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"),
     )
-    off = v - F.col("mean")
-    spread = null_safe_join(counts, basic.select(*keys, "mean"), keys).groupBy(*keys).agg(
-        _deviation(F.sum(n * off * off), F.sum(n)).alias("std")
-    )
-    quartiles = weighted_percentiles(counts, (0.25, 0.5, 0.75), keys)
-    joined = null_safe_join(null_safe_join(basic, spread, keys), quartiles, keys)
-    return joined.select(
+    quartiles = exact_percentiles(values, (0.25, 0.5, 0.75), keys)
+    return null_safe_join(basic, quartiles, keys).select(
         *keys, "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
         F.col("q2").alias("p75"), "max",
     )
 
 
-def _deviation(squares: Column, n: Column) -> Column:
-    return F.when(n > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (n - 1)))
-
-
-def _describe_lengths(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sizes per row have few distinct values, so one aggregate per group holds them all."""
-    n, v = F.col("n"), F.col("value")
-    squares = F.sum(v * v * n) - F.sum(v * n) * F.sum(v * n) / F.sum(n)
-    out = counts.groupBy(*keys).agg(
-        F.sum(n).alias("count"),
-        (F.sum(v * n) / F.sum(n)).alias("mean"),
-        _deviation(squares, F.sum(n)).alias("std"),
-        F.min(v).alias("min"),
-        F.percentile(v, [0.25, 0.5, 0.75], n).alias("_q"),
-        F.max(v).alias("max"),
-    )
-    return out.select(
-        *keys, "count", "mean", "std", "min", F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-        F.col("_q")[2].alias("p75"), "max",
-    )
-
-
 def five_numbers(df: DataFrame, by: str, cols: Sequence[str]) -> DataFrame:
-    """Minimum, quartiles and maximum per group; for tables with one row per genre."""
-    long = df.select(by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot([by], list(cols), "metric", "value")
-    q = F.percentile("value", [0.0, 0.25, 0.5, 0.75, 1.0])
-    return long.groupBy(by, "metric").agg(q.alias("q")).select(
-        by, "metric", *[F.col("q")[i].alias(n) for i, n in enumerate(("min", "p25", "p50", "p75", "max"))]
+    """Minimum, quartiles and maximum per group; a group without values has nulls."""
+    values = materialise(long_values(df, cols, [by]))
+    keys = [by, "metric"]
+    ends = values.groupBy(*keys).agg(F.min("value").alias("min"), F.max("value").alias("max"))
+    found = null_safe_join(ends, exact_percentiles(values, (0.25, 0.5, 0.75), keys), keys)
+    groups = df.select(by).distinct().select(by, F.explode(F.array(*[F.lit(c) for c in cols])).alias("metric"))
+    return null_safe_join(groups, found, keys, "left").select(
+        *keys, "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max"
     )
 
 
@@ -134,27 +103,26 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins over [min, max] per group with empty ones, last bin closed, and densities.
 
-    Equal values are counted once; range, bins and totals come from those counts.
+    The column is stored once, narrow; one pass finds the range, one counts bins inside
+    tasks, so no value is shuffled.
     """
     by = list(by)
     every = df if by else df.withColumn("_all", F.lit(1))
     keys = by or ["_all"]
-    counts = materialise(
-        every.select(*keys, F.col(column).cast("double").alias("value"))
-        .where(F.col("value").isNotNull())
-        .groupBy(*keys, "value")
-        .agg(F.count("*").alias("n"))
+    values = materialise(
+        every.select(*keys, F.col(column).cast("double").alias("value")).where(F.col("value").isNotNull())
     )
     low, high = F.min("value"), F.max("value")
-    ends = counts.groupBy(*keys).agg(
+    ends = values.groupBy(*keys).agg(
         F.when(low == high, low - 0.5).otherwise(low).alias("lo"),
         F.when(low == high, high + 0.5).otherwise(high).alias("hi"),
-        F.sum("n").alias("total"),
+        F.count("*").alias("total"),
     )
-    placed = null_safe_join(counts, ends, keys)
+    ends = materialise(ends)
+    placed = null_safe_join(values, F.broadcast(ends) if is_vocabulary(ends) else ends, keys)
     width = (F.col("hi") - F.col("lo")) / bins
     at = F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
-    filled = placed.groupBy(*keys, at.alias("bin")).agg(F.sum("n").alias("n"))
+    filled = placed.groupBy(*keys, at.alias("bin")).agg(F.count("*").alias("n"))
     grid = ends.select(*keys, "lo", "hi", "total", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return null_safe_join(grid, filled, [*keys, "bin"], "left").select(
         *by,

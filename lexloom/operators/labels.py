@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexloom.functions.columns import count_if, long_sum, percent, ratio
 from lexloom.functions.text import count_words
 from lexloom.operators.curate import labels_with_role
+from lexloom.session import materialise
 from lexloom.operators.scan import join_vocabulary
 
 
@@ -161,25 +162,21 @@ def flag_new(df: DataFrame, genres: DataFrame, name: str = "genre") -> DataFrame
 def genre_distribution(df: DataFrame, genres: DataFrame) -> DataFrame:
     """Rows per genre with the new flag, mean rows per genre and share of new rows."""
     counts = flag_new(df.groupBy("genre").agg(F.count("*").alias("n")), genres)
-    every = Window.partitionBy()  # one row per genre
-    return counts.select(
-        "genre",
-        "n",
-        "is_new",
-        F.avg("n").over(every).alias("mean_per_genre"),
-        percent(F.sum(F.when(F.col("is_new"), F.col("n")).otherwise(0)).over(every), F.sum("n").over(every)).alias(
-            "new_pct"
-        ),
+    counts = materialise(counts)
+    whole = counts.agg(
+        F.avg("n").alias("mean"), F.sum(F.when(F.col("is_new"), F.col("n")).otherwise(0)).alias("new"), F.sum("n").alias("all")
+    )
+    return counts.crossJoin(F.broadcast(whole)).select(  # one row
+        "genre", "n", "is_new", F.col("mean").alias("mean_per_genre"), percent(F.col("new"), F.col("all")).alias("new_pct")
     )
 
 
 def genre_entropy(df: DataFrame) -> DataFrame:
     """Shannon bits of the genre distribution and its share of the maximum."""
     counts = df.where(F.col("genre").isNotNull()).groupBy("genre").agg(F.count("*").alias("n"))
-    share = F.col("n") / F.sum("n").over(Window.partitionBy())  # one row per genre
-    out = counts.select(share.alias("p")).agg(
-        F.count("*").alias("genres"), (-F.sum(F.col("p") * F.log2("p"))).alias("entropy")
-    )
+    # H = log2 N - sum(n log2 n) / N: one aggregate, no share per genre.
+    n, total = F.col("n").cast("double"), F.sum("n").cast("double")
+    out = counts.agg(F.count("*").alias("genres"), (F.log2(total) - F.sum(n * F.log2(n)) / total).alias("entropy"))
     most = F.log2(F.col("genres").cast("double"))
     return out.withColumn("max_entropy", most).withColumn(
         "uniform_pct", F.when(F.col("max_entropy") > 0, 100 * F.col("entropy") / F.col("max_entropy"))

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexloom.functions import text as T
 from lexloom.functions.columns import count_if, let, long_sum, no_strings, ratio
 from lexloom.operators.labels import flag_new
-from lexloom.operators.scan import is_vocabulary, join_vocabulary, null_safe_join, prefix_sum
+from lexloom.operators.scan import join_vocabulary, null_safe_join, prefix_sum
 from lexloom.session import materialise
 from lexloom.vocab import STOPWORDS
 
+GROUP_LIMIT = 1_000  # up to so many rows a group, Spark limits groups before it shuffles them
+PARTS = 32  # tasks that a group's words are dealt over beyond that
 CHUNK = 10_000  # neighbouring texts ranked together when n-grams may cross text ends
 
 
@@ -55,10 +57,19 @@ def token_stats(counts: DataFrame, by: Sequence[str] = (), stopwords: Sequence[s
 
 
 def top_words(counts: DataFrame, by: Sequence[str] = (), k: int = 30) -> DataFrame:
-    """The k most frequent words per group; ties in word order."""
+    """The k most frequent words per group; ties in word order.
+
+    Words of a group are dealt over tasks, each keeps its own k, and only those meet, so
+    no task sorts a whole vocabulary however large k is.
+    """
     if not by:
         return counts.orderBy(F.desc("n"), "word").limit(k)
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "word"))
+    order = (F.desc("n"), "word")
+    if k > GROUP_LIMIT:
+        counts = counts.withColumn("_part", F.pmod(F.xxhash64("word"), F.lit(PARTS)))
+        near = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))
+        counts = counts.withColumn("_near", near).where(F.col("_near") <= k).drop("_near", "_part")
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
     return counts.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
@@ -132,9 +143,9 @@ def text_ttr(df: DataFrame) -> DataFrame:
     return df.withColumn("text_ttr", value)
 
 
-def ttr_by_group(df: DataFrame, by: str, k: int = 20) -> DataFrame:
-    """Type/token ratio per group, the k highest and the k lowest."""
-    per_group = materialise(ttr(word_counts(df, [by]), [by]).select(by, "ttr"))
+def ttr_by_group(df: DataFrame, by: str, k: int = 20, counts: DataFrame | None = None) -> DataFrame:
+    """Type/token ratio per group, the k highest and the k lowest; from word counts per group if given."""
+    per_group = materialise(ttr(word_counts(df, [by]) if counts is None else counts, [by]).select(by, "ttr"))
     top = per_group.orderBy(F.desc("ttr"), by).limit(k).withColumn("end", F.lit("top"))
     bottom = per_group.orderBy("ttr", by).limit(k).withColumn("end", F.lit("bottom"))
     return top.unionByName(bottom)
@@ -201,28 +212,38 @@ def ngrams(
 
     With `across_texts` the texts of a group form one stream in key order and
     n-grams run over text ends. Those extra ones need only the n-1 outer words of
-    each text, so whole texts are never sorted.
+    each text, so whole texts are never sorted. Texts are cut into words once: the
+    outer words leave the same pass as the n-grams, as one more row of each text.
     """
     tokens = content_tokens(T.tokens(F.col("text")), stopwords)
     # Exploding a named column would let the optimizer build it a second time for a filter.
-    grams = df.select(*by, F.explode(let(tokens, lambda t: _ngrams_of(t, n))).alias("ngram"))
-    if across_texts and n > 1:
-        grams = grams.unionByName(_crossing_ngrams(df.select(*by, key, tokens.alias("tokens")), n, by, key))
-    return grams.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
-
-
-def _crossing_ngrams(texts: DataFrame, n: int, by: Sequence[str], key: str) -> DataFrame:
-    """n-grams that start in one text and end in a later one."""
-    size = F.size("tokens")
-    edges = materialise(
-        texts.where(size > 0).select(
-            *by,
-            key,
-            F.slice("tokens", 1, n - 1).alias("head"),
-            F.slice("tokens", F.greatest(size - (n - 1), F.lit(0)) + 1, F.lit(n - 1)).alias("tail"),
-            F.lit(1).cast("bigint").alias("one"),
+    if not across_texts or n == 1:
+        grams = df.select(*by, F.explode(let(tokens, lambda t: _ngrams_of(t, n))).alias("ngram"))
+        return grams.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
+    nothing = F.lit(None).cast("array<string>")
+
+    def items(t: Column) -> Column:
+        grams = F.transform(_ngrams_of(t, n), lambda g: F.struct(g.alias("ngram"), nothing.alias("head"), nothing.alias("tail")))
+        edge = F.struct(
+            F.lit(None).cast("string").alias("ngram"),
+            F.slice(t, F.lit(1), F.lit(n - 1)).alias("head"),
+            F.slice(t, F.greatest(F.size(t) - (n - 1), F.lit(0)) + 1, F.lit(n - 1)).alias("tail"),
         )
-    )
+        return F.concat(grams, F.filter(F.array(edge), lambda _: F.size(t) > 0))
+
+    place = F.when(F.col("head").isNotNull(), F.col(key)).alias("place")
+    rows = df.select(*by, key, F.inline(let(tokens, items))).select(*by, place, "ngram", "head", "tail")
+    # Copies of an n-gram are counted inside tasks; a text's edge is a group of its own.
+    counted = materialise(rows.groupBy(*by, "ngram", "place", "head", "tail").agg(F.count("*").alias("n")))
+    within = counted.where(F.col("ngram").isNotNull()).select(*by, "ngram", "n")
+    edges = counted.where(F.col("head").isNotNull()).select(*by, F.col("place").alias(key), "head", "tail")
+    crossing = _crossing_ngrams(edges.withColumn("one", F.lit(1).cast("bigint")), n, by, key)
+    crossing = crossing.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
+    return within.unionByName(crossing).groupBy(*by, "ngram").agg(F.sum("n").alias("n"))
+
+
+def _crossing_ngrams(edges: DataFrame, n: int, by: Sequence[str], key: str) -> DataFrame:
+    """n-grams that start in one text and end in a later one, from the outer words of each."""
     ranked = prefix_sum(edges, key, ["one"], by).withColumn("place", F.col("one_before"))
     # Each chunk also receives the first n-1 texts of the next one, marked as copies.
     chunk = F.floor(F.col("place") / CHUNK)
@@ -259,10 +280,13 @@ def ngram_overlap(left: DataFrame, right: DataFrame, top: int = 5000) -> DataFra
     ).withColumn("shared_pct", 100.0 * F.col("shared") / top)
 
 
-def lexical_richness(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Yule's K, Brunet's W, Honore's H and TTR per group, with the number of texts."""
+def lexical_richness(df: DataFrame, by: Sequence[str] = (), counts: DataFrame | None = None) -> DataFrame:
+    """Yule's K, Brunet's W, Honore's H and TTR per group, with the number of texts.
+
+    `counts` are the word counts per group where a caller has them; texts are then not read.
+    """
     m = F.col("n").cast("double")
-    sums = word_counts(df, by).groupBy(*by).agg(
+    sums = (word_counts(df, by) if counts is None else counts).groupBy(*by).agg(
         long_sum(F.col("n")).alias("tokens"),
         F.count("*").alias("types"),
         count_if(F.col("n") == 1).alias("hapaxes"),
@@ -288,15 +312,18 @@ def lexical_richness(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def category_words(df: DataFrame, categories: DataFrame, k: int = 15) -> DataFrame:
+def category_words(df: DataFrame, categories: DataFrame, k: int = 15, counts: DataFrame | None = None) -> DataFrame:
     """Top words of each category over all categories' top words, scaled by the category's maximum.
 
-    `categories` maps genre to category. A word outside a category's own top k counts 0 there.
+    `categories` maps genre to category, `counts` are word counts per genre if a caller
+    has them. A word outside a category's own top k counts 0 there.
     """
-    if not is_vocabulary(categories):
-        raise ValueError("too many genres for a category table")
-    tagged = join_vocabulary(df, categories.select("genre", "category"), "genre")
-    top = top_words(word_counts(tagged, ["category"], STOPWORDS), ["category"], k)
+    of = categories.select("genre", "category")
+    if counts is None:
+        words = word_counts(join_vocabulary(df, of, "genre"), ["category"], STOPWORDS)
+    else:
+        words = roll_up(join_vocabulary(counts, of, "genre").where(~is_stopword(F.col("word"))), ["category"])
+    top = top_words(words, ["category"], k)
     scaled = top.withColumn("scaled", F.col("n") / F.max("n").over(Window.partitionBy("category")))
     names = [r["category"] for r in categories.select("category").distinct().orderBy("category").collect()]
     table = scaled.groupBy("word").pivot("category", names).agg(F.first("scaled")).fillna(0.0, names)

@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexloom.functions.columns import let
 from lexloom.functions.draws import order_hash, uniform_int
 from lexloom.functions.text import is_blank
-from lexloom.operators.scan import MAX_VOCABULARY
+from lexloom.operators.scan import MAX_VOCABULARY, prefix_sum
 
-BUCKET_DIGITS = 4  # hex digits: at most 65,536 buckets of the hashed order
+PREFIX_DIGITS = 4  # hex digits by which a bucket of the hashed order is narrowed at a time
+DIGEST_DIGITS = 32
+BUCKET_ROWS = 1 << 16  # rows that one task may rank
 
 
 def ordered_sample(df: DataFrame, key: str, seed: int | str, skip: int = 0, take: int | None = None) -> DataFrame:
@@ -42,27 +44,55 @@ def ordered_sample(df: DataFrame, key: str, seed: int | str, skip: int = 0, take
 
 
 def _rows_at(df: DataFrame, key: str, seed: int | str, positions: list[int]) -> dict[int, tuple]:
-    """(digest, key) of the rows at 0-based positions of the seeded order; none past the end."""
+    """(digest, key) of the rows at 0-based positions of the seeded order; none past the end.
+
+    Counts per digest prefix locate a position's bucket; a bucket of more than
+    BUCKET_ROWS rows is narrowed by more digits, so what one task ranks stays small
+    however large the table is.
+    """
     if not positions:
         return {}
-    keyed = df.select(order_hash(key, seed).alias("h"), F.col(key).alias("k")).withColumn(
-        "b", F.substring("h", 1, BUCKET_DIGITS)
-    )
-    counts = keyed.groupBy("b").agg(F.count("*").alias("n"))
-    # At most 16 ** BUCKET_DIGITS rows in this window, and one per position after it.
-    seen = counts.withColumn("before", F.sum("n").over(Window.orderBy("b")) - F.col("n"))
-    hit = F.lit(False)
-    for p in positions:
-        hit = hit | ((F.col("before") <= p) & (p < F.col("before") + F.col("n")))
-    before = {r["b"]: r["before"] for r in seen.where(hit).collect()}
-    if not before:
+    keyed = df.select(order_hash(key, seed).alias("h"), F.col(key).alias("k"))
+    digits = 0
+    place = {p: ("", 0) for p in positions}  # position -> prefix of its bucket, rows before the bucket
+    wide = set(positions)
+    while wide:
+        digits += PREFIX_DIGITS
+        parents = sorted({place[p][0] for p in wide})
+        inside = keyed.where(F.substring("h", 1, digits - PREFIX_DIGITS).isin(parents)) if digits > PREFIX_DIGITS else keyed
+        counts = inside.groupBy(F.substring("h", 1, digits).alias("b")).agg(F.count("*").alias("n"))
+        parent = F.substring("b", 1, digits - PREFIX_DIGITS) if digits > PREFIX_DIGITS else F.lit("")
+        # At most 16 ** PREFIX_DIGITS rows of a parent reach this window, and one per position leaves it.
+        w = Window.partitionBy("parent").orderBy("b")
+        seen = counts.withColumn("parent", parent).withColumn("before", F.sum("n").over(w) - F.col("n"))
+        hit = F.lit(False)
+        for p in wide:
+            up, before = place[p]
+            left = p - before
+            hit = hit | ((F.col("parent") == up) & (F.col("before") <= left) & (left < F.col("before") + F.col("n")))
+        found = seen.where(hit).collect()
+        for p in list(wide):
+            up, before = place[p]
+            at = [r for r in found if r["parent"] == up and r["before"] <= p - before < r["before"] + r["n"]]
+            if not at:  # past the end
+                del place[p]
+                wide.discard(p)
+                continue
+            place[p] = (at[0]["b"], before + at[0]["before"])
+            if at[0]["n"] <= BUCKET_ROWS or digits + PREFIX_DIGITS > DIGEST_DIGITS:
+                wide.discard(p)
+    if not place:
         return {}
+    bucket = F.lit(None).cast("string")
+    for prefix in {prefix for prefix, _ in place.values()}:
+        bucket = F.when(F.col("h").startswith(prefix), prefix).otherwise(bucket)
     rank = F.row_number().over(Window.partitionBy("b").orderBy("h", "k")) - 1
     wanted = F.lit(False)
-    for b, n in before.items():
-        wanted = wanted | ((F.col("b") == b) & F.col("r").isin([p - n for p in positions]))
-    found = keyed.where(F.col("b").isin(list(before))).withColumn("r", rank).where(wanted).collect()
-    return {before[r["b"]] + r["r"]: (r["h"], r["k"]) for r in found}
+    for p, (prefix, before) in place.items():
+        wanted = wanted | ((F.col("b") == prefix) & (F.col("r") == p - before))
+    ranked = keyed.withColumn("b", bucket).where(F.col("b").isNotNull()).withColumn("r", rank)
+    rows = {(r["b"], r["r"]): (r["h"], r["k"]) for r in ranked.where(wanted).collect()}
+    return {p: rows[prefix, p - before] for p, (prefix, before) in place.items()}
 
 
 def sample_rows(df: DataFrame, key: str, n: int | None, seed: int | str = 42) -> DataFrame:
@@ -114,21 +144,27 @@ def assign_conditions(
 ) -> DataFrame:
     """Draw one genre, length and level per row, independently and uniformly.
 
-    The dimensions are prompt vocabularies of at most MAX_VOCABULARY rows, which
-    is checked before they are broadcast.
+    The dimensions are prompt vocabularies; one that is small enough, which is checked,
+    is broadcast, a larger one is joined as the adaptive plan sees fit.
     """
     out = df
     for name, dimension in (("genre", genres), ("length", lengths), ("level", levels)):
-        size = dimension.limit(MAX_VOCABULARY + 1).count()
-        if not 0 < size <= MAX_VOCABULARY:
-            raise ValueError(f"{name} vocabulary must have 1..{MAX_VOCABULARY} rows")
-        numbered = dimension.select(
-            (F.row_number().over(Window.orderBy("position")) - 1).cast("bigint").alias(f"_{name}"),
+        size = dimension.count()
+        if not size:
+            raise ValueError(f"the {name} vocabulary is empty")
+        numbered = _numbered(dimension, size).select(
+            F.col("_place").alias(f"_{name}"),
             *[F.col(c).alias(f"{name}_{c}") for c in dimension.columns if c != "position"],
         )
-        out = (
-            out.withColumn(f"_{name}", uniform_int(key, seed, name, size))
-            .join(F.broadcast(numbered), f"_{name}")
-            .drop(f"_{name}")
-        )
+        if size <= MAX_VOCABULARY:
+            numbered = F.broadcast(numbered)
+        out = out.withColumn(f"_{name}", uniform_int(key, seed, name, size)).join(numbered, f"_{name}").drop(f"_{name}")
     return out
+
+
+def _numbered(dimension: DataFrame, size: int) -> DataFrame:
+    """Add `_place`, the rank by `position` from 0; only a vocabulary of checked size is ranked in one task."""
+    if size <= MAX_VOCABULARY:
+        return dimension.withColumn("_place", (F.row_number().over(Window.orderBy("position")) - 1).cast("bigint"))
+    ranked = prefix_sum(dimension.withColumn("_one", F.lit(1).cast("bigint")), "position", ["_one"])
+    return ranked.withColumn("_place", F.col("_one_before")).drop("_one", "_one_before", "_one_total")

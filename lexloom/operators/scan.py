@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql import types as T
 
 from lexloom.functions.columns import let
+from lexloom.session import materialise
 
 MAX_BUCKETS = 4096
 MAX_VOCABULARY = 10_000
@@ -117,15 +117,6 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
     return wide.unpivot(list(by), list(cols), "metric", "value").where(F.col("value").isNotNull())
 
 
-def value_counts_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    return long_values(df, cols, by).groupBy(*by, "metric", "value").agg(F.count("*").alias("n"))
-
-
-def are_lengths(df: DataFrame, cols: Sequence[str]) -> bool:
-    """Whether all columns are of type int, as sizes and counts per row are; keys are longs."""
-    return all(isinstance(df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType)) for c in cols)
-
-
 def weighted_percentiles(counts: DataFrame, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Exact linear-interpolated percentiles of (by, value, n) rows as `q0`, `q1`, ...
 
@@ -154,3 +145,37 @@ def weighted_percentiles(counts: DataFrame, probabilities: Sequence[float], by:
             for i in range(len(probabilities))
         ],
     )
+
+
+#: Rank error of the sketch that brackets a percentile, as a share of the rows.
+SKETCH = 1_000
+
+
+def exact_percentiles(values: DataFrame, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Exact linear-interpolated percentiles of (by, value) rows as `q0`, `q1`, ...
+
+    A sketch per group brackets each percentile between two values. Values outside all
+    brackets are counted by the gap they fall in, so only those inside, a few in a
+    thousand and any with many copies counted once, are shuffled and ranked. `values`
+    is read twice and should be stored.
+    """
+    by = list(by)
+    around = [min(1.0, max(0.0, p + off)) for p in probabilities for off in (-4.0 / SKETCH, 4.0 / SKETCH)]
+    sketch = F.percentile_approx("value", around, SKETCH)
+    edges = values.groupBy(*by).agg(sketch.alias("_edges"), F.count("*").alias("_size"))
+    small = F.col("_size") <= 2 * SKETCH
+    edges = edges.select(*by, F.when(~small, F.col("_edges")).alias("_edges"))
+    edges = materialise(edges)
+    near = null_safe_join(values, F.broadcast(edges) if is_vocabulary(edges) else edges, by)
+    v, e = F.col("value"), F.col("_edges")
+    kept = e.isNull()
+    gap = e[0]
+    for i in range(len(probabilities)):
+        low, high = e[2 * i], e[2 * i + 1]
+        kept = kept | v.between(low, high)
+        # A gap above bracket i is named by its lower end: no percentile lies in it.
+        gap = F.when(v > high, high).otherwise(gap)
+    # What lies below the first bracket is counted with that bracket's lower end.
+    counts = near.select(*by, F.when(kept, v).otherwise(gap).alias("value"))
+    counts = counts.groupBy(*by, "value").agg(F.count("*").alias("n"))
+    return weighted_percentiles(materialise(counts), probabilities, by)

@@ -1,52 +1,82 @@
-"""All audit tables of a corpus, and of one corpus against another."""
+"""All audit tables of a corpus, of its genres, and of one corpus against another."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lexloom.operators import compare, depth, health, labels, lexical
+from lexloom.operators import compare, curate, depth, health, labels, lexical
 from lexloom.session import materialise
 
 
 def audit_corpus(df: DataFrame, key: str) -> dict[str, DataFrame]:
-    """Health, label, depth and fit tables; label counts are computed once."""
+    """Health, label, depth and fit tables; labels are counted once."""
     counts = materialise(labels.label_counts(df))
+    lengths = materialise(labels.label_word_lengths(df))
     total = labels.total_count()
     return {
         "health": health.health(df),
         "describe": health.describe(health.enrich(df), health.NUMERIC),
+        "short_texts": health.short_texts(df),
+        "vocabulary": curate.label_vocabulary(df, counts),
         "roles": labels.label_roles(counts),
         "roles_frequent": labels.label_roles(counts, 2),
         "reuse": labels.label_reuse(counts),
         "reuse_histogram": labels.reuse_histogram(counts),
+        "cross_role": labels.cross_role_balance(counts),
         "top_labels": labels.top_labels(counts),
         "top_balanced": labels.top_balanced_labels(counts),
+        "label_lengths": lengths,
+        "long_labels": labels.long_labels(lengths),
         "diversity": labels.label_diversity(labels.spectrum(counts, total)),
         "overlap": depth.overlap_summary(df),
         "depth": depth.depth_vs_baseline(df),
         "shallowest": depth.shallowest_rows(df, key),
         "token_fit": depth.token_fit(df),
-        "scorecard": depth.quality_scorecard(df),
-        "summary": depth.summary_table(df),
+        "scorecard": depth.quality_scorecard(df, counts=counts),
+        "summary": depth.summary_table(df, counts=counts),
+    }
+
+
+def audit_genres(df: DataFrame, genres: DataFrame, key: str, k: int = 20) -> dict[str, DataFrame]:
+    """Size, diversity, readability and richness per genre; words are counted once.
+
+    `genres` has a row per genre: `name`, `genre` (the same), `is_new` and `category`.
+    """
+    words = materialise(lexical.word_counts(df, ["genre"]))
+    rich = materialise(labels.flag_new(lexical.lexical_richness(df, ["genre"], words), genres))
+    grams = materialise(lexical.ngrams(labels.flag_new(df, genres).where("is_new"), 2, across_texts=True, key=key))
+    return {
+        "distribution": labels.genre_distribution(df, genres),
+        "entropy": labels.genre_entropy(df),
+        "ttr": lexical.ttr_by_group(df, "genre", k, words),
+        "hapax_ratio": lexical.hapax_ratio(words, ["genre"]),
+        "quality": lexical.quality_by_genre(df, genres),
+        "richness": rich,
+        "five_numbers": health.five_numbers(rich, "is_new", ("yules_k", "brunets_w", "honores_h")),
+        "category_words": lexical.category_words(df, genres, counts=words),
+        "new_bigrams": lexical.top_ngrams(grams),
     }
 
 
 def audit_pair(df: DataFrame, key: str, by: str, left: str, right: str) -> dict[str, DataFrame]:
-    """Word profiles of both corpora and the tests between them; words are counted once."""
+    """Word profiles of both corpora and the tests between them; words and bigrams are counted once."""
     words = materialise(lexical.word_counts(df, [by]))
     rows = health.enrich(lexical.text_quality(df))
     cols = [*health.NUMERIC, *lexical.QUALITY]
+    rows = materialise(rows.select(by, *cols))
     pairs = materialise(compare.paired_counts(rows, by, left, right, cols))
-    bigrams = {
-        side: lexical.ngrams(df.where(F.col(by) == side), 2, across_texts=True, key=key) for side in (left, right)
-    }
+    bigrams = materialise(lexical.ngrams(df, 2, [by], across_texts=True, key=key))
+    sides = [bigrams.where(F.col(by) == side) for side in (left, right)]
     return {
         "token_stats": lexical.token_stats(words, [by]),
         "top_words": lexical.top_words(words, [by]),
         "ttr": lexical.ttr(words, [by]),
+        "hapax_ratio": lexical.hapax_ratio(words, [by]),
         "msttr": lexical.msttr(df, key, [by]),
-        "richness": lexical.lexical_richness(df, [by]),
-        "bigram_overlap": lexical.ngram_overlap(bigrams[left], bigrams[right]),
+        "richness": lexical.lexical_richness(df, [by], words),
+        "top_bigrams": lexical.top_ngrams(bigrams, [by]),
+        "bigram_overlap": lexical.ngram_overlap(*sides),
+        "trigrams": lexical.top_ngrams(lexical.ngrams(df, 3, [by]), [by]),
         "means": compare.compare_means(rows, by, left, right, cols),
         "ks": compare.ks_two_sample(pairs),
         "mann_whitney": compare.mann_whitney(pairs),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexloom.operators import curate
 from lexloom.session import materialise
-from lexloom.sources.corpus import read_examples, read_published, write_dataset
+from lexloom.sources.corpus import BASE, read_examples, read_published, write_dataset
 
 
 def split_rows(rows: DataFrame, ratio: float = curate.TEST_RATIO, seed: int | str = 42) -> tuple[DataFrame, DataFrame]:
@@ -31,21 +31,28 @@ def build_dataset(
     }
 
 
-def add_increment(spark: SparkSession, published_path: str, glob: str, path: str) -> dict[str, DataFrame]:
-    """Add new JSON lines to a published dataset and publish the result under a new path.
+def add_increment(spark: SparkSession, path: str, glob: str, name: str) -> dict[str, DataFrame]:
+    """Add new JSON lines to a published dataset as the increment `name`.
 
-    The increment is computed once and both versions stay readable, so a job that
-    dies in between leaves the old one untouched.
+    Only the increment is written, into a folder of its own; published rows are read as
+    digests, and as labels where a report needs them. Repeating an increment replaces its
+    folder: it is compared with all others. The dataset's held-out labels are those that
+    its base was published with.
     """
-    existing = read_published(spark, published_path)
-    heldout = materialise(curate.reconstruct_heldout(existing))
+    published = read_published(spark, path).where(F.col("increment") != name)
+    heldout = materialise(curate.reconstruct_heldout(published.where(F.col("increment") == BASE)))
     routed = materialise(curate.route_increment(curate.merge_by_text(read_examples(spark, glob)), heldout))
-    fresh = curate.dedupe_against(routed.where(F.col("split") != "dropped"), existing)
-    write_dataset(curate.append_increment(existing, fresh), path)
+    kept = routed.where(F.col("split") != "dropped")
+    known = materialise(published.select("text_digest", "split"))
+    write_dataset(curate.dedupe_against(kept, known), path, "overwrite", name)
     updated = read_published(spark, path)
+    counts = updated.groupBy("split").agg(
+        F.count(F.when(F.col("increment") != name, True)).alias("before"), F.count("*").alias("after")
+    )
     return {
         "routes": curate.route_counts(routed),
-        "growth": curate.growth(existing, updated),
+        "skipped": curate.dedupe_counts(kept, known),
+        "growth": counts,
         "seen_in_train": curate.seen_in_train_buckets(updated),
         "seen_in_train_pct": curate.seen_in_train_ratios(updated),
     }

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 
 from lexloom.operators.bundles import expand_replies, generation_counters
 from lexloom.operators.prompts import Client, build_prompts, complete
@@ -16,14 +15,19 @@ REPLY_COLUMNS = ("article_id", "genre", "language_level", "response")
 REPLY_SCHEMA = "article_id bigint, genre string, language_level string, response string"
 
 
-def read_replies(spark: SparkSession, path: str) -> DataFrame:
-    """Replies written so far; none before the first run."""
-    try:
-        return spark.read.schema(REPLY_SCHEMA).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise  # unread replies would be asked for again
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under `path` that a finished write left, in order; none before the first."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*/_SUCCESS")
+    found = top.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(top) or []
+    return sorted(f.getPath().getParent().getName() for f in found)
+
+
+def read_replies(spark: SparkSession, path: str, attempts: Sequence[str] | None = None) -> DataFrame:
+    """Replies of the given attempts, by default of all that are complete."""
+    names = complete_folders(spark, path) if attempts is None else attempts
+    if not names:
         return spark.createDataFrame([], REPLY_SCHEMA)
+    return spark.read.schema(REPLY_SCHEMA).parquet(*[f"{path}/{n}" for n in names])
 
 
 def generate(
@@ -40,25 +44,37 @@ def generate(
     max_paragraphs: int = 5,
     **call,
 ) -> DataFrame:
-    """One run towards `target` rows, returning its counters; repeat with a new `run` to go on.
+    """Go on towards `target` rows, and return the counters of what `run` has got so far.
 
-    Replies are stored before anything reads them, as recomputing them would call
-    the model again. Articles with a stored reply are done. Each run owns a folder
-    of replies and one of rows, so repeating a failed run replaces its output.
+    Replies are stored before anything reads them, as recomputing them would call the
+    model again, and stored replies are never overwritten: each call that asks for more
+    writes an attempt of its own, `<run>--<number>`. A call first writes the rows of every
+    complete attempt that lacks them, whichever run it is of, and then asks for what is
+    still missing, so repeating a run, failed or not, loses no reply and reaches the
+    target. Articles with a stored reply are done; only rows are counted, not replies
+    parsed again.
     """
-    done = read_replies(spark, f"{replies_path}/*")
-    written = expand_replies(done)
-    todo = resume_plan(articles, written, target, "article_id", seed, finished=done)
-    genres, lengths, levels = conditions
-    prompts = build_prompts(
-        assign_conditions(
-            paragraph_window(todo, "article_id", sep, max_paragraphs, seed), "article_id", genres, lengths, levels, seed
-        )
-    )
-    complete(prompts, client_factory, **call).select(*REPLY_COLUMNS).write.mode("overwrite").parquet(
-        f"{replies_path}/{run}"
-    )
-    replies = spark.read.schema(REPLY_SCHEMA).parquet(f"{replies_path}/{run}")
-    rows = expand_replies(replies).select("source", "genre", "language_level", "text", "labels", "not_labels")
-    write_examples(rows, f"{rows_path}/{run}", "overwrite")
-    return generation_counters(replies)
+    for attempt in complete_folders(spark, replies_path):
+        if attempt not in complete_folders(spark, rows_path):
+            _write_rows(spark, replies_path, rows_path, attempt)
+    attempts = complete_folders(spark, replies_path)
+    written = sum(spark.read.text(f"{rows_path}/{a}").count() for a in attempts)
+    todo = resume_plan(articles, written, target, "article_id", seed, finished=read_replies(spark, replies_path, attempts))
+    if written < target:
+        genres, lengths, levels = conditions
+        window = paragraph_window(todo, "article_id", sep, max_paragraphs, seed)
+        prompts = build_prompts(assign_conditions(window, "article_id", genres, lengths, levels, seed))
+        number = 1 + max((int(a.rpartition("--")[2]) for a in attempts if a.rpartition("--")[0] == run), default=-1)
+        attempt = f"{run}--{number}"
+        replies = complete(prompts, client_factory, **call).select(*REPLY_COLUMNS)
+        # Only what a failed call of this attempt left behind can be there, and no plan reads that.
+        replies.write.mode("overwrite").parquet(f"{replies_path}/{attempt}")
+        _write_rows(spark, replies_path, rows_path, attempt)
+        attempts.append(attempt)
+    return generation_counters(read_replies(spark, replies_path, [a for a in attempts if a.rpartition("--")[0] == run]))
+
+
+def _write_rows(spark: SparkSession, replies_path: str, rows_path: str, attempt: str) -> None:
+    rows = expand_replies(read_replies(spark, replies_path, [attempt]))
+    rows = rows.select("source", "genre", "language_level", "text", "labels", "not_labels")
+    write_examples(rows, f"{rows_path}/{attempt}", "overwrite")

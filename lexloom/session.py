@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: dict[str, SparkSession] = {}
+
+
 def build_session(app_name: str = "lexloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators expect; `conf` keys use `__` for dots."""
     builder = (
@@ -16,8 +19,6 @@ def build_session(app_name: str = "lexloom", master: str | None = None, **conf:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # A repeated key in a reply keeps its last value, as in any JSON reader for Python.
-        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
@@ -45,22 +46,31 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, removed by `clean_up` or when Python ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(clean_up)
+    _made[path] = spark
+    return path
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Compute `df` once and keep it on reliable storage, for plans that read it repeatedly."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def clean_up() -> None:
+    """Remove every intermediate file of this process whose session still runs.
+
+    Call it when a job's results are written; tables that plans still read go with it.
+    """
+    for path, spark in list(_made.items()):
+        del _made[path]
+        if spark.sparkContext._jsc is not None:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Give every core work when the input has far fewer splits than the session has cores.
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute `df` once into Parquet under the shared folder, for plans that read it repeatedly.
 
-    Large inputs have many more splits than cores and pass through untouched.
+    Later plans read only the columns they use; lost executors lose nothing.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if 2 * df.rdd.getNumPartitions() > cores:
-        return df
-    return df.repartition(cores, *keys)
+    path = work_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,14 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexloom.functions.columns import no_strings
-from lexloom.session import spread
+from lexloom.functions.columns import no_strings, text_key
 
 EXAMPLE_SCHEMA = (
     "source string, genre string, language_level string, text string, "
     "labels array<string>, not_labels array<string>"
 )
 
+#: Increment that holds the rows a dataset began with.
+BASE = "base"
+
 
 def read_articles(
     spark: SparkSession, path: str, key: str = "article_id", columns: Sequence[str] | None = None
@@ -22,7 +24,7 @@ def read_articles(
     df = spark.read.parquet(path)
     if columns is not None:
         df = df.select(*columns)
-    return spread(df, [key])
+    return df
 
 
 def normalise_lists(df: DataFrame, columns: Sequence[str] = ("labels", "not_labels")) -> DataFrame:
@@ -44,7 +46,7 @@ def read_examples(spark: SparkSession, glob: str, with_model: bool = True, mode:
 
 
 def read_published(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """Splits written by `write_dataset`; one split reads only its partition."""
+    """Splits written by `write_dataset`, of all increments; one split reads only its partitions."""
     df = spark.read.parquet(path)
     return df if split is None else df.where(F.col("split") == split)
 
@@ -54,8 +56,15 @@ def write_examples(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_dataset(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Publish rows by split; without a `split` column all rows are train."""
+def write_dataset(df: DataFrame, path: str, mode: str = "errorifexists", increment: str = BASE) -> None:
+    """Publish rows by split; without a `split` column all rows are train.
+
+    Rows carry the digest of their text, so that later batches are compared with
+    digests alone. Each increment owns a folder, the base as well, so writing one again
+    replaces it and touches no other.
+    """
     if "split" not in df.columns:
         df = df.withColumn("split", F.lit("train"))
-    df.write.mode(mode).partitionBy("split").parquet(path)
+    if "text" in df.columns and "text_digest" not in df.columns:
+        df = df.withColumn("text_digest", text_key("text"))
+    df.write.mode(mode).partitionBy("split").parquet(f"{path}/increment={increment}")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,7 +18,7 @@ REPLY_SCHEMA = "bundle_id bigint, genre string, language_level string, response
 INCREMENT_SCHEMA = "text string, labels array<string>, not_labels array<string>, model string"
 ADDED_SCHEMA = (
     "text string, labels array<string>, not_labels array<string>, model array<string>, text_digest binary, "
-    "batch bigint, split string"
+    "query string, batch bigint, split string"
 )
 
 
@@ -40,7 +43,7 @@ def stream_expand(
 
 
 def read_increment(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Rows added so far, with the digest of their text, `batch` and `split`."""
+    """Rows added so far, with the digest of their text, `query`, `batch` and `split`."""
     return spark.read.schema(ADDED_SCHEMA).parquet(out_dir)
 
 
@@ -55,22 +58,26 @@ def stream_increment(
 ) -> StreamingQuery:
     """Merge, route and deduplicate each batch of new rows against all published so far.
 
-    `heldout` is decided before the stream starts. A batch owns the folder named
-    by its number and compares only with earlier ones, so running it again after
-    a failure replaces its rows by the same rows. Published texts are digested
-    once, at the start, and added rows carry their digests, so a batch reads no
-    old text.
+    `heldout` is decided before the stream starts. A query has a name that lives with its
+    checkpoint, and each of its batches owns a folder, so running a batch again replaces
+    its rows by the same rows. A query whose checkpoint is lost is another query: it is
+    compared with every row its predecessors added, wherever they stood, and adds none of
+    them again. Published and earlier digests are gathered once, at the start; a batch
+    reads the digests of its own query's batches and no old text.
     """
-    spark.createDataFrame([], ADDED_SCHEMA).write.mode("ignore").partitionBy("batch", "split").parquet(out_dir)
-    base = materialise(published.select(text_key("text").alias("text_digest"), "split").distinct())
+    spark.createDataFrame([], ADDED_SCHEMA).write.mode("ignore").partitionBy("query", "batch", "split").parquet(out_dir)
+    name = _query_name(spark, checkpoint)
+    others = read_increment(spark, out_dir).where(F.col("query") != name).select("text_digest", "split")
+    digest = F.col("text_digest") if "text_digest" in published.columns else text_key("text")
+    base = materialise(published.select(digest.alias("text_digest"), "split").union(others).distinct())
 
     def add(batch: DataFrame, number: int) -> None:
-        earlier = read_increment(batch.sparkSession, out_dir).where(F.col("batch") < number)
+        own = read_increment(batch.sparkSession, out_dir).where((F.col("query") == name) & (F.col("batch") < number))
         routed = route_increment(merge_by_text(normalise_lists(batch)), heldout)
         fresh = dedupe_against(
-            routed.where(F.col("split") != "dropped"), base.unionByName(earlier.select("text_digest", "split"))
+            routed.where(F.col("split") != "dropped"), base.unionByName(own.select("text_digest", "split"))
         ).withColumn("text_digest", text_key("text"))
-        fresh.write.mode("overwrite").partitionBy("split").parquet(f"{out_dir}/batch={number}")
+        fresh.write.mode("overwrite").partitionBy("split").parquet(f"{out_dir}/query={name}/batch={number}")
 
     return (
         spark.readStream.schema(INCREMENT_SCHEMA)
@@ -81,3 +88,16 @@ def stream_increment(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _query_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name kept in the checkpoint folder, made up where there is none."""
+    path = f"{checkpoint}/_name"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    name = f"q{uuid.uuid4().hex}"
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(path)
+    return name

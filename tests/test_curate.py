@@ -81,6 +81,27 @@ def test_all_ways_to_match_heldout_agree(corpus, monkeypatch):
     assert by_literal == by_broadcast == by_join and set(by_join.values()) == {"train", "test", "dropped"}
 
 
+def test_ways_agree_on_repeated_and_missing_texts(spark, monkeypatch):
+    rows = [
+        (1, "t", ["h"], ["x"]), (2, "t", ["a"], ["x"]), (3, None, ["a"], ["x"]), (4, None, ["h"], []), (5, None, ["a"], ["g"]),
+        (6, "", [], []), (7, "u", None, ["h"]), (8, "u", ["g"], None), (9, "u", ["a", None], ["x"]),
+    ]
+    df = spark.createDataFrame(rows, "id int, text string, labels array<string>, not_labels array<string>")
+    held = spark.createDataFrame([("h",), ("g",), ("q",)], "label string")
+    want = {1: "test", 2: "train", 3: "train", 4: "test", 5: "dropped", 6: "train", 7: "dropped", 8: "test", 9: "train"}
+    for literal, broadcast in ((20_000, 500_000), (2, 500_000), (2, 0)):
+        monkeypatch.setattr(curate, "MAX_LITERAL_LABELS", literal)
+        monkeypatch.setattr(curate, "MAX_BROADCAST_HITS", broadcast)
+        assert {r.id: r.split for r in curate.assign_split(df, held).collect()} == want
+
+
+def test_skipped_rows_are_counted_per_split(spark):
+    existing = spark.createDataFrame([("a", "train"), ("b", "test")], "text string, split string")
+    new = spark.createDataFrame([("a", "train"), ("a", "test"), ("b", "train"), ("c", "test")], "text string, split string")
+    got = {r.split: (r.added, r.skipped) for r in curate.dedupe_counts(new, existing).collect()}
+    assert got == {"train": (1, 1), "test": (2, 0)}
+
+
 def test_empty_heldout_is_all_train(corpus):
     held = curate.choose_heldout(corpus)
     assert curate.strict_split(corpus, held).where("split = 'train'").count() == 400

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lexloom import fixtures as fx, vocab
 from lexloom.operators import curate, prompts
 from lexloom.plans import audit, build, generate
+from lexloom.session import materialise
 from lexloom.sources import corpus
 from lexloom.streaming import jobs
 
@@ -58,13 +59,30 @@ def test_build_then_add_increment(spark, jsonl, tmp_path):
     assert check.leaked_labels == 0 and check.heldout_labels == 4
     v1 = corpus.read_published(spark, str(tmp_path / "v1"))
     assert v1.where("size(model) = 2").count() > 0
-    more = build.add_increment(spark, str(tmp_path / "v1"), f"{root}/new/*/*.jsonl", str(tmp_path / "v2"))
-    growth = {r.split: (r.before, r.after) for r in more["growth"].collect()}
-    assert growth["train"][1] > growth["train"][0]
-    v2 = corpus.read_published(spark, str(tmp_path / "v2"))
-    assert v2.groupBy("text", "split").count().where("count > 1").count() == 0
-    held = curate.reconstruct_heldout(v1)
-    assert curate.leak_check(v2, held).collect()[0].leaked_labels == 0
+    held = materialise(curate.reconstruct_heldout(v1))
+    before = {r.split: r["count"] for r in v1.groupBy("split").count().collect()}
+    files = sorted(os.listdir(tmp_path / "v1" / "increment=base" / "split=train"))
+    for _ in range(2):  # an increment written again replaces itself
+        more = build.add_increment(spark, str(tmp_path / "v1"), f"{root}/new/*/*.jsonl", "more")
+        growth = {r.split: (r.before, r.after) for r in more["growth"].collect()}
+        assert {s: b for s, (b, _) in growth.items()} == before and growth["train"][1] > growth["train"][0]
+        skipped = {r.split: (r.added, r.skipped) for r in more["skipped"].collect()}
+        assert all(growth[s][1] - growth[s][0] == added for s, (added, _) in skipped.items())
+        assert sum(s for _, s in skipped.values()) > 0
+    now = corpus.read_published(spark, str(tmp_path / "v1"))
+    assert now.groupBy("text", "split").count().where("count > 1").count() == 0
+    assert curate.leak_check(now, held).collect()[0].leaked_labels == 0
+    assert sorted(os.listdir(tmp_path / "v1" / "increment=base" / "split=train")) == files
+
+
+def test_increment_reads_digests_of_published_rows_only(spark, tmp_path):
+    old = spark.createDataFrame([("a", ["x"], ["y"], "train")], "text string, labels array<string>, not_labels array<string>, split string")
+    corpus.write_dataset(old, str(tmp_path / "d"))
+    new = spark.createDataFrame([("a", "train"), ("b", "train")], "text string, split string")
+    fresh = curate.dedupe_against(new, corpus.read_published(spark, str(tmp_path / "d")))
+    assert [r.text for r in fresh.collect()] == ["b"]
+    scan = fresh._jdf.queryExecution().executedPlan().toString().split("FileScan")[1]
+    assert "text_digest" in scan and "ReadSchema: struct<text_digest:binary>" in scan
 
 
 
@@ -110,8 +128,42 @@ def test_generate_until_the_target(spark, sf_dir, tmp_path):
     assert run("run3", 80).bundles == 5
     rows = corpus.read_examples(spark, f"{tmp_path}/rows/*", with_model=False)
     assert rows.count() == 80 and rows.where("source <> 'wikipedia'").count() == 0
-    replies = generate.read_replies(spark, f"{tmp_path}/replies/*")
+    replies = generate.read_replies(spark, f"{tmp_path}/replies")
     assert replies.select("article_id").distinct().count() == 16
+    # The same run again: nothing is asked for twice, nothing stored is lost.
+    asked = sorted(r.article_id for r in replies.collect())
+    assert run("run1", 80).bundles == 11
+    assert run("run1", 100).bundles == 15
+    again = sorted(r.article_id for r in generate.read_replies(spark, f"{tmp_path}/replies").collect())
+    assert len(again) == len(set(again)) == 20 and set(asked) <= set(again)
+    assert corpus.read_examples(spark, f"{tmp_path}/rows/*", with_model=False).count() == 100
+
+
+def test_generate_goes_on_after_a_failure_before_its_rows(spark, sf_dir, tmp_path, monkeypatch):
+    conditions = (vocab.genre_table(spark), vocab.length_table(spark), vocab.level_table(spark))
+    where = (str(tmp_path / "replies"), str(tmp_path / "rows"))
+
+    def run(target):
+        return generate.generate(
+            spark, fx.articles(spark, sf_dir), conditions, flaky_client(), *where, target, "run", sep="\n", model="m",
+            wait=lambda attempt: 0.0,
+        ).collect()[0]
+
+    def fail(*args):
+        raise OSError("disk")
+
+    write = generate._write_rows
+    monkeypatch.setattr(generate, "_write_rows", fail)
+    with pytest.raises(OSError):
+        run(50)
+    kept = {r.article_id for r in generate.read_replies(spark, where[0]).collect()}
+    assert len(kept) == 10
+    # A write that stopped half way leaves a folder that counts for nothing and is written anew.
+    os.makedirs(f"{where[0]}/run--1/_temporary")
+    monkeypatch.setattr(generate, "_write_rows", write)
+    assert run(60).examples == 60
+    assert kept < {r.article_id for r in generate.read_replies(spark, where[0]).collect()}
+    assert corpus.read_examples(spark, f"{where[1]}/*", with_model=False).count() == 60
 
 
 def test_complete_gives_up_and_keeps_the_row(spark):
@@ -166,7 +218,7 @@ def test_replayed_increment_adds_nothing(spark, tmp_path):
     jobs.stream_increment(spark, *args, str(tmp_path / "cp")).awaitTermination()
     want = {("fresh", "train"), ("test", "test")}
     assert {(r.text, r.split) for r in jobs.read_increment(spark, args[3]).collect()} == want
-    # A lost checkpoint replays batch 0 into its own folder.
+    # A lost checkpoint makes another query, which finds all of it there.
     jobs.stream_increment(spark, *args, str(tmp_path / "cp2")).awaitTermination()
     assert sorted((r.text, r.split) for r in jobs.read_increment(spark, args[3]).collect()) == sorted(want)
     rows(("fresh", ["a"], ["b"], "m"), ("later", ["a"], ["b"], "m")).write.mode("append").json(args[0])
@@ -175,10 +227,50 @@ def test_replayed_increment_adds_nothing(spark, tmp_path):
     assert got == sorted(want | {("later", "train")})
 
 
+@pytest.mark.parametrize("batches", [2, 3])
+def test_lost_checkpoint_after_some_batches(spark, tmp_path, batches):
+    published = spark.createDataFrame([("known", "train")], "text string, split string")
+    heldout = spark.createDataFrame([("h",)], "label string")
+    args = (str(tmp_path / "in"), published, heldout, str(tmp_path / "out"))
+    for i in range(batches):
+        rows = [(f"t{i}", ["a"], ["b"], "m"), ("both", ["a"], ["b"], "m")]
+        spark.createDataFrame(rows, jobs.INCREMENT_SCHEMA).write.mode("append").json(args[0])
+        jobs.stream_increment(spark, *args, str(tmp_path / "cp"), 1).awaitTermination()
+    want = sorted([f"t{i}" for i in range(batches)] + ["both"])
+    assert sorted(r.text for r in jobs.read_increment(spark, args[3]).collect()) == want
+    jobs.stream_increment(spark, *args, str(tmp_path / "cp2"), 100).awaitTermination()
+    assert sorted(r.text for r in jobs.read_increment(spark, args[3]).collect()) == want
+
+
 def test_audits_run(spark, sf_dir):
     e = fx.examples(spark, sf_dir)
-    tables = {**audit.audit_corpus(e, "doc_id"), **audit.audit_pair(e, "doc_id", "origin", fx.LEFT, fx.RIGHT)}
-    assert all(t.count() > 0 for t in tables.values())
+    from checks.queries import QUERIES
+
+    genres = fx.genre_table(spark, sf_dir)
+    corpus_tables = audit.audit_corpus(e, "doc_id")
+    pair = audit.audit_pair(e, "doc_id", "origin", fx.LEFT, fx.RIGHT)
+    genre = audit.audit_genres(e, genres, "doc_id", 5)
+    # The tables equal the queries, which equal their SQL.
+    same = {
+        "corpus_health": corpus_tables["health"], "describe": corpus_tables["describe"], "label_vocabulary": None,
+        "quality_scorecard": corpus_tables["scorecard"], "summary_table": corpus_tables["summary"],
+        "label_roles": corpus_tables["roles"], "overlap_summary": corpus_tables["overlap"],
+        "ngram_overlap": pair["bigram_overlap"], "lexical_richness": pair["richness"], "ks_two_sample": None,
+        "genre_distribution": genre["distribution"], "genre_entropy": genre["entropy"], "ttr_by_group": genre["ttr"],
+        "quality_by_genre": genre["quality"], "lexical_richness_by_genre": genre["richness"],
+        "five_numbers": genre["five_numbers"], "category_words": genre["category_words"],
+    }
+    from checks.queries import flat
+
+    for name, table in same.items():
+        if table is not None:
+            want = QUERIES[name](spark, sf_dir)
+            got = flat(table).select(want.columns)
+            key = lambda r: [str(x) for x in r]
+            assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key), name
+    assert all(t.count() > 0 for t in (*corpus_tables.values(), *pair.values()))
+    vocabulary = corpus_tables["vocabulary"].collect()
+    assert vocabulary == curate.label_vocabulary(e).collect()
 
 
 def test_shared_folder_is_the_configured_one(spark):
@@ -186,3 +278,16 @@ def test_shared_folder_is_the_configured_one(spark):
 
     configured = spark.conf.get("spark.checkpoint.dir")
     assert os.path.basename(configured) in shared_dir(spark)
+
+
+def test_clean_up_removes_intermediate_tables(spark):
+    from lexloom import session
+
+    mine, others = {}, dict(session._made)
+    session._made.clear()
+    table = materialise(spark.range(10))
+    assert table.count() == 10
+    mine.update(session._made)
+    session.clean_up()
+    assert len(mine) == 1 and not any(os.path.exists(p) for p in mine)
+    session._made.update(others)

@@ -106,3 +106,20 @@ def test_compliance(spark):
 
     other = compliance(spark, {"shared_labels": shared[:14], "examples": texts[:4]})
     assert not other["five_texts"] and not other["fifteen_shared"] and not other["labels_shared"]
+
+
+def test_parsing_needs_no_setting_of_the_session(spark):
+    from lexloom.operators import bundles
+
+    spark.conf.unset("spark.sql.variant.allowDuplicateKeys")
+    one = '{"text": "t", "labels": ["a"], "not_labels": ["b"]}'
+    replies = {
+        "repeated": '{"examples": [], "examples": [%s]}' % one,
+        "in array": '[{"examples": [%s]}]' % one,
+        "in fenced array": '```json\n[\n {"examples": [%s]}]\n```' % one,
+        "second in array": '[1, {"examples": [%s]}]' % one,
+        "chatter with brackets": 'As [asked]: {"examples": [%s]}' % one,
+    }
+    df = spark.createDataFrame(list(replies.items()), "name string, response string")
+    got = {r.name: r.is_valid for r in bundles.validate_bundles(bundles.parse_responses(df)).collect()}
+    assert got == {"repeated": True, "in array": False, "in fenced array": False, "second in array": False, "chatter with brackets": True}

@@ -101,3 +101,88 @@ def test_histogram_of_one_value(spark):
     counts, edges = np.histogram([2.0] * 3, bins=4)
     got = health.histogram(df, "x", 4).orderBy("bin").collect()
     assert [r.n for r in got] == list(counts) and got[0].left_edge == edges[0]
+
+
+def test_describe_is_the_same_for_every_type(spark):
+    rows = [(1_000_000_000 + i % 3, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "big bigint, i bigint").withColumns({"small": F.col("big").cast("int"), "d": F.col("big").cast("double")})
+    got = {r.metric: r for r in health.describe(df, ("big", "small", "d", "i")).collect()}
+    assert got["big"].std == pytest.approx((2 / 3 * 3000 / 2999) ** 0.5)
+    assert got["big"][1:] == got["small"][1:] == got["d"][1:]
+    assert (got["i"].p25, got["i"].p50, got["i"].p75) == (749.75, 1499.5, 2249.25)
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "two", "heavy"])
+def test_percentiles_beyond_the_sketch(spark, kind):
+    rng = np.random.default_rng(3)
+    n = 20_000
+    v = {
+        "spread": rng.normal(size=n), "ties": rng.integers(0, 5, n).astype(float),
+        "two": np.repeat([1.0, 2.0], n // 2), "heavy": np.concatenate([np.full(n // 3, 7.0), rng.normal(size=n - n // 3) * 100]),
+    }[kind]
+    rows = [("a", float(x)) for x in v] + [(None, float(x)) for x in v[:7]] + [("b", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    got = {r.g: r for r in health.describe(df, ("v",), ("g",)).collect()}
+    assert set(got) == {"a", None}
+    for g, part in (("a", v), (None, v[:7])):
+        want = np.percentile(part, [25, 50, 75])
+        assert [got[g].p25, got[g].p50, got[g].p75] == pytest.approx(list(want))
+        assert got[g].std == pytest.approx(part.std(ddof=1), abs=1e-12) and got[g]["count"] == len(part)
+
+
+def test_percentiles_shuffle_few_values(spark):
+    from lexloom.operators import scan
+
+    df = spark.range(200_000).select(F.rand(1).alias("value"), F.lit("v").alias("metric"))
+    kept = []
+    rank = scan.weighted_percentiles
+    scan.weighted_percentiles = lambda counts, *a: kept.append(counts.count()) or rank(counts, *a)
+    try:
+        found = scan.exact_percentiles(scan.materialise(df), (0.25, 0.5, 0.75), ["metric"]).collect()
+    finally:
+        scan.weighted_percentiles = rank
+    assert kept[0] < 200_000 * 0.05 and abs(found[0].q1 - 0.5) < 0.01
+
+
+def test_samples_narrow_their_buckets(spark, monkeypatch):
+    from lexloom.operators import sampling
+
+    df = spark.range(3000).withColumnRenamed("id", "k")
+    whole = sampling.ordered_sample(df, "k", 5, 700, 900)
+    want = sorted(r.k for r in whole.collect())
+    monkeypatch.setattr(sampling, "PREFIX_DIGITS", 1)
+    monkeypatch.setattr(sampling, "BUCKET_ROWS", 4)
+    assert sorted(r.k for r in sampling.ordered_sample(df, "k", 5, 700, 900).collect()) == want and len(want) == 900
+    assert sampling.ordered_sample(df, "k", 5, 5000, 3).count() == 0
+
+
+def test_large_vocabularies_are_joined(spark):
+    from lexloom.operators import lexical, sampling
+
+    genres = spark.range(12_000).select(F.col("id").alias("position"), F.concat(F.lit("g"), "id").alias("name"))
+    few = spark.createDataFrame([(0, "x")], "position int, name string")
+    rows = sampling.assign_conditions(spark.range(300).withColumnRenamed("id", "k"), "k", genres, few, few)
+    assert rows.count() == 300 and rows.select("genre_name").distinct().count() > 250
+    categories = genres.select(F.col("name").alias("genre"), F.concat(F.lit("c"), F.col("position") % 2).alias("category"))
+    texts = spark.createDataFrame([("g1", "apple apple pear"), ("g2", "plum")], "genre string, text string")
+    got = {(r.word, r.category): r.scaled for r in lexical.category_words(texts, categories).collect()}
+    assert got == {("apple", "c1"): 1.0, ("pear", "c1"): 0.5, ("plum", "c1"): 0.0, ("apple", "c0"): 0.0, ("pear", "c0"): 0.0, ("plum", "c0"): 1.0}
+
+
+def test_long_top_lists_meet_in_parts(spark):
+    from lexloom.operators import lexical
+
+    counts = spark.range(6000).select(F.concat(F.lit("w"), F.col("id") % 3000).alias("word"), (F.col("id") % 7).alias("n"), (F.col("id") >= 3000).alias("g"))
+    long, short = lexical.top_words(counts, ["g"], 2000), counts.collect()
+    for g in (True, False):
+        want = sorted((-r.n, r.word) for r in short if r.g == g)[:2000]
+        got = [(r["rank"], -r.n, r.word) for r in long.where(F.col("g") == g).orderBy("rank").collect()]
+        assert got == [(i + 1, *w) for i, w in enumerate(want)]
+
+
+def test_across_texts_cuts_texts_once(spark):
+    from lexloom.operators import lexical
+
+    df = spark.createDataFrame([(1, "a b c"), (2, ""), (3, "d")], "k bigint, text string")
+    got = {r.ngram: r.n for r in lexical.ngrams(df, 2, (), None, across_texts=True, key="k").collect()}
+    assert got == {"a b": 1, "b c": 1, "c d": 1}
