@@ -141,7 +141,10 @@ def fit_profiles(
                 found = [grams(t) for t in group["text"]]
                 merge(name, np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found]))
         for name, (keys, counts) in total.items():
-            yield pd.DataFrame({"lang": name, "gram": keys, "n": counts})
+            for at in range(0, len(keys), 100_000):
+                part = slice(at, at + 100_000)
+                lang = pd.Series([name] * len(keys[part]), dtype=object)
+                yield pd.DataFrame({"lang": lang, "gram": keys[part], "n": counts[part]})
 
     counts = known.select("lang", "text").mapInPandas(count, "lang string, gram long, n long")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))

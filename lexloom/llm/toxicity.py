@@ -227,9 +227,10 @@ def fit_toxicity(
     """Learn lexicon and weights from at most `bound` labelled documents that are not held out.
 
     A word, or a word beginning, joins the insults if at least SUPPORT toxic documents
-    hold it and its smoothed log-odds against the others reach ODDS. Document counts are
-    taken on executors, partly summed inside tasks. Without both labels in the sample the
-    seeds stay, and the weights are those of the share of ones.
+    hold it and its smoothed log-odds against the others reach ODDS. Executors count the
+    terms of toxic documents, partly summed inside tasks; only those with support, a number
+    that the sample bounds, are then counted in the others. Without both labels in the
+    sample the seeds stay, and the weights are those of the share of ones.
     """
     sample = saved(sampled_texts(docs, key, text, labels, label, bound), "toxic")
     sizes = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
@@ -239,29 +240,23 @@ def fit_toxicity(
         grammar.weights[-1] = math.log(share / (1 - share))
         return grammar
 
-    def count(batches):
-        found: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        for b in pieces(batches, "text"):
-            for t, y in zip(b["text"], b["y"]):
-                found[y].update(terms(t))
-            if sum(map(len, found.values())) > 400_000:
-                yield _counted(found)
-                found = {0: Counter(), 1: Counter()}
-        yield _counted(found)
-
-    counts = sample.mapInPandas(count, "term string, bad long, fine long")
-    counts = counts.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("fine").alias("fine"))
-    odds = F.log(((F.col("bad") + 0.5) / (sizes[1] + 1)) / ((F.col("fine") + 0.5) / (sizes[0] + 1)))
-    chosen = counts.where(F.col("bad") >= SUPPORT).withColumn("odds", odds).where(F.col("odds") >= ODDS)
+    bad = _document_counts(sample.where("y = 1"), None).where(F.col("n") >= SUPPORT)
+    bad = {r["term"]: r["n"] for r in bad.collect()}
+    fine = {r["term"]: r["n"] for r in _document_counts(sample.where("y = 0"), frozenset(bad)).collect()}
+    chosen = []
+    for term, n in sorted(bad.items()):
+        rates = (n + 0.5) / (sizes[1] + 1), (fine.get(term, 0) + 0.5) / (sizes[0] + 1)
+        odds = math.log(rates[0] / rates[1])
+        if odds >= ODDS:
+            chosen.append((term, n, min(odds, 6.0)))
     known = grammar.words
     # Beginnings need twice the support of words: each stands for many of them.
-    for r in chosen.collect():
-        weight = min(float(r["odds"]), 6.0)
-        if not r["term"].endswith("*"):
-            if known.get(r["term"], (INSULT, 0))[0] == INSULT:
-                known[r["term"]] = (INSULT, weight)
-        elif r["bad"] >= 2 * SUPPORT:
-            grammar.stems[r["term"][:-1]] = weight
+    for term, n, weight in chosen:
+        if not term.endswith("*"):
+            if known.get(term, (INSULT, 0))[0] == INSULT:
+                known[term] = (INSULT, weight)
+        elif n >= 2 * SUPPORT:
+            grammar.stems[term[:-1]] = weight
 
     def measure(batches):
         for b in pieces(batches, "text"):
@@ -274,9 +269,24 @@ def fit_toxicity(
     return grammar
 
 
-def _counted(found: dict[int, Counter]) -> pd.DataFrame:
-    names = list(found[0].keys() | found[1].keys())
-    return pd.DataFrame({"term": names, "bad": [found[1][n] for n in names], "fine": [found[0][n] for n in names]})
+def _document_counts(sample: DataFrame, among: frozenset[str] | None) -> DataFrame:
+    """(term, n): documents that hold each term, of all terms or of those given."""
+
+    def run(batches):
+        found: Counter = Counter()
+        for b in pieces(batches, "text"):
+            for t in b["text"]:
+                held = terms(t)
+                found.update(held if among is None else held & among)
+                if len(found) > 50_000:
+                    yield frame(found)
+                    found.clear()
+        yield frame(found)
+
+    def frame(found: Counter) -> pd.DataFrame:
+        return pd.DataFrame({"term": pd.Series([*found], dtype=object), "n": pd.Series([*found.values()], dtype="int64")})
+
+    return sample.mapInPandas(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
 def score_toxicity(docs: DataFrame, grammar: Grammar, key: str = "doc_id", text: str = "text") -> DataFrame:
