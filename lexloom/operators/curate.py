@@ -37,9 +37,11 @@ def merge_by_text(df: DataFrame, model_mode: str = "all") -> DataFrame:
 
     Copies of one text may be a large part of the corpus, so labels are first
     deduplicated by (text, label), which spreads and combines before any text's
-    rows meet; what remains per text is no more than its result row holds.
+    rows meet; what remains per text is no more than its result row holds. Where rows
+    carry `text_digest`, their labels are merged without reading texts.
     """
-    keyed = df.where(F.col("text").isNotNull()).withColumn("_text", text_key("text"))
+    digest = F.col("text_digest") if "text_digest" in df.columns else text_key("text")
+    keyed = df.where(F.col("text").isNotNull()).withColumn("_text", digest)
     models = {
         "all": F.array_sort(F.collect_set("model")),
         "first": F.min("model"),

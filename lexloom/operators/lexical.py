@@ -94,20 +94,21 @@ def msttr(
 ) -> DataFrame:
     """Mean type/token ratio of the full segments of the corpus-long token stream.
 
-    Texts follow each other in the order of `key`, which is numeric and unique. A
-    text's place in the stream is a prefix sum of token counts, taken over keys
-    and counts alone; the texts are shuffled once, to meet their places. Each text
-    then sends one set of words per segment it touches, so a segment gathers at
-    most `segment` words. Without a full segment the plain ratio of the short one
-    stands in.
+    Texts follow each other in the order of `key`, which is numeric and unique. Bounds and
+    offsets of ranges of keys come from keys and token counts alone; the words of the
+    texts are shuffled once, to their range. There they get their places and the segments
+    inside a range are counted; only pieces of segments that cross the ends of a range are
+    sent on. Without a full segment the plain ratio of the short one stands in.
     """
 
-    def tokens_of(text: str) -> Column:
-        return content_tokens(T.tokens(F.col(text)), stopwords)
+    def measured(text: str) -> Column:
+        tokens = content_tokens(T.tokens(F.col(text)), stopwords)
+        return let(tokens, lambda t: F.struct(F.size(t).cast("bigint").alias("n_tokens"), F.array_join(t, " ").alias("line")))
 
-    sizes = materialise(df.select(*by, key, F.size(tokens_of("text")).cast("bigint").alias("n_tokens")))
-    places = prefix_sum(sizes.where(F.col("n_tokens") > 0), key, ["n_tokens"], by).drop(*by, "n_tokens_total")
-    placed = df.select(*by, key, "text").join(places, key).withColumn("tokens", tokens_of("text"))
+    sizes = materialise(df.select(*by, key, measured("text")["n_tokens"].alias("n_tokens")))
+    lines = df.select(*by, key, F.inline(F.array(measured("text")))).where(F.col("n_tokens") > 0)
+    narrow = sizes.where(F.col("n_tokens") > 0)
+    placed = prefix_sum(lines, key, ["n_tokens"], by, narrow=narrow, keep_place=True)
     start, end = F.col("n_tokens_before"), F.col("n_tokens_before") + F.col("n_tokens")
     pieces = placed.withColumn(
         "segment", F.explode(F.sequence(F.floor(start / segment), F.floor((end - 1) / segment)))
@@ -116,13 +117,22 @@ def msttr(
     high = F.least((F.col("segment") + 1) * segment - start, F.col("n_tokens"))
     pieces = pieces.select(
         *by,
+        "_place",
         "segment",
         (high - low).alias("size"),
-        F.array_distinct(F.slice("tokens", (low + 1).cast("int"), (high - low).cast("int"))).alias("words"),
+        F.array_distinct(F.slice(F.split("line", " "), (low + 1).cast("int"), (high - low).cast("int"))).alias("words"),
     )
-    segments = pieces.groupBy(*by, "segment").agg(
-        F.sum("size").alias("size"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("words")))).alias("types"),
+    # The first grouping needs no shuffle, rows stand by range already; the second gets
+    # the words of a segment only where it crosses a range.
+    gathered = F.array_distinct(F.flatten(F.collect_list("words")))
+    inside = pieces.groupBy(*by, "_place", "segment").agg(F.sum("size").alias("size"), gathered.alias("words"))
+    whole = F.col("size") == segment
+    inside = inside.select(
+        *by, "segment", "size", F.when(whole, F.size("words")).alias("n"),
+        F.when(~whole, F.col("words")).otherwise(no_strings()).alias("words"),
+    )
+    segments = inside.groupBy(*by, "segment").agg(
+        F.sum("size").alias("size"), F.coalesce(F.max("n"), F.size(gathered)).alias("types")
     )
     full = F.col("size") == segment
     value = F.col("types") / F.col("size")

@@ -48,19 +48,24 @@ def prefix_sum(
     values: Sequence[str],
     by: Sequence[str] = (),
     buckets: int | None = None,
+    narrow: DataFrame | None = None,
+    keep_place: bool = False,
 ) -> DataFrame:
     """Add `<v>_before`, the sum of v over earlier rows, and `<v>_total`, per `by` group.
 
     `order` is numeric, not null and unique inside a group. Rows are cut into
     ranges of about equal size over all groups, so one huge group is spread as
     well; totals per range give the offsets, and the running window stays inside
-    a range. The bounds are literals, so a retried task sees the same ranges.
+    a range. The bounds are literals, so a retried task sees the same ranges. Bounds and
+    totals come from `narrow` where it is given, a table of the same rows without wide
+    columns. With `keep_place` the range stays as `_place`: rows are partitioned by it.
     """
     by = list(by)
+    source = df if narrow is None else narrow
     if buckets is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         buckets = min(MAX_BUCKETS, 4 * partitions)
-    bounds = _quantile_bounds(df, order, buckets)
+    bounds = _quantile_bounds(source, order, buckets)
     # One struct key, so that the join and the window share a partitioning, and
     # null groups match themselves.
     place = F.struct(*by, _bucket_of(F.col(order).cast("double"), bounds).alias("_range"))
@@ -70,7 +75,7 @@ def prefix_sum(
     group = [F.col("_place")[c] for c in by]
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy(F.col("_place")["_range"]).rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy("_place").agg(*[F.sum(v).alias(v) for v in values])
+    totals = source.withColumn("_place", place).groupBy("_place").agg(*[F.sum(v).alias(v) for v in values])
     offsets = totals.select(
         "_place",
         *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_{v}_offset") for v in values],
@@ -81,6 +86,7 @@ def prefix_sum(
     inside = Window.partitionBy("_place").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return ranged.join(offsets, "_place").select(
         *df.columns,
+        *["_place"] * keep_place,
         *[
             (F.col(f"_{v}_offset") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(f"{v}_before")
             for v in values

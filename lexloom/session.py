@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -49,7 +50,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, removed by `clean_up` or when Python ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if not _made:
-        atexit.register(clean_up)
+        atexit.register(_last_clean_up)
     _made[path] = spark
     return path
 
@@ -66,6 +67,12 @@ def clean_up() -> None:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def _last_clean_up() -> None:
+    """As Python ends the JVM may be gone already; then nothing can be removed any more."""
+    with contextlib.suppress(Exception):
+        clean_up()
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute `df` once into Parquet under the shared folder, for plans that read it repeatedly.
 
