@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexloom.llm.common import held_out, saved
 
 #: Labelled documents that the classifier is fitted on, at most.
 TRAIN_ROWS = 6_000
-BUCKETS = 1 << 14
+BUCKETS = 1 << 15
+#: Full-batch steps of the classifier, their size, and its pull towards zero.
+LEARN, RATE, PULL = 150, 0.05, 1e-4
 #: Projected-gradient steps, at most; fewer once the totals are met.
 STEPS = 60
 #: Relative error of the domain totals at which the steps end.
@@ -24,30 +25,62 @@ CLOSE = 1e-4
 RIDGE = 1e-6
 
 
-def tokens_of(text: Column) -> Column:
-    """White-space words; null and empty texts have none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
+_BUCKET: dict[str, int] = {}
 
 
-def _features(words: Column) -> Column:
-    """Word beginnings and the marks at word ends, which hold topic, tone and layout."""
-    heads = F.transform(words, lambda w: F.lower(F.substring(w, 1, 4)))
-    tails = F.transform(words, lambda w: F.concat(F.lit("~"), F.substring(w, -2, 2)))
-    first = F.array(F.lit("^"))
-    return F.concat(heads, tails, first)
+def buckets_of(words: list[str]) -> np.ndarray:
+    """Distinct hashed features of a document: word beginnings, and the ends of words with their marks."""
+    known = _BUCKET
+    if len(known) > 200_000:
+        known.clear()
+    out = set()
+    for f in {w[:4] for w in words} | {"~" + w[-2:] for w in words}:
+        b = known.get(f)
+        if b is None:
+            b = known[f] = zlib.crc32(f.encode("utf-8", "replace")) % BUCKETS
+        out.add(b)
+    return np.fromiter(out, np.int64, len(out))
 
 
 @dataclass
 class DomainModel:
-    """Class names in the order of the posteriors, and the classifier."""
+    """Class names in the order of the posteriors; weights per bucket and class, and offsets."""
 
     domains: list[str]
-    classifier: LogisticRegressionModel | None
-
-
-def _vectors(docs: DataFrame) -> DataFrame:
-    hashing = HashingTF(numFeatures=BUCKETS, binary=True, inputCol="_mix_terms", outputCol="_mix_vector")
-    return hashing.transform(docs)
+    weights: np.ndarray
+    offset: np.ndarray
+
+    def predict(self, features: list[np.ndarray]) -> np.ndarray:
+        out = np.stack([self.weights[f].sum(0) for f in features]) + self.offset if features else np.zeros((0, len(self.domains)))
+        out = np.exp(out - out.max(1, keepdims=True, initial=-np.inf))
+        return out / out.sum(1, keepdims=True)
+
+
+def learn(features: list[np.ndarray], y: np.ndarray, domains: list[str]) -> DomainModel:
+    """Multinomial logistic regression on hashed features, by Adam over the whole sample."""
+    k, n = len(domains), len(features)
+    if not k:
+        return DomainModel(domains, np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+    flat = np.concatenate(features) if n else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(n), [len(f) for f in features])
+    used, at = np.unique(flat, return_inverse=True)
+    share = np.bincount(y, minlength=k) + 0.5
+    w, b = np.zeros((len(used), k)), np.log(share / share.sum())
+    target = np.eye(k)[y]
+    first, second = np.zeros_like(w), np.zeros_like(w)
+    for step in range(1, LEARN + 1):
+        z = np.stack([np.bincount(row, w[at, d], n) for d in range(k)], 1) + b
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        off = (p - target) / n
+        g = np.stack([np.bincount(at, off[row, d], len(used)) for d in range(k)], 1) + PULL * w
+        first = 0.9 * first + 0.1 * g
+        second = 0.999 * second + 0.001 * g * g
+        w -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        b -= off.sum(0)
+    weights = np.zeros((BUCKETS, k), np.float32)
+    weights[used] = w
+    return DomainModel(domains, weights, b)
 
 
 def fit_domains(
@@ -57,8 +90,8 @@ def fit_domains(
     """Fit on at most `bound` documents of the labelled table (key, domain) that are not held out.
 
     Null keys and domains take no part. A key with several domains takes the smallest.
-    With fewer than two domains there is nothing to learn: the posterior is 1 for the
-    only one, and there is none without labels.
+    Only domains seen in documents count; with one, its posterior is 1, and there is none
+    without labels. Executors hash the features; the driver sees those of the sample.
     """
     spark = docs.sparkSession
     known = (
@@ -67,42 +100,36 @@ def fit_domains(
         .groupBy("k").agg(F.min("d").alias("d"))
     )
     rows = known.orderBy(F.xxhash64("k"), "k").limit(bound).collect()
-    domains = sorted({r["d"] for r in rows})
-    if len(domains) < 2:
-        return DomainModel(domains, None)
-    number = {d: float(i) for i, d in enumerate(domains)}
-    sample = spark.createDataFrame([(r["k"], number[r["d"]]) for r in rows], f"k {dict(known.dtypes)['k']}, label double")
-    texts = docs.select(F.col(key).alias("k"), tokens_of(F.col(text)).alias("_words")).join(F.broadcast(sample), "k")
-    train = _vectors(texts.select("label", _features(F.col("_words")).alias("_mix_terms"))).select("label", "_mix_vector")
-    train = saved(train, "domains").repartition(max(1, spark.sparkContext.defaultParallelism))
-    if train.select("label").distinct().count() < len(domains):
-        seen = sorted({int(r["label"]) for r in train.select("label").distinct().collect()})
-        domains = [domains[i] for i in seen]
-        if len(domains) < 2:
-            return DomainModel(domains, None)
-        again = {float(old): float(new) for new, old in enumerate(seen)}
-        train = train.replace(again, subset=["label"])
-    fitter = LogisticRegression(
-        featuresCol="_mix_vector", labelCol="label", family="multinomial", regParam=1e-4, maxIter=25, standardization=False
-    )
-    return DomainModel(domains, fitter.fit(train))
+    sample = spark.createDataFrame([(r["k"], r["d"]) for r in rows], f"k {dict(known.dtypes)['k']}, d string")
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(sample), "k").select("text", "d")
+
+    def hashed(batches):
+        for b in batches:
+            found = [np.sort(buckets_of((t or "").split())) for t in b["text"]]
+            yield pd.DataFrame({"d": b["d"], "f": pd.Series(found, dtype=object)})
+
+    seen = sorted((r["d"], r["f"]) for r in texts.mapInPandas(hashed, "d string, f array<int>").collect())[: 2 * bound]
+    domains = sorted({d for d, _ in seen})
+    y = np.array([domains.index(d) for d, _ in seen], np.int64)
+    return learn([np.array(f, np.int64) for _, f in seen], y, domains)
+
+
+def posterior(text: Column, model: DomainModel) -> Column:
+    """struct<tokens, posterior> of each whole text; tokens are white-space words, none of a null text."""
 
+    @F.pandas_udf("struct<tokens:long,posterior:array<double>>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        words = [(t or "").split() for t in texts]
+        p = model.predict([buckets_of(w) for w in words]).astype(float)
+        return pd.DataFrame({"tokens": [len(w) for w in words], "posterior": pd.Series(list(p), dtype=object)})
 
-def _joined(docs: DataFrame, model: DomainModel, text: str) -> DataFrame:
-    """`docs` with `_mix_tokens` and `_mix_posterior` added."""
-    base = docs.withColumn("_mix_words", tokens_of(F.col(text))).withColumn("_mix_tokens", F.size("_mix_words").cast("long"))
-    if model.classifier is None:
-        certain = F.array(*[F.lit(1.0)] * len(model.domains)).cast("array<double>")
-        return base.withColumn("_mix_posterior", certain)
-    out = _vectors(base.withColumn("_mix_terms", _features(F.col("_mix_words"))))
-    model.classifier.setProbabilityCol("_mix_p").setRawPredictionCol("").setPredictionCol("")
-    return model.classifier.transform(out).withColumn("_mix_posterior", vector_to_array("_mix_p"))
+    return run(text)
 
 
 def posteriors(docs: DataFrame, model: DomainModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, tokens, posterior) of every row; posterior is an array in the order of the domains."""
-    out = _joined(docs.select(F.col(key).alias("_mix_key"), F.col(text).alias("_mix_text")), model, "_mix_text")
-    return out.select(F.col("_mix_key").alias(key), F.col("_mix_tokens").alias("tokens"), F.col("_mix_posterior").alias("posterior"))
+    out = docs.select(F.col(key).alias("_mix_key"), posterior(F.col(text), model).alias("_mix"))
+    return out.select(F.col("_mix_key").alias(key), "_mix.tokens", "_mix.posterior")
 
 
 def _totals(weights: DataFrame, rate: Column, k: int) -> np.ndarray:
@@ -163,42 +190,45 @@ def fit_rates(weights: DataFrame, targets: np.ndarray) -> tuple[np.ndarray, np.n
     return best, best_total
 
 
-def _fitted(weights: DataFrame, model: DomainModel, targets: Mapping[str, float], total: float | None) -> np.ndarray | None:
+def _fitted(weights: DataFrame, model: DomainModel, targets: Mapping[str, float], repeats: bool) -> np.ndarray | None:
     share = np.array([float(targets.get(d, 0.0)) for d in model.domains])
     if not model.domains or share.sum() <= 0:
         return None
-    if total is None:
-        total = float(weights.agg(F.sum("tokens")).first()[0] or 0)
-    return fit_rates(weights, share / share.sum() * total)[0]
+    share = share / share.sum()
+    there = _totals(weights, F.lit(1.0), len(share))
+    wanted = share > 0
+    total = there.sum() if repeats else (there[wanted] / share[wanted]).min()
+    return fit_rates(weights, share * total)[0]
 
 
 def mix(
     docs: DataFrame, model: DomainModel, targets: Mapping[str, float], key: str = "doc_id", text: str = "text",
-    total: float | None = None,
+    repeats: bool = True,
 ) -> DataFrame:
     """(key, tokens, posterior, rate) of every row: how often a document should be seen.
 
-    Rates are nonnegative and their expected domain totals meet the targets: shares of
-    `total` tokens (default: those of `docs`). Shares of domains the model does not know
+    Rates are nonnegative and their expected domain totals meet the targets: shares of as
+    many tokens as `docs` have, or, without `repeats`, of the most that no domain must be
+    repeated for. Shares of domains the model does not know
     are left out and the others scaled up; a known domain without a share has target
     zero; without any share all rates are 1. Documents without words get the rate of
     their posterior and add nothing. Repeated rows get the same rate.
     """
     weights = saved(posteriors(docs, model, key, text), "posteriors")
-    duals = _fitted(weights, model, targets, total)
+    duals = _fitted(weights, model, targets, repeats)
     return weights.withColumn("rate", F.lit(1.0) if duals is None else _rate(duals))
 
 
 def resample(
     docs: DataFrame, model: DomainModel, targets: Mapping[str, float], key: str = "doc_id", text: str = "text",
-    total: float | None = None, seed: int = 0,
+    repeats: bool = True, seed: int = 0,
 ) -> DataFrame:
-    """Rows of `docs` as often as their rates say, all columns kept; texts are not shuffled."""
-    weights = saved(posteriors(docs, model, key, text), "posteriors").select("tokens", "posterior")
-    duals = _fitted(weights, model, targets, total)
+    """Rows of `docs` as often as their rates say, all columns kept; texts are scored once and never shuffled."""
+    scored = saved(docs.withColumn("_mix", posterior(F.col(text), model)), "scored")
+    duals = _fitted(scored.select("_mix.tokens", "_mix.posterior"), model, targets, repeats)
     if duals is None:
         return docs
-    out = _joined(docs, model, text).withColumn("_mix_times", copies(_rate(duals, "_mix_posterior"), F.col(key), seed))
+    out = scored.withColumn("_mix_times", copies(_rate(duals, "_mix.posterior"), F.col(key), seed))
     again = F.explode(F.array_repeat(F.lit(1), F.col("_mix_times"))).alias("_mix_one")
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], again).drop("_mix_one")
 
