@@ -8,8 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexloom.llm import mixing, packing, quality, secrets, simhash
-from lexloom.llm.common import saved, table
-from lexloom.llm.queries import RANKS, TARGETS, domains
+from lexloom.llm.common import bounded_batches, saved, table
+from lexloom.llm.queries import RANKS, domains
+
+#: Shares of tokens after the mix; junk is gone by then, what is left of it is aimed at zero.
+TARGETS = {"plain": 0.98, "toxic": 0.02}
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,10 +23,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near-duplicates.
 
-    Groups are those of the SimHash operator with its own parameters. Rows repeated under
-    one id stay once for each text; rows without id stay only in a group without any id.
+    Groups are those of the SimHash operator's wide fingerprints: documents that share 0.8
+    of their five-word shingles. Rows repeated under one id stay once for each text; rows
+    without id stay only in a group without any id.
     """
-    found = simhash.near_duplicates(docs)
+    found = simhash.similar_documents(docs)
     first = found.select(F.col("component").alias("_first")).distinct()
     kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_first"]), "left_semi")
     return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
@@ -37,9 +41,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the rates that meet the target shares say."""
+    """Documents kept by rates that meet the target shares without repeating any domain."""
     model = mixing.fit_domains(docs, domains(table(spark, sf_dir, "labels")))
-    return mixing.resample(docs, model, TARGETS)
+    return mixing.resample(docs, model, TARGETS, repeats=False)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +51,20 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, RANKS)
 
 
+def stage(f):
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return f(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("quality", keep_quality),
-    ("near_duplicates", drop_near_duplicates),
-    ("secrets", mask_secrets),
-    ("mix", mix_domains),
-    ("packing", pack_sequences),
+    ("quality", stage(keep_quality)),
+    ("near_duplicates", stage(drop_near_duplicates)),
+    ("secrets", stage(mask_secrets)),
+    ("mix", stage(mix_domains)),
+    ("packing", stage(pack_sequences)),
 ]
 #: Trained models and tokenisers are no SQL; tests check the stages against brute force.
 ORACLE_SQL = None
@@ -61,6 +73,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name)
+    for name, f in STAGES[:-1]:
+        docs = saved(f(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lexloom.llm import language, mixing, nearest, packing, parsing, quality, secrets, simhash, toxicity, urls
-from lexloom.llm.common import held_out, table
+from lexloom.llm.common import bounded_batches, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: No operator here is a SQL expression; tests hold them against brute force.
@@ -28,7 +28,11 @@ TARGETS = {"plain": 0.95, "toxic": 0.02, "junk": 0.03}
 
 
 def query(f):
-    QUERIES[f.__name__] = f
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
     return f
 
 

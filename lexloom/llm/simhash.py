@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -15,36 +16,63 @@ WORDS = 4
 RADIUS = 4
 SEED = 42
 BYTES = 8
-#: Up to so many fingerprints under one key are compared block by block; more, by bit variants.
-COMPARE = 20_000
+#: Pairs of fingerprints compared at once.
+BLOCK_PAIRS = 2_000_000
+#: Stars that a group under one key is cut into at most, and members that need none.
+STARS, LEAST_STAR = 64, 256
 
+#: Near-duplicates by similarity: words of a shingle, lanes of 64 bits, choices of byte positions.
+SIMILAR_WORDS, LANES, CHOICES, KEY_BYTES = 5, 4, 160, 3
+SIMILARITY = 0.8
 
-def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
-    """64-bit SimHash of word shingles as a signed number.
+
+def _shingle_hashes(text: str | None, words: int, seed: int) -> np.ndarray:
+    """XXH64 of each word shingle, repeats included; none without words.
 
     A-Z are lowered; words are separated by ASCII white space; a text with fewer than
-    `words` words is one shingle, one without words (or null) has fingerprint zero. A
-    bit is 1 if more than half of the shingles' XXH64 have it, repeats included.
+    `words` words is one shingle.
     """
     parts = (text or "").encode("utf-8", "replace").lower().split()
     n = len(parts)
     if not n:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(parts)
     hash64 = xxhash.xxh64_intdigest
     if n <= words:
-        hashes = [hash64(joined, seed)]
-    else:
-        lengths = np.fromiter(map(len, parts), np.int64, n)
-        starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-        ends = (starts + lengths)[words - 1 :].tolist()
-        hashes = [hash64(joined[a:b], seed) for a, b in zip(starts.tolist(), ends)]
-    h = np.array(hashes, dtype="<u8")
+        return np.array([hash64(joined, seed)], "<u8")
+    lengths = np.fromiter(map(len, parts), np.int64, n)
+    starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
+    ends = (starts + lengths)[words - 1 :].tolist()
+    return np.array([hash64(joined[a:b], seed) for a, b in zip(starts.tolist(), ends)], "<u8")
+
+
+def _majority(h: np.ndarray) -> int:
+    """The bits that more than half of the hashes have, as a signed number."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(h), 65_536):
-        counts += np.unpackbits(h[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = np.packbits(2 * counts > len(h), bitorder="little")
-    return int(bits.view("<i8")[0])
+        octets = h[at : at + 65_536].view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(octets, axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(h), bitorder="little").view("<i8")[0])
+
+
+def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
+    """64-bit SimHash of word shingles as a signed number; zero for a text without words, or null.
+
+    A bit is 1 if more than half of the shingles' XXH64 have it, repeats included.
+    """
+    return _majority(_shingle_hashes(text, words, seed))
+
+
+def wide_fingerprint(text: str | None, words: int, lanes: int, seed: int = SEED) -> list[int]:
+    """`lanes` independent 64-bit SimHashes of the distinct shingles, by remixing each hash."""
+    h = np.unique(_shingle_hashes(text, words, seed))
+    out = [_majority(h)]
+    for _ in range(1, lanes):
+        h = h + np.uint64(0x9E3779B97F4A7C15)
+        x = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(_majority(x ^ (x >> np.uint64(31))))
+    return out
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
@@ -83,68 +111,59 @@ def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             return parent
 
 
+def near_pairs(a: np.ndarray, b: np.ndarray, radius: int, need: int) -> np.ndarray:
+    """[rows of a, rows of b]: do they share `need` positional bytes, and differ in at most `radius` bits.
+
+    Fingerprints are rows of 64-bit lanes. Bits are counted for all pairs, bytes are
+    tallied for those that the bits leave.
+    """
+    bits = np.zeros((len(a), len(b)), np.uint16)
+    for lane in range(a.shape[1]):
+        bits += np.bitwise_count(a[:, lane, None] ^ b[None, :, lane])
+    near = bits <= radius
+    i, j = np.nonzero(near)
+    shared = ((a[i] ^ b[j]).view(np.uint8) == 0).sum(1)
+    near[i, j] = shared >= need
+    return near
+
+
 def forest(fps: np.ndarray, radius: int, need: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect the same members as all pairs sharing `need` bytes and within `radius` bits.
 
-    `fps` are distinct. Each pair's shared positional bytes are tallied first; pairs with
-    fewer than `need` are dropped, the rest verified bit by bit. Fewer than n links come back.
+    `fps` are distinct rows of lanes; places of linked members come back, fewer than n
+    links. Members near one pivot are connected through it, so in a dense group only
+    stars whose members are not yet connected, and members of no star, are compared with
+    others, block by block. No pair is left out: two stars are compared until a link is found.
     """
     n = len(fps)
-    if n > COMPARE:
-        return _by_variants(fps, radius)
-    u = fps.view(np.uint64)
-    octets = fps.view(np.uint8).reshape(n, BYTES)
-    parent = np.arange(n)
-    step = max(1, 2_000_000 // n)
-    for at in range(0, n, step):
-        rows = slice(at, min(n, at + step))
-        tally = np.zeros((rows.stop - at, n - at), np.uint8)
-        for p in range(BYTES):
-            tally += octets[rows, p, None] == octets[None, at:, p]
-        i, j = np.nonzero(tally >= need)
-        ok = (i < j) & (np.bitwise_count(u[i + at] ^ u[j + at]) <= radius)
-        i, j = i[ok] + at, j[ok] + at
-        if len(i):
-            a = np.concatenate([i, np.arange(n)])
-            b = np.concatenate([j, parent])
-            parent = roots(a, b, n)
-    child = np.nonzero(parent != np.arange(n))[0]
-    return fps[child], fps[parent[child]]
-
-
-def _by_variants(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same for many fingerprints: two are within `radius` bits if turning at most
-    half of those bits in each makes them equal. Work grows with the count, not its square."""
-    n, half = len(fps), (radius + 1) // 2
-    u = fps.view(np.uint64)
-    varying = [b for b in range(64) if len(np.unique((u >> np.uint64(b)) & np.uint64(1))) > 1]
-    flips = [sum(1 << b for b in c) for k in range(half + 1) for c in combinations(varying, k)]
-    order = np.argsort(u, kind="stable")
-    known = u[order]
     parent = np.arange(n)
-    # Direct neighbours first, half the radius each way, through the variants that are met twice.
-    buckets = 64
-    for bucket in range(buckets):
-        values, owners = [], []
-        for f in flips:
-            v = u ^ np.uint64(f)
-            pick = (v * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58) == bucket
-            values.append(v[pick])
-            owners.append(np.nonzero(pick)[0].astype(np.int32))
-        v, o = np.concatenate(values), np.concatenate(owners)
-        at = np.argsort(v, kind="stable")
-        v, o = v[at], o[at]
-        same = v[1:] == v[:-1]
-        near = np.bitwise_count(u[o[1:]] ^ u[o[:-1]]) <= radius
-        first = np.concatenate([[0], np.nonzero(~same)[0] + 1])
-        head = o[np.repeat(first, np.diff(np.concatenate([first, [len(o)]])))]
-        close = np.bitwise_count(u[head] ^ u[o]) <= radius
-        a = np.concatenate([o[1:][same & near], o[close], np.arange(n)])
-        b = np.concatenate([o[:-1][same & near], head[close], parent])
-        parent = roots(a, b, n)
-    del known
+
+    def join(a: np.ndarray, b: np.ndarray) -> None:
+        nonlocal parent
+        if len(a):
+            parent = roots(np.concatenate([a, np.arange(n)]), np.concatenate([b, parent]), n)
+
+    free, stars = np.arange(n), []
+    while len(free) > LEAST_STAR and len(stars) < STARS:
+        near = near_pairs(fps[free[:1]], fps[free], radius, need)[0]
+        near[0] = True
+        stars.append(free[near])
+        free = free[~near]
+        join(stars[-1][1:], np.full(len(stars[-1]) - 1, stars[-1][0]))
+    step = max(1, BLOCK_PAIRS // n)
+    for at in range(0, len(free), step):
+        part = free[at : at + step]
+        i, j = np.nonzero(near_pairs(fps[part], fps, radius, need))
+        join(part[i], j)
+    for x, one in enumerate(stars):
+        for other in stars[x + 1 :]:
+            for at in range(0, len(one), step):
+                if parent[one[0]] == parent[other[0]]:
+                    break
+                i, j = np.nonzero(near_pairs(fps[one[at : at + step]], fps[other], radius, need))
+                join(one[at : at + step][i[:1]], other[j[:1]])
     child = np.nonzero(parent != np.arange(n))[0]
-    return fps[child], fps[parent[child]]
+    return child, parent[child]
 
 
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -160,44 +179,52 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(_signed(sum(0xFF << (8 * p) for p in positions)))))
         for k, positions in masks
     ])
-    posted = distinct.select(F.explode(index).alias("slot"), "fp")
-    posted = posted.repartition("slot").sortWithinPartitions("slot", "fp")
+    return _links(distinct.select(F.explode(index).alias("slot"), F.col("fp").alias("node"), F.array("fp").alias("lanes")), radius, need)
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+def _links(posted: DataFrame, radius: int, need: int) -> DataFrame:
+    """(a, b) nodes linked under any slot, from (slot, node, lanes) postings."""
+    posted = posted.repartition("slot").sortWithinPartitions("slot", "node")
 
     def run(batches):
-        slots, fps = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        slots, nodes, lanes = np.zeros(0, np.int64), np.zeros(0, np.int64), None
         for b in batches:
+            if not len(b):
+                continue
+            more = np.stack(b["lanes"].to_numpy())
             slots = np.concatenate([slots, b["slot"].to_numpy()])
-            fps = np.concatenate([fps, b["fp"].to_numpy()])
-            whole = np.searchsorted(slots, slots[-1]) if len(slots) else 0
+            nodes = np.concatenate([nodes, b["node"].to_numpy()])
+            lanes = more if lanes is None else np.concatenate([lanes, more])
+            whole = np.searchsorted(slots, slots[-1])
             if whole:
-                yield _met(slots[:whole], fps[:whole], radius, need)
-                slots, fps = slots[whole:], fps[whole:]
-        yield _met(slots, fps, radius, need)
-
-    found = posted.mapInPandas(run, "a long, b long")
-    return found.distinct()
+                yield _met(slots[:whole], nodes[:whole], lanes[:whole], radius, need)
+                slots, nodes, lanes = slots[whole:], nodes[whole:], lanes[whole:]
+        if lanes is not None:
+            yield _met(slots, nodes, lanes, radius, need)
 
-
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >= 1 << 63 else x
+    return posted.mapInPandas(run, "a long, b long").distinct()
 
 
-def _met(slots: np.ndarray, fps: np.ndarray, radius: int, need: int) -> pd.DataFrame:
+def _met(slots: np.ndarray, nodes: np.ndarray, lanes: np.ndarray, radius: int, need: int) -> pd.DataFrame:
     """Links within each run of equal slots."""
-    n = len(slots)
+    lanes = np.ascontiguousarray(lanes).view(np.uint64)
     edge = np.nonzero(slots[1:] != slots[:-1])[0] + 1
-    first = np.concatenate([[0], edge]) if n else np.zeros(0, np.int64)
-    size = np.diff(np.concatenate([first, [n]]))
-    out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    first = np.concatenate([[0], edge])
+    size = np.diff(np.concatenate([first, [len(slots)]]))
     pair = first[size == 2]
-    ok = np.bitwise_count((fps[pair] ^ fps[pair + 1]).view(np.uint64)) <= radius if len(pair) else np.zeros(0, bool)
-    out_a.append(fps[pair + 1][ok] if len(pair) else out_a[0])
-    out_b.append(fps[pair][ok] if len(pair) else out_b[0])
+    apart = lanes[pair] ^ lanes[pair + 1]
+    shared = (apart.view(np.uint8) == 0).sum(1)
+    pair = pair[(shared >= need) & (np.bitwise_count(apart).sum(1) <= radius)]
+    a, b = [nodes[pair + 1]], [nodes[pair]]
     for at, k in zip(first[size > 2].tolist(), size[size > 2].tolist()):
-        a, b = forest(np.ascontiguousarray(fps[at : at + k]), radius, need)
-        out_a.append(a)
-        out_b.append(b)
-    return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+        child, root = forest(lanes[at : at + k], radius, need)
+        a.append(nodes[at + child])
+        b.append(nodes[at + root])
+    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -250,11 +277,76 @@ def near_duplicates(
     marked = saved(fingerprints(docs, key, text, words), "fingerprints")
     distinct = saved(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
     nodes = components(links(distinct.select("fp"), radius))
-    named = distinct.join(nodes, distinct["fp"] == nodes["node"], "left")
-    named = named.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return _classes(marked, distinct, nodes, key, "fp").select(key, "fp", "component")
+
+
+def radius_of(similarity: float, bits: int) -> int:
+    """Differing bits to allow for documents of equal length that share this part of their shingles.
+
+    Two sets of Jaccard similarity J and equal size have cosine 2J / (1 + J); a SimHash bit
+    differs with the angle's share of a half turn. Half a deviation of the count is added.
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(bits * p + 0.5 * math.sqrt(bits * p * (1 - p)))
+
+
+def byte_choices(positions: int, choose: int, count: int, seed: int = 1) -> list[tuple[int, ...]]:
+    """`count` different choices of byte positions that use all positions about equally often."""
+    rng = np.random.default_rng(seed)
+    out: dict[tuple[int, ...], None] = {}
+    while len(out) < count:
+        deal = rng.permutation(positions)
+        for at in range(0, positions - choose + 1, choose):
+            out.setdefault(tuple(sorted(int(p) for p in deal[at : at + choose])))
+    return list(out)[:count]
+
+
+def similar_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY
+) -> DataFrame:
+    """(key, component): groups of documents that share `similarity` of their word shingles, as SimHash tells.
+
+    64 bits and a radius that a byte index finds for certain tell only copies with very few
+    changes. Here a fingerprint has LANES times 64 bits, which measures the similarity to a
+    few hundredths, and is posted under CHOICES choices of KEY_BYTES byte positions: pairs that
+    share a choice, hence at least KEY_BYTES positional bytes, are tallied and verified on all
+    bits. A pair of similarity 0.9 shares a choice with probability 0.99, one of 0.8 with 0.85.
+    Nodes are 64-bit digests of distinct fingerprints. Nulls, blanks and repeats are treated
+    as by `near_duplicates`.
+    """
+
+    @F.pandas_udf("array<long>")
+    def mark(texts: pd.Series) -> pd.Series:
+        return pd.Series([wide_fingerprint(t, words, LANES) for t in texts], dtype=object)
+
+    marked = docs.select(F.col(key), mark(F.col(text)).alias("lanes"))
+    marked = saved(marked.withColumn("node", F.xxhash64("lanes")), "fingerprints")
+    distinct = marked.groupBy("node").agg(F.min(key).alias("first"), F.first("lanes").alias("lanes"))
+    distinct = saved(distinct, "distinct")
+
+    # One row per choice first, so that its slot is plain arithmetic on columns.
+    chosen = F.array(*[
+        F.struct(F.lit(k).cast("long").alias("k"), F.array(*map(F.lit, positions)).alias("at"))
+        for k, positions in enumerate(byte_choices(LANES * BYTES, KEY_BYTES, CHOICES))
+    ])
+    rows = distinct.select("node", "lanes", F.explode(chosen).alias("c"))
+    slot = F.col("c.k")
+    for i in range(KEY_BYTES):
+        at = F.col("c.at")[i]
+        lane = F.col("lanes")[F.shiftright(at, 3)]
+        slot = F.shiftleft(slot, 8).bitwiseOR(F.call_function("shiftrightunsigned", lane, 8 * (at % 8)).bitwiseAND(F.lit(255)))
+    posted = rows.select(slot.alias("slot"), "node", "lanes")
+    nodes = components(_links(posted, radius_of(similarity, 64 * LANES), KEY_BYTES))
+    return _classes(marked, distinct.select("node", "first"), nodes, key, "node").select(key, "component")
+
+
+def _classes(marked: DataFrame, distinct: DataFrame, nodes: DataFrame, key: str, mark: str) -> DataFrame:
+    """`marked` with `component`, the smallest key of each node's group."""
+    roots_of = nodes.select(F.col("node").alias("_node"), "root")
+    named = distinct.join(roots_of, distinct[mark] == roots_of["_node"], "left")
+    named = named.select(mark, "first", F.coalesce("root", mark).alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
-    classes = named.join(smallest, "root").select("fp", "component")
-    return marked.join(classes, "fp").select(key, "fp", "component")
+    return marked.join(named.join(smallest, "root").select(mark, "component"), mark)
 
 
 def hex_digits(fp: Column) -> Column:

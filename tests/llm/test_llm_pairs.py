@@ -99,19 +99,55 @@ def ball(n, seed, spread=5):
     return sorted(out)
 
 
-@pytest.mark.parametrize("compare", [simhash.COMPARE, 10])
-def test_dense_groups_keep_every_link(compare, monkeypatch):
-    monkeypatch.setattr(simhash, "COMPARE", compare)
+@pytest.mark.parametrize("least, stars, pairs", [(256, 64, 2_000_000), (1, 64, 50), (1, 2, 500), (0, 500, 10)])
+def test_dense_groups_keep_every_link(least, stars, pairs, monkeypatch):
+    monkeypatch.setattr(simhash, "LEAST_STAR", least)
+    monkeypatch.setattr(simhash, "STARS", stars)
+    monkeypatch.setattr(simhash, "BLOCK_PAIRS", pairs)
     more = random.Random(9)
-    fps = ball(120, 1) + [more.getrandbits(64) for _ in range(20)]
-    signed = np.array(fps, np.uint64).view(np.int64)
-    a, b = simhash.forest(signed, 4, 0)
-    index = {int(f): i for i, f in enumerate(signed)}
-    roots = simhash.roots(np.array([index[int(x)] for x in a]), np.array([index[int(x)] for x in b]), len(fps))
+    fps = ball(120, 1) + ball(60, 2, 9) + [more.getrandbits(64) for _ in range(20)]
+    child, parent = simhash.forest(np.array(fps, np.uint64)[:, None], 4, 0)
+    roots = simhash.roots(child, parent, len(fps))
     want = reference_groups(dict(enumerate(fps)))
     assert roots.tolist() == [want[i] for i in range(len(fps))]
 
 
+def jaccard(a, b, words=5):
+    def grams(t):
+        w = t.lower().split()
+        return {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))}
+
+    x, y = grams(a), grams(b)
+    return len(x & y) / len(x | y)
+
+
+def test_similar_documents_are_those_of_the_shingles(spark):
+    rng = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts, groups = [None, "", "few words", "few words", "other few"], [0, 0, 2, 2, 4]
+    for _ in range(60):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(200, 600))]
+        home = len(texts)
+        texts.append(" ".join(base))
+        groups.append(home)
+        for _ in range(rng.randint(0, 3)):
+            copy = list(base)
+            for _ in range(max(1, len(copy) // 150)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            texts.append(" ".join(copy))
+            groups.append(home)
+        # Half of another document's text is no near-duplicate of it.
+        texts.append(" ".join(base[: len(base) // 2] + [rng.choice(vocabulary) for _ in range(len(base) // 2)]))
+        groups.append(len(texts) - 1)
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, node int").repartition(4)
+    got = {r["doc_id"]: r["component"] for r in simhash.similar_documents(docs).collect()}
+    wrong = [i for i, g in enumerate(groups) if got[i] != g]
+    assert len(got) == len(texts) and len(wrong) <= 0.02 * len(texts)
+    for i in wrong:
+        assert got[i] == i or jaccard(texts[i], texts[got[i]]) > 0.7
+    assert simhash.similar_documents(docs.limit(0)).collect() == []
+
+
 def test_links_over_many_partitions(spark):
     fps = ball(300, 3, 6) + ball(200, 4, 4)
     signed = [int(x) for x in np.array(fps, np.uint64).view(np.int64)]

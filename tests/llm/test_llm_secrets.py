@@ -125,7 +125,7 @@ def test_stages_take_effect_and_keep_columns(spark):
     one = stage["near_duplicates"](spark, kept, sf).cache()
     from lexloom.llm import simhash
 
-    groups = {r["component"] for r in simhash.near_duplicates(kept).collect()}
+    groups = {r["component"] for r in simhash.similar_documents(kept).collect()}
     assert one.columns == docs.columns
     assert sorted(r["doc_id"] for r in one.collect()) == sorted(groups)
 
