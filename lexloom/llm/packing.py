@@ -16,7 +16,7 @@ from lexloom.llm.common import pieces, saved
 #: Tokens of a sequence.
 ROOM = 2048
 #: Bins that may be open at once in a task.
-OPEN_BINS = 512
+OPEN_BINS = 2048
 #: Partitions whose unfinished bins are packed again together.
 FAN_IN = 16
 END = 0
@@ -108,8 +108,9 @@ def pack(
     `ranks` is the path of a byte-level BPE vocabulary as ranks; its special strings are
     ordinary text. A document's ids end with id 0; null and empty texts are that id
     alone. A document of more than `room` ids is cut into pieces, all full but the first.
-    Each task packs the pieces it reads as they come, at most `most` bins open; bins
-    unfinished at its end are packed again with those of FAN_IN - 1 other tasks. Repeated
+    Each task packs the pieces it reads as they come, at most `most` bins open; what bins
+    unfinished at its end hold is packed again, longest pieces first, with that of about
+    FAN_IN - 1 other tasks and their number of bins. Repeated
     rows and null keys are packed each; other columns are not read. `with_ids` adds the
     ids of each piece.
     """
@@ -142,7 +143,7 @@ def pack(
         yield frame(bins.rest(), True)
 
     def again(batches):
-        bins = Bins(room, most, _numbers(1))
+        bins = Bins(room, FAN_IN * most, _numbers(1))
         for b in batches:
             for row in b[[n for n in names if n not in ("sequence_id", "offset")]].itertuples(index=False, name=None):
                 bins.add(row[3], row)
@@ -154,7 +155,8 @@ def pack(
     rest = first.where("open")
     tasks = first.select(F.shiftright("sequence_id", 34).alias("t")).distinct().count()
     groups = max(1, -(-tasks // FAN_IN))
-    rest = rest.repartition(groups, "sequence_id").sortWithinPartitions(F.xxhash64("sequence_id", "key", "piece"), "key", "piece")
+    rest = rest.repartition(groups, "sequence_id")
+    rest = rest.sortWithinPartitions(F.desc("length"), "sequence_id", "offset")
     second = rest.mapInPandas(again, schema)
     out = first.where(~F.col("open")).union(second).drop("open")
     return out.withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
