@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def stored(df: DataFrame, name: str, otherwise: Column) -> Column:
+    """A measure of the text that a row table holds as `_m_<name>`, else the expression for it."""
+    return F.col(f"_m_{name}") if f"_m_{name}" in df.columns else otherwise
+
 
 def no_strings() -> Column:
     return F.array().cast("array<string>")

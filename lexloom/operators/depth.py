@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexloom.functions import text as T
-from lexloom.functions.columns import count_if, long_sum, percent, ratio, text_key
+from lexloom.functions.columns import count_if, long_sum, percent, ratio, stored, text_key
+from lexloom.operators.health import enrich
 from lexloom.operators.labels import label_balance, label_counts, total_count
 
 SHALLOW = 0.8
@@ -66,9 +67,46 @@ def _summed(name: str) -> list[Column]:
     ]
 
 
+def _label_scores(df: DataFrame, rule: str) -> Column:
+    return stored(df, f"overlap_{rule}", T.overlap_scores(F.col("text"), F.concat("labels", "not_labels"), rule))
+
+
+def _baseline_scores(df: DataFrame) -> tuple[Column, Column]:
+    """Overlap of the positive labels, and of a pseudo label, the text's first three alphabetic words."""
+    pseudo = F.array_join(F.slice(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)), 1, 3), " ")
+    return (
+        stored(df, "overlap_positive", T.overlap_scores(F.col("text"), F.col("labels"), "split")),
+        stored(df, "overlap_baseline", T.overlap_scores(F.col("text"), F.array(pseudo), "split")),
+    )
+
+
+def row_table(df: DataFrame) -> DataFrame:
+    """`df` without its texts but with every measure of them that the audits take.
+
+    Stored once, it lets `health`, `describe`, `short_texts`, `overlap_summary`,
+    `depth_vs_baseline`, `token_fit` (with its default lengths), `quality_scorecard` and
+    `summary_table` work without reading a text again.
+    """
+    positive, baseline = _baseline_scores(df)
+    text = F.col("text")
+    measured = enrich(df).drop("all_labels").withColumns(
+        {
+            "_m_digest": text_key(text),
+            "_m_null": text.isNull(),
+            "_m_blank": T.is_blank(text),
+            "_m_overlap_clean": _label_scores(df, "clean"),
+            "_m_overlap_positive": positive,
+            "_m_overlap_baseline": baseline,
+        }
+    )
+    lengths = token_lengths(measured)
+    renamed = {c: f"_m_{c}" for c in ("text_tokens", "label_tokens", "sequence_tokens")}
+    return lengths.withColumnsRenamed(renamed).withColumn("_m_words", F.col("text_words")).drop("text")
+
+
 def overlap_summary(df: DataFrame, threshold: float = SHALLOW, rule: str = "clean") -> DataFrame:
     """Mean overlap, shallow (>= threshold) and fully inferential (0) label instances."""
-    scores = df.select(T.overlap_scores(F.col("text"), F.concat("labels", "not_labels"), rule).alias("s"))
+    scores = df.select(_label_scores(df, rule).alias("s"))
     out = scores.select(*[c.alias(n) for n, c in _score_sums(F.col("s"), "l", threshold).items()]).agg(*_summed("l"))
     n = F.col("l_n")
     return out.select(
@@ -88,11 +126,8 @@ def shallowest_rows(df: DataFrame, key: str, k: int = 5) -> DataFrame:
 
 def depth_vs_baseline(df: DataFrame, threshold: float = SHALLOW) -> DataFrame:
     """Overlap of positive labels against a pseudo label, the text's first three alphabetic words."""
-    pseudo = F.array_join(F.slice(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)), 1, 3), " ")
-    scores = df.select(
-        T.overlap_scores(F.col("text"), F.col("labels"), "split").alias("labels"),
-        T.overlap_scores(F.col("text"), F.array(pseudo), "split").alias("baseline"),
-    )
+    positive, baseline = _baseline_scores(df)
+    scores = df.select(positive.alias("labels"), baseline.alias("baseline"))
     names = ("labels", "baseline")
     partial = scores.select(*[c.alias(n) for s in names for n, c in _score_sums(F.col(s), s, threshold).items()])
     sums = partial.agg(*[a for s in names for a in _summed(s)])
@@ -153,6 +188,10 @@ def token_lengths(
 ) -> DataFrame:
     """Add token lengths of the text, of each label and of the packed sequence
     (two special tokens, the text, one mark per label, the labels); row-local."""
+    names = ("text_tokens", "label_tokens", "sequence_tokens")
+    plain = text_length is plain_text_length and label_lengths is plain_label_lengths
+    if plain and all(f"_m_{c}" in df.columns for c in names):
+        return df.withColumns({c: F.col(f"_m_{c}") for c in names})
     labels = F.transform(F.concat("labels", "not_labels"), lambda x: F.replace(x, F.lit("_"), F.lit(" ")))
     measured = df.withColumns({"text_tokens": text_length(F.col("text")), "label_tokens": label_lengths(labels)})
     total = F.aggregate("label_tokens", F.lit(0), lambda acc, x: acc + x)
@@ -233,11 +272,11 @@ def quality_scorecard(df: DataFrame, min_words: int = 10, counts: DataFrame | No
     copies of a text combine before they are shuffled.
     """
     lengths = token_lengths(df).withColumns(
-        {"k": text_key("text"), "s": T.overlap_scores(F.col("text"), F.concat("labels", "not_labels"))}
+        {"k": stored(df, "digest", text_key("text")), "s": _label_scores(df, "clean")}
     )
     rows = lengths.select(
         "k",
-        (T.count_words(F.col("text")) < min_words).cast("int").alias("short"),
+        (stored(df, "words", T.count_words(F.col("text"))) < min_words).cast("int").alias("short"),
         F.size("labels").alias("pos"),
         F.size("not_labels").alias("neg"),
         (F.col("sequence_tokens") > MAX_SEQUENCE).cast("int").alias("long_sequence"),

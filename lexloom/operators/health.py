@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexloom.functions import text as T
-from lexloom.functions.columns import count_if, percent, text_key
+from lexloom.functions.columns import count_if, percent, stored, text_key
 from lexloom.operators.scan import exact_percentiles, is_vocabulary, long_values, null_safe_join
 from lexloom.session import materialise
 
@@ -35,10 +35,11 @@ def health(df: DataFrame) -> DataFrame:
     Copies are counted per digest first, so a text with very many copies is
     combined before the shuffle.
     """
-    per_text = df.groupBy(text_key("text").alias("k")).agg(
+    text = F.col("text")
+    per_text = df.groupBy(stored(df, "digest", text_key(text)).alias("k")).agg(
         F.count("*").alias("rows"),
-        count_if(F.col("text").isNull()).alias("null_text"),
-        count_if(T.is_blank(F.col("text"))).alias("blank_text"),
+        count_if(stored(df, "null", text.isNull())).alias("null_text"),
+        count_if(stored(df, "blank", T.is_blank(text))).alias("blank_text"),
         count_if(F.size("labels") == 0).alias("no_positive"),
         count_if(F.size("not_labels") == 0).alias("no_negative"),
     )
@@ -90,7 +91,7 @@ def five_numbers(df: DataFrame, by: str, cols: Sequence[str]) -> DataFrame:
 
 
 def short_texts(df: DataFrame, min_words: int = 10) -> DataFrame:
-    short = T.count_words(F.col("text")) < min_words
+    short = stored(df, "words", T.count_words(F.col("text"))) < min_words
     return df.agg(F.count("*").alias("rows"), count_if(short).alias("short")).withColumn(
         "short_pct", percent(F.col("short"), F.col("rows"))
     )

@@ -222,34 +222,27 @@ def ngrams(
 
     With `across_texts` the texts of a group form one stream in key order and
     n-grams run over text ends. Those extra ones need only the n-1 outer words of
-    each text, so whole texts are never sorted. Texts are cut into words once: the
-    outer words leave the same pass as the n-grams, as one more row of each text.
+    each text, so whole texts are never sorted. Texts are cut into words once, and the
+    words stored as a line each; n-grams and outer words are read off the lines.
     """
     tokens = content_tokens(T.tokens(F.col("text")), stopwords)
     # Exploding a named column would let the optimizer build it a second time for a filter.
     if not across_texts or n == 1:
         grams = df.select(*by, F.explode(let(tokens, lambda t: _ngrams_of(t, n))).alias("ngram"))
         return grams.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
-    nothing = F.lit(None).cast("array<string>")
-
-    def items(t: Column) -> Column:
-        grams = F.transform(_ngrams_of(t, n), lambda g: F.struct(g.alias("ngram"), nothing.alias("head"), nothing.alias("tail")))
-        edge = F.struct(
-            F.lit(None).cast("string").alias("ngram"),
-            F.slice(t, F.lit(1), F.lit(n - 1)).alias("head"),
-            F.slice(t, F.greatest(F.size(t) - (n - 1), F.lit(0)) + 1, F.lit(n - 1)).alias("tail"),
+    lines = materialise(df.select(*by, key, F.array_join(tokens, " ").alias("line")).where(F.col("line") != ""))
+    grams = lines.select(*by, F.explode(let(F.split("line", " "), lambda t: _ngrams_of(t, n))).alias("ngram"))
+    edges = materialise(
+        lines.select(
+            *by,
+            key,
+            F.split(F.substring_index("line", " ", n - 1), " ").alias("head"),
+            F.split(F.substring_index("line", " ", 1 - n), " ").alias("tail"),
+            F.lit(1).cast("bigint").alias("one"),
         )
-        return F.concat(grams, F.filter(F.array(edge), lambda _: F.size(t) > 0))
-
-    place = F.when(F.col("head").isNotNull(), F.col(key)).alias("place")
-    rows = df.select(*by, key, F.inline(let(tokens, items))).select(*by, place, "ngram", "head", "tail")
-    # Copies of an n-gram are counted inside tasks; a text's edge is a group of its own.
-    counted = materialise(rows.groupBy(*by, "ngram", "place", "head", "tail").agg(F.count("*").alias("n")))
-    within = counted.where(F.col("ngram").isNotNull()).select(*by, "ngram", "n")
-    edges = counted.where(F.col("head").isNotNull()).select(*by, F.col("place").alias(key), "head", "tail")
-    crossing = _crossing_ngrams(edges.withColumn("one", F.lit(1).cast("bigint")), n, by, key)
-    crossing = crossing.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
-    return within.unionByName(crossing).groupBy(*by, "ngram").agg(F.sum("n").alias("n"))
+    )
+    grams = grams.unionByName(_crossing_ngrams(edges, n, by, key))
+    return grams.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
 
 
 def _crossing_ngrams(edges: DataFrame, n: int, by: Sequence[str], key: str) -> DataFrame:

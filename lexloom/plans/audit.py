@@ -9,15 +9,17 @@ from lexloom.session import materialise
 
 
 def audit_corpus(df: DataFrame, key: str) -> dict[str, DataFrame]:
-    """Health, label, depth and fit tables; labels are counted once."""
+    """Health, label, depth and fit tables. Texts are read twice, for a narrow table of their
+    measures and for the shallowest rows, which show them; labels are counted once."""
+    rows = materialise(depth.row_table(df))
     counts = materialise(labels.label_counts(df))
     lengths = materialise(labels.label_word_lengths(df))
     total = labels.total_count()
     return {
-        "health": health.health(df),
-        "describe": health.describe(health.enrich(df), health.NUMERIC),
-        "short_texts": health.short_texts(df),
-        "vocabulary": curate.label_vocabulary(df, counts),
+        "health": health.health(rows),
+        "describe": health.describe(rows, health.NUMERIC),
+        "short_texts": health.short_texts(rows),
+        "vocabulary": curate.label_vocabulary(rows, counts),
         "roles": labels.label_roles(counts),
         "roles_frequent": labels.label_roles(counts, 2),
         "reuse": labels.label_reuse(counts),
@@ -28,12 +30,12 @@ def audit_corpus(df: DataFrame, key: str) -> dict[str, DataFrame]:
         "label_lengths": lengths,
         "long_labels": labels.long_labels(lengths),
         "diversity": labels.label_diversity(labels.spectrum(counts, total)),
-        "overlap": depth.overlap_summary(df),
-        "depth": depth.depth_vs_baseline(df),
+        "overlap": depth.overlap_summary(rows),
+        "depth": depth.depth_vs_baseline(rows),
         "shallowest": depth.shallowest_rows(df, key),
-        "token_fit": depth.token_fit(df),
-        "scorecard": depth.quality_scorecard(df, counts=counts),
-        "summary": depth.summary_table(df, counts=counts),
+        "token_fit": depth.token_fit(rows),
+        "scorecard": depth.quality_scorecard(rows, counts=counts),
+        "summary": depth.summary_table(rows, counts=counts),
     }
 
 
