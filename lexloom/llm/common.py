@@ -14,10 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, size: str = "16m") -> None:
+def bounded_batches(spark: SparkSession, size: str = "4m") -> None:
     """Let Spark hand Python workers at most about `size` of rows at once.
 
-    Spark's own bound is four times as high, and a worker holds a few copies of a batch
+    Spark's own bound is sixteen times as high, and a worker holds a few copies of a batch
     of texts. A setting of the session: it holds for later plans as well.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

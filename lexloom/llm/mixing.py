@@ -119,9 +119,13 @@ def posterior(text: Column, model: DomainModel) -> Column:
 
     @F.pandas_udf("struct<tokens:long,posterior:array<double>>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        words = [(t or "").split() for t in texts]
-        p = model.predict([buckets_of(w) for w in words]).astype(float)
-        return pd.DataFrame({"tokens": [len(w) for w in words], "posterior": pd.Series(list(p), dtype=object)})
+        sizes, features = [], []
+        for t in texts:
+            words = (t or "").split()
+            sizes.append(len(words))
+            features.append(buckets_of(words).astype(np.int32))
+        p = model.predict(features).astype(float)
+        return pd.DataFrame({"tokens": pd.Series(sizes, dtype="int64"), "posterior": pd.Series(list(p), dtype=object)})
 
     return run(text)
 

@@ -15,8 +15,8 @@ SIGN = 3
 SHORT = 600
 #: Bins of the fingerprint, one byte each.
 BINS = 128
-#: Characters parsed together.
-BATCH_CHARS = 1_000_000
+#: Characters of texts held for an answer, and parsed together.
+BATCH_CHARS, PARSE_CHARS = 500_000, 50_000
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -124,7 +124,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(either == 0, 1.0, same / np.maximum(either, 1))
 
 
-def batches_of(texts: list[str], chars: int = BATCH_CHARS):
+def batches_of(texts: list[str], chars: int = PARSE_CHARS):
     at, size = 0, 0
     for i, t in enumerate(texts):
         if i > at and size + len(t) > chars:
