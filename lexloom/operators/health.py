@@ -67,12 +67,11 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
     keys = [*by, "metric"]
     values = materialise(long_values(df, cols, by))
     v = F.col("value")
-    basic = values.groupBy(*keys).agg(
+    basic = (
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"),
     )
-    quartiles = exact_percentiles(values, (0.25, 0.5, 0.75), keys)
-    return null_safe_join(basic, quartiles, keys).select(
+    return exact_percentiles(values, (0.25, 0.5, 0.75), keys, basic).select(
         *keys, "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
         F.col("q2").alias("p75"), "max",
     )
@@ -82,8 +81,8 @@ def five_numbers(df: DataFrame, by: str, cols: Sequence[str]) -> DataFrame:
     """Minimum, quartiles and maximum per group; a group without values has nulls."""
     values = materialise(long_values(df, cols, [by]))
     keys = [by, "metric"]
-    ends = values.groupBy(*keys).agg(F.min("value").alias("min"), F.max("value").alias("max"))
-    found = null_safe_join(ends, exact_percentiles(values, (0.25, 0.5, 0.75), keys), keys)
+    ends = (F.min("value").alias("min"), F.max("value").alias("max"))
+    found = exact_percentiles(values, (0.25, 0.5, 0.75), keys, ends)
     groups = df.select(by).distinct().select(by, F.explode(F.array(*[F.lit(c) for c in cols])).alias("metric"))
     return null_safe_join(groups, found, keys, "left").select(
         *keys, "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max"

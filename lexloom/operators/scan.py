@@ -157,21 +157,24 @@ def weighted_percentiles(counts: DataFrame, probabilities: Sequence[float], by:
 SKETCH = 1_000
 
 
-def exact_percentiles(values: DataFrame, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
+def exact_percentiles(
+    values: DataFrame, probabilities: Sequence[float], by: Sequence[str], also: Sequence[Column] = ()
+) -> DataFrame:
     """Exact linear-interpolated percentiles of (by, value) rows as `q0`, `q1`, ...
 
     A sketch per group brackets each percentile between two values. Values outside all
     brackets are counted by the gap they fall in, so only those inside, a few in a
     thousand and any with many copies counted once, are shuffled and ranked. `values`
-    is read twice and should be stored.
+    is read twice and should be stored. `also` are named aggregates of the same groups,
+    taken in the pass that takes the sketch.
     """
     by = list(by)
     around = [min(1.0, max(0.0, p + off)) for p in probabilities for off in (-4.0 / SKETCH, 4.0 / SKETCH)]
     sketch = F.percentile_approx("value", around, SKETCH)
-    edges = values.groupBy(*by).agg(sketch.alias("_edges"), F.count("*").alias("_size"))
+    groups = values.groupBy(*by).agg(sketch.alias("_edges"), F.count("*").alias("_size"), *also)
+    groups = materialise(groups)
     small = F.col("_size") <= 2 * SKETCH
-    edges = edges.select(*by, F.when(~small, F.col("_edges")).alias("_edges"))
-    edges = materialise(edges)
+    edges = groups.select(*by, F.when(~small, F.col("_edges")).alias("_edges"))
     near = null_safe_join(values, F.broadcast(edges) if is_vocabulary(edges) else edges, by)
     v, e = F.col("value"), F.col("_edges")
     kept = e.isNull()
@@ -184,4 +187,5 @@ def exact_percentiles(values: DataFrame, probabilities: Sequence[float], by: Seq
     # What lies below the first bracket is counted with that bracket's lower end.
     counts = near.select(*by, F.when(kept, v).otherwise(gap).alias("value"))
     counts = counts.groupBy(*by, "value").agg(F.count("*").alias("n"))
-    return weighted_percentiles(materialise(counts), probabilities, by)
+    found = weighted_percentiles(materialise(counts), probabilities, by)
+    return null_safe_join(groups.drop("_edges", "_size"), found, by) if also else found
