@@ -48,7 +48,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences."""
-    return packing.pack(docs, RANKS)
+    return packing.pack(docs, RANKS, added=True)
 
 
 def stage(f):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,8 +22,12 @@ OPEN_BINS = 2048
 #: Partitions whose unfinished bins are packed again together.
 FAN_IN = 16
 END = 0
+#: The faster library fails on runs of white space about ten times as long.
+SAFE_RUN = 100_000
+_LONG_RUN = re.compile(r"(?<!\s)\s{%d}" % SAFE_RUN)
 
 _ENCODERS: dict[str, object] = {}
+_TOKENIZERS: dict[tuple[str, bool], object] = {}
 
 
 def encoder(ranks: str):
@@ -36,6 +42,30 @@ def encoder(ranks: str):
     return _ENCODERS[ranks]
 
 
+def tokenizer(ranks: str, added: bool):
+    """The tokenizer itself, from the json beside the ranks; without `added`, strings of added tokens are ordinary text."""
+    if (ranks, added) not in _TOKENIZERS:
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(os.path.splitext(ranks)[0] + ".json")
+        found.encode_special_tokens = not added
+        _TOKENIZERS[ranks, added] = found
+    return _TOKENIZERS[ranks, added]
+
+
+def token_ids(ranks: str, added: bool):
+    """text -> ids, by the faster library where it gives what the tokenizer gives, else by the tokenizer."""
+    bpe = encoder(ranks)
+    special = [t.content for t in tokenizer(ranks, added).get_added_tokens_decoder().values()] if added else []
+
+    def ids(text: str) -> list[int]:
+        if any(t in text for t in special) or (len(text) >= SAFE_RUN and _LONG_RUN.search(text)):
+            return tokenizer(ranks, added).encode(text, add_special_tokens=False).ids
+        return bpe.encode_ordinary(text)
+
+    return ids
+
+
 def cuts(n: int, room: int = ROOM) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n tokens: all but the first are full."""
     if n <= room:
@@ -101,12 +131,13 @@ def _numbers(round_: int) -> Iterator[int]:
 
 def pack(
     docs: DataFrame, ranks: str, key: str = "doc_id", text: str = "text", room: int = ROOM, most: int = OPEN_BINS,
-    with_ids: bool = False,
+    with_ids: bool = False, added: bool = False,
 ) -> DataFrame:
     """(key, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every row.
 
-    `ranks` is the path of a byte-level BPE vocabulary as ranks; its special strings are
-    ordinary text. A document's ids end with id 0; null and empty texts are that id
+    `ranks` is the path of a byte-level BPE vocabulary as ranks, with the tokenizer's json
+    beside it. With `added`, strings of its added tokens give their ids, as the tokenizer has
+    it; otherwise they are ordinary text. A document's ids end with id 0; null and empty texts are that id
     alone. A document of more than `room` ids is cut into pieces, all full but the first.
     Each task packs the pieces it reads as they come, at most `most` bins open; what bins
     unfinished at its end hold is packed again, longest pieces first, with that of about
@@ -131,10 +162,10 @@ def pack(
 
     def read(batches):
         bins = Bins(room, most, _numbers(0))
-        bpe = encoder(ranks)
+        encode = token_ids(ranks, added)
         for b in pieces(batches, "text"):
             for k, t in zip(b["key"], b["text"]):
-                ids = np.array([*bpe.encode_ordinary(t), END] if t else [END], "<u4")
+                ids = np.array([*encode(t), END] if t else [END], "<u4")
                 for p, (start, length) in enumerate(cuts(len(ids), room)):
                     part = ids[start : start + length]
                     row = (k, p, start, length, zlib.crc32(part.tobytes()))

@@ -106,7 +106,7 @@ def op8_quality(spark, sf_dir):
 
 @query
 def op9_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), RANKS)
+    return packing.pack(table(spark, sf_dir, "documents"), RANKS, added=True)
 
 
 @query

@@ -94,3 +94,21 @@ def test_bins_take_the_tightest_and_close_the_fullest():
 @pytest.mark.parametrize("n, want", [(0, [(0, 0)]), (2048, [(0, 2048)]), (2049, [(0, 1), (1, 2048)]), (4096, [(0, 2048), (2048, 2048)])])
 def test_cuts(n, want):
     assert packing.cuts(n) == want
+
+
+def test_added_tokens_and_long_white_space_as_the_tokenizer_has_them(spark, tmp_path):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert plain.encode("<|endoftext|>", add_special_tokens=False).ids == [50256]
+    texts = dict(enumerate([
+        "one page.<|endoftext|>Another page.", "<|endoftext|>", " <|endoftext|> <|endoftext|>\n", "a <|endoftext b",
+        "x" + " " * 1_000_000 + "y", "\n" * 1_000_000, "plain",
+    ]))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    check(QUERIES["op9_packing"](spark, str(tmp_path)).collect(), texts, plain)
+
+
+def test_long_white_space_without_added_tokens(spark, tokenizer):
+    texts = {1: "<|endoftext|>" + "\t" * 1_000_000 + "y", 2: "x" + "　 " * 60_000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check(packing.pack(docs, RANKS).collect(), texts, tokenizer)
