@@ -13,6 +13,8 @@ from lexloom.llm.queries import RANKS, domains
 
 #: Shares of tokens after the mix; junk is gone by then, what is left of it is aimed at zero.
 TARGETS = {"plain": 0.98, "toxic": 0.02}
+#: Domains of which there may be less.
+CEILINGS = {"toxic"}
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +43,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents kept by rates that meet the target shares without repeating any domain."""
+    """Documents kept by rates that meet the target shares without repeating any domain; toxic may stay below its share."""
     model = mixing.fit_domains(docs, domains(table(spark, sf_dir, "labels")))
-    return mixing.resample(docs, model, TARGETS, repeats=False)
+    return mixing.resample(docs, model, TARGETS, repeats=False, ceilings=CEILINGS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -194,42 +194,65 @@ def fit_rates(weights: DataFrame, targets: np.ndarray) -> tuple[np.ndarray, np.n
     return best, best_total
 
 
-def _fitted(weights: DataFrame, model: DomainModel, targets: Mapping[str, float], repeats: bool) -> np.ndarray | None:
+def goals(share: np.ndarray, there: np.ndarray, ceiling: np.ndarray) -> np.ndarray:
+    """Tokens to keep of each domain without repeating any: the most that no share is missed for.
+
+    The shares of domains with a `ceiling` are upper bounds: the others alone say how much
+    stays, and these give the smaller of their share of it all and what is there. Where
+    no other domain has a share, ceilings count as shares.
+    """
+    firm = (share > 0) & ~ceiling
+    if not firm.any():
+        firm = share > 0
+    out = np.where(firm, share * (there[firm] / share[firm]).min(), 0.0)
+    full = ~firm & (share > 0)
+    # What a short domain leaves unused lowers the total that the shares of others are of.
+    for d in sorted(np.nonzero(full)[0], key=lambda d: there[d] / share[d]):
+        total = out[~full].sum() / (1 - share[full].sum())
+        out[d] = min(there[d], share[d] * total)
+        full[d] = False
+    return out
+
+
+def _fitted(
+    weights: DataFrame, model: DomainModel, targets: Mapping[str, float], repeats: bool, ceilings: Collection[str],
+) -> np.ndarray | None:
     share = np.array([float(targets.get(d, 0.0)) for d in model.domains])
     if not model.domains or share.sum() <= 0:
         return None
     share = share / share.sum()
     there = _totals(weights, F.lit(1.0), len(share))
-    wanted = share > 0
-    total = there.sum() if repeats else (there[wanted] / share[wanted]).min()
-    return fit_rates(weights, share * total)[0]
+    if repeats:
+        return fit_rates(weights, share * there.sum())[0]
+    return fit_rates(weights, goals(share, there, np.array([d in ceilings for d in model.domains])))[0]
 
 
 def mix(
     docs: DataFrame, model: DomainModel, targets: Mapping[str, float], key: str = "doc_id", text: str = "text",
-    repeats: bool = True,
+    repeats: bool = True, ceilings: Collection[str] = (),
 ) -> DataFrame:
     """(key, tokens, posterior, rate) of every row: how often a document should be seen.
 
     Rates are nonnegative and their expected domain totals meet the targets: shares of as
     many tokens as `docs` have, or, without `repeats`, of the most that no domain must be
-    repeated for. Shares of domains the model does not know
+    repeated for; the shares of `ceilings` are then upper bounds, so that a rare domain of
+    these takes nothing from the others. Shares of domains the model does not know
     are left out and the others scaled up; a known domain without a share has target
     zero; without any share all rates are 1. Documents without words get the rate of
     their posterior and add nothing. Repeated rows get the same rate.
     """
     weights = saved(posteriors(docs, model, key, text), "posteriors")
-    duals = _fitted(weights, model, targets, repeats)
+    duals = _fitted(weights, model, targets, repeats, ceilings)
     return weights.withColumn("rate", F.lit(1.0) if duals is None else _rate(duals))
 
 
 def resample(
     docs: DataFrame, model: DomainModel, targets: Mapping[str, float], key: str = "doc_id", text: str = "text",
-    repeats: bool = True, seed: int = 0,
+    repeats: bool = True, seed: int = 0, ceilings: Collection[str] = (),
 ) -> DataFrame:
     """Rows of `docs` as often as their rates say, all columns kept; texts are scored once and never shuffled."""
     scored = saved(docs.withColumn("_mix", posterior(F.col(text), model)), "scored")
-    duals = _fitted(scored.select("_mix.tokens", "_mix.posterior"), model, targets, repeats)
+    duals = _fitted(scored.select("_mix.tokens", "_mix.posterior"), model, targets, repeats, ceilings)
     if duals is None:
         return docs
     out = scored.withColumn("_mix_times", copies(_rate(duals, "_mix.posterior"), F.col(key), seed))

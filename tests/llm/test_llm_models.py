@@ -324,3 +324,27 @@ def test_copies_follow_the_rate(spark):
     df = spark.range(20_000).select("id", mixing.copies(F.lit(1.3), F.col("id")).alias("n"))
     counts = {r["n"]: r["count"] for r in df.groupBy("n").count().collect()}
     assert set(counts) == {1, 2} and abs(counts[2] / 20_000 - 0.3) < 0.02
+
+
+@pytest.mark.parametrize("toxic", [0, 10, 240])
+def test_clean_documents_stay_at_any_toxic_share(spark, toxic):
+    def text(i, domain):
+        return " ".join(f"{'good' if domain == 'plain' else 'evil'}{(i * j) % 7} {'aehr' if domain == 'plain' else 'ixzq'}" for j in range(1, 11))
+
+    known = [(i, text(i, d), d) for i in range(400) for d in ["plain" if i % 2 else "toxic"]]
+    df = spark.createDataFrame(known, "doc_id long, text string, domain string")
+    model = mixing.fit_domains(df.select("doc_id", "text"), df.select("doc_id", "domain"))
+    rows = [(i, text(i, d), d) for i in range(2000) for d in ["toxic" if i < toxic else "plain"]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    got = Counter(r["domain"] for r in mixing.resample(docs, model, {"plain": 0.98, "toxic": 0.02}, repeats=False, ceilings={"toxic"}).collect())
+    assert got["plain"] >= 0.98 * (2000 - toxic)
+    assert got["toxic"] <= min(toxic, 65)
+    assert got["toxic"] >= min(toxic, 15) - 5
+
+
+def test_goals_keep_shares_and_ceilings():
+    share, ceiling = np.array([0.0, 0.9, 0.05, 0.05]), np.array([False, False, True, True])
+    assert np.allclose(mixing.goals(share, np.array([9, 90, 50, 50]), ceiling), [0, 90, 5, 5])
+    assert np.allclose(mixing.goals(share, np.array([9, 95, 0, 50]), ceiling), [0, 95, 0, 5])
+    assert np.allclose(mixing.goals(share, np.array([9, 90, 1, 2]), ceiling), [0, 90, 1, 2])
+    assert np.allclose(mixing.goals(share, np.array([9, 90, 0, 50]), ~ceiling & False), [0, 0, 0, 0])
