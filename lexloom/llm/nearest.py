@@ -134,7 +134,8 @@ def nearest(
     components take no part, nor do rows without key or with another width than the most
     frequent one. Equal vectors are searched and found once, with the k + 1 smallest keys
     of each, so copies do not multiply work. Every row is indexed. Lists larger than CHUNK
-    are split, and so are the queries that probe them.
+    are split, and so are the queries that probe them. Queries whose probed lists hold fewer
+    than k others are sought in all lists, so fewer come back only if there are fewer.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -149,7 +150,8 @@ def nearest(
     classes = few.groupBy("v").agg(F.sort_array(F.collect_set("id")).alias("ids"))
     classes = saved(classes.withColumn("rep", F.col("ids")[0]), "vectors")
     queries = saved(base.where("asked").groupBy("v").agg(F.min("id").alias("query")), "queries")
-    rows, n_queries = classes.count(), queries.count()
+    n_queries = queries.count()
+    rows, n_ids = classes.agg(F.count("*"), F.sum(F.size("ids"))).first()
     if not n_queries:
         return spark.createDataFrame([], schema)
     drawn = classes.select("v", "rep")
@@ -172,25 +174,32 @@ def nearest(
     parts = np.array([-(-sizes.get(i, 0) // CHUNK) for i in range(lists)])
     teams = max(1, -(-n_queries * index.probes // (lists * CHUNK)))
 
-    def probe(batches):
-        for b in batches:
-            for at in range(0, len(b), 512):
-                some = b.iloc[at : at + 512]
-                x = np.stack(some["v"].to_numpy()) @ index.rotation
-                far = np.sort(_squares(x, index.seeds), 1)
-                bound = far[:, k + 1] if far.shape[1] > k + 1 else np.full(len(x), np.inf)
-                near = index.order(x, index.probes)
-                each = parts[near].sum(1)
-                yield pd.DataFrame({
-                    "list": np.repeat(near.ravel(), parts[near].ravel()),
-                    "part": np.concatenate([np.arange(p) for p in parts[near].ravel()]) if near.size else [],
-                    "team": np.repeat(some["query"].to_numpy() % teams, each),
-                    "query": np.repeat(some["query"].to_numpy(), each),
-                    "bound": np.repeat(bound, each),
-                    "q": [v for v, e in zip(some["v"], each) for _ in range(e)],
-                })
-
-    sought = queries.mapInPandas(probe, "list int, part int, team int, query long, bound double, q array<double>")
+    home = index.order(index.seeds, 1)[:, 0]
+
+    def probe(count: int, step: int):
+        def run(batches):
+            for b in batches:
+                for at in range(0, len(b), step):
+                    some = b.iloc[at : at + step]
+                    x = np.stack(some["v"].to_numpy()) @ index.rotation
+                    near = index.order(x, count)
+                    # Only seeds in the probed lists bound a search: others are not met in it.
+                    probed = np.zeros((len(x), lists), bool)
+                    np.put_along_axis(probed, near, True, 1)
+                    far = np.sort(np.where(probed[:, home], _squares(x, index.seeds), np.inf), 1)
+                    bound = far[:, k + 1] if far.shape[1] > k + 1 else np.full(len(x), np.inf)
+                    each = parts[near].sum(1)
+                    yield pd.DataFrame({
+                        "list": np.repeat(near.ravel(), parts[near].ravel()),
+                        "part": np.concatenate([np.arange(p) for p in parts[near].ravel()]) if near.size else [],
+                        "team": np.repeat(some["team"].to_numpy(), each),
+                        "query": np.repeat(some["query"].to_numpy(), each),
+                        "bound": np.repeat(bound, each),
+                        "q": [v for v, e in zip(some["v"], each) for _ in range(e)],
+                    })
+
+        return run
+
     split = F.array(*[F.lit(int(p)) for p in np.maximum(parts, 1)])[F.col("list")]
     held = placed.select("list", F.pmod(F.xxhash64("rep"), split).cast("int").alias("part"), "rep", "ids", "v")
     held = held.select("*", F.explode(F.sequence(F.lit(0), F.lit(teams - 1))).alias("team"))
@@ -212,10 +221,22 @@ def nearest(
         return pd.DataFrame(out, columns=["query", "id", "score"]) if out else empty
 
     keys = ["list", "part", "team"]
-    found = sought.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(meet, "query long, id long, score double")
     best = Window.partitionBy("query").orderBy("score", "id")
-    found = found.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1)
-    found = found.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("score", "id"))).alias("near"))
+
+    def search(some: DataFrame, count: int, step: int) -> DataFrame:
+        """(query, near): the k + 1 nearest in the `count` nearest lists, the query itself among them."""
+        team = F.pmod(F.xxhash64("query"), F.lit(teams)).cast("int")
+        sought = some.select("v", "query", team.alias("team"))
+        sought = sought.mapInPandas(probe(count, step), "list int, part int, team int, query long, bound double, q array<double>")
+        found = sought.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(meet, "query long, id long, score double")
+        found = found.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1)
+        return found.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("score", "id"))).alias("near"))
+
+    found = saved(search(queries, index.probes, 512), "found")
+    enough = found.where(F.size("near") >= min(k + 1, n_ids))
+    short = saved(queries.join(enough, "query", "left_anti"), "short")
+    if short.limit(1).count():
+        found = enough.union(search(short, lists, 16))
     names = base.where("asked").select("id", "v").join(queries, "v").select("id", "query").distinct()
     others = F.slice(F.filter("near", lambda x: x["id"] != F.col("id")), 1, k)
     out = names.join(found, "query").select(F.col("id").alias("query_id"), F.posexplode(others).alias("_p", "_x"))

@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -240,3 +241,19 @@ def test_scan_abandons_but_keeps_the_nearest():
         assert np.allclose(d, exact[i][at])
         hits += len(set(np.argsort(exact[i])[:10]) & set(at))
     assert hits >= 45
+
+
+def test_every_query_has_as_many_neighbours_as_there_are(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    got = Counter(r["query_id"] for r in nearest.nearest(df, F.lit(True)).select("query_id").collect())
+    assert len(got) == df.count() and set(got.values()) == {10}
+
+
+def test_lists_with_few_vectors_do_not_leave_ranks_empty(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.normal(size=8) * 0.01 + 100 * (i % 40 == 0) * rng.normal(size=8)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest.nearest(df, F.col("vec_id") % 40 == 0).collect()
+    assert set(Counter(r["query_id"] for r in got).values()) == {10} and len(got) == 100
+    few = df.where("vec_id < 6")
+    assert set(Counter(r["query_id"] for r in nearest.nearest(few, F.lit(True)).collect()).values()) == {5}
