@@ -71,7 +71,14 @@ def sample_labels(labels: DataFrame, key: str, label: str, bound: int) -> DataFr
     return spark.createDataFrame([(r["k"], r["y"]) for r in rows], f"k {kind}, y int")
 
 
+def one_text_per_key(docs: DataFrame) -> DataFrame:
+    """One row of (k, text, ...) per key, with the text of the smallest hash; other columns hang on the key."""
+    others = [c for c in docs.columns if c not in ("k", "text")]
+    return docs.groupBy("k", *others).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def sampled_texts(docs: DataFrame, key: str, text: str, labels: DataFrame, label: str, bound: int) -> DataFrame:
-    """(text, y) of the documents in the bounded sample of labelled keys."""
+    """(text, y) of the documents in the bounded sample of labelled keys, one of each key."""
     sample = sample_labels(labels, key, label, bound)
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(sample), "k").select("text", "y")
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(sample), "k")
+    return one_text_per_key(texts).select("text", "y")

@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexloom.llm.common import held_out, saved
+from lexloom.llm.common import held_out, one_text_per_key, saved
 
 #: Labelled documents that the classifier is fitted on, at most.
 TRAIN_ROWS = 6_000
@@ -89,7 +89,8 @@ def fit_domains(
 ) -> DomainModel:
     """Fit on at most `bound` documents of the labelled table (key, domain) that are not held out.
 
-    Null keys and domains take no part. A key with several domains takes the smallest.
+    Null keys and domains take no part. A key with several domains takes the smallest;
+    of documents repeated under one key, that of the smallest hash of the text counts.
     Only domains seen in documents count; with one, its posterior is 1, and there is none
     without labels. Executors hash the features; the driver sees those of the sample.
     """
@@ -101,14 +102,15 @@ def fit_domains(
     )
     rows = known.orderBy(F.xxhash64("k"), "k").limit(bound).collect()
     sample = spark.createDataFrame([(r["k"], r["d"]) for r in rows], f"k {dict(known.dtypes)['k']}, d string")
-    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(sample), "k").select("text", "d")
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(sample), "k")
+    texts = one_text_per_key(texts).select("text", "d")
 
     def hashed(batches):
         for b in batches:
             found = [np.sort(buckets_of((t or "").split())) for t in b["text"]]
             yield pd.DataFrame({"d": b["d"], "f": pd.Series(found, dtype=object)})
 
-    seen = sorted((r["d"], r["f"]) for r in texts.mapInPandas(hashed, "d string, f array<int>").collect())[: 2 * bound]
+    seen = sorted((r["d"], r["f"]) for r in texts.mapInPandas(hashed, "d string, f array<int>").collect())
     domains = sorted({d for d, _ in seen})
     y = np.array([domains.index(d) for d, _ in seen], np.int64)
     return learn([np.array(f, np.int64) for _, f in seen], y, domains)

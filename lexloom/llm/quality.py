@@ -83,7 +83,8 @@ def fit_quality(
     """Fit on at most `bound` labelled documents that are not held out.
 
     Statistics are computed on executors; the driver sees one row of numbers per
-    sampled document. Documents repeated under one key count each.
+    sampled document. Of documents repeated under one key, that of
+    the smallest hash of the text counts.
     """
     sample = sampled_texts(docs, key, text, labels, label, bound)
 

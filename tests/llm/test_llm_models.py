@@ -348,3 +348,16 @@ def test_goals_keep_shares_and_ceilings():
     assert np.allclose(mixing.goals(share, np.array([9, 95, 0, 50]), ceiling), [0, 95, 0, 5])
     assert np.allclose(mixing.goals(share, np.array([9, 90, 1, 2]), ceiling), [0, 90, 1, 2])
     assert np.allclose(mixing.goals(share, np.array([9, 90, 0, 50]), ~ceiling & False), [0, 0, 0, 0])
+
+
+def test_a_repeated_key_leaves_the_sample_bounded_and_whole(spark):
+    known = [(i, d, int(d == "toxic")) for i in range(40) for d in [("junk", "plain", "toxic")[i % 3]]]
+    hot = next(i for i, d, _ in known if d == "junk" and not out_of_sample(i))
+    rows = [(i, f"{d} text {i}") for i, d, _ in known] + [(hot, f"junk again {i}") for i in range(3 * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(known, "doc_id long, domain string, y int")
+    assert mixing.fit_domains(docs, labels, bound=40).domains == ["junk", "plain", "toxic"]
+    sample = common.sampled_texts(docs, "doc_id", "text", labels, "y", 40).collect()
+    assert len(sample) == sum(not out_of_sample(i) for i, _, _ in known)
+    again = common.sampled_texts(docs.repartition(3, "text"), "doc_id", "text", labels, "y", 40).collect()
+    assert sorted(sample) == sorted(again)
