@@ -8,11 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Levels of the phrase hierarchy; names from level SIGN on make the fingerprint.
+#: Levels of the phrase hierarchy; names from level SIGN on make the fingerprint of a text of any length.
 LEVELS = 5
-SIGN = 3
-#: Texts with fewer characters also use the names of the level below.
-SHORT = 600
+SIGN = 2
 #: Bins of the fingerprint, one byte each.
 BINS = 128
 #: Characters of texts held for an answer, and parsed together.
@@ -102,13 +100,9 @@ def fingerprint_batch(texts: list[str]) -> np.ndarray:
     for level in range(1, LEVELS + 1):
         s, starts = parse_level(s, starts)
         owner = np.repeat(np.arange(len(full)), np.diff(np.append(starts, len(s))))
-        names = s
-        if level < SIGN - 1:
+        if level < SIGN:
             continue
-        if level == SIGN - 1:
-            keep = sizes[owner] < SHORT
-            owner, names = owner[keep], names[keep]
-        h = _mixed(names + np.uint64(level))
+        h = _mixed(s + np.uint64(level))
         slot = owner * BINS + (h & np.uint64(BINS - 1)).astype(np.int64)
         np.minimum.at(lowest.reshape(-1), slot, h >> np.uint64(7))
     tag = (_mixed(lowest) % np.uint64(255)).astype(np.uint8) + np.uint8(1)

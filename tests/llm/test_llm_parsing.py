@@ -89,3 +89,21 @@ def test_phrases_stay_short_where_neighbours_differ():
     heads = np.array([True] + [False] * 8)
     label = parsing._coin_labels(np.array([5, 9, 5, 9, 1, 2, 3, 1 << 20, 4], np.uint32), heads)
     assert (label[5:] < 6).all() and (label[5:] != label[4:-1]).all()
+
+
+def test_near_copies_are_alike_on_both_sides_of_any_length():
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(400)]
+
+    def pairs(size):
+        """Likeness of texts of `size` characters and the same with 10 more."""
+        out = []
+        for _ in range(40):
+            long = " ".join(rng.choice(words, 400))[: size + 10]
+            a, b = parsing.fingerprint_batch([long[:size], long])
+            out.append(float(parsing.likeness(a, b)))
+        return np.mean(out)
+
+    below, across, above = pairs(570), pairs(595), pairs(620)
+    assert min(below, across, above) > 0.8
+    assert abs(across - (below + above) / 2) < 0.05
