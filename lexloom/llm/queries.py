@@ -7,12 +7,37 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lexloom.llm import language, mixing, nearest, packing, parsing, quality, secrets, simhash, toxicity, urls
+from lexloom.llm import language, mixing, nearest, negatives, packing, parsing, quality, secrets, simhash, spelling, toxicity, urls
 from lexloom.llm.common import bounded_batches, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: No operator here is a SQL expression; tests hold them against brute force.
-ORACLE: dict[str, str] = {}
+#: The others are no SQL expressions; tests hold them against brute force.
+ORACLE: dict[str, str] = {
+    "op12_negatives": """
+        WITH kept AS (
+            SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT a.id AS anchor, b.id AS other, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+            FROM kept a JOIN kept b ON a.id <> b.id
+            WHERE a.id % 50 = 0
+        ),
+        positives AS (
+            SELECT anchor, other, score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5
+        )
+        SELECT p.anchor AS anchor_id, p.other AS positive_id,
+            (row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other))::INTEGER AS rank,
+            n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n
+            ON n.anchor = p.anchor AND NOT n.same AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+        QUALIFY row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other) <= 3
+    """,
+}
 
 #: Byte-level BPE of the packed sequences.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -112,3 +137,15 @@ def op9_packing(spark, sf_dir):
 @query
 def op10_parsing(spark, sf_dir):
     return parsing.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_spelling(spark, sf_dir):
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents"), delete_every=97))
+
+
+@query
+def op12_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0, label=moved)
