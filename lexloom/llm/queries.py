@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from lexloom.llm import language, mixing, nearest, negatives, packing, parsing, quality, secrets, simhash, spelling, toxicity, urls
+from lexloom.llm import extraction, language, mixing, nearest, negatives, packing, parsing, quality, secrets, simhash, spelling, toxicity, urls
 from lexloom.llm.common import bounded_batches, held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,10 +16,10 @@ ORACLE: dict[str, str] = {
     "op12_negatives": """
         WITH kept AS (
             SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+                [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
             FROM embeddings
             WHERE label IS NOT NULL AND embedding IS NOT NULL
-                AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ),
         scored AS (
             SELECT a.id AS anchor, b.id AS other, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
@@ -149,3 +149,9 @@ def op12_negatives(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(rows, F.col("vec_id") % 50 == 0, label=moved)
+
+
+@query
+def op13_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.fit_labeller(extraction.sample_pages(pages))).select("page_id", "url", "text", "n_chars")
