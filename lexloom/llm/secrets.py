@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
+from bisect import bisect_right
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,7 +26,7 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _HINTS = ("pass", "secret", "token", "key", "pwd", "credential", "auth")
 _CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|auth|encryption)[_\- ]?key|credentials?|auth)"""
-    r"""["']?[ \t]{0,4}(?:=>|:=|[:=])[ \t]{0,4}["'`]?([^\s"'`<>]{6,})""",
+    r"""["']?[ \t]*+(?:=>|:=|[:=])[ \t]*+["'`]?([^\s"'`<>]{6,})""",
     re.ASCII | re.IGNORECASE,
 )
 
@@ -39,7 +42,11 @@ WORDS = (
     "sample dummy temp demo prod dev stage local string insert here placeholder"
 ).split()
 _RANK = {w: math.log10(k + 2) for k, w in enumerate(WORDS)}
-_LONGEST = max(map(len, WORDS))
+_BEGIN: dict[str, list[str]] = {}
+for _word in _RANK:
+    _BEGIN.setdefault(_word[:3], []).append(_word)
+#: Longest block whose repeats are looked for.
+SIZES = 8
 _LEET = str.maketrans("@4310$57!", "aaeiossti")
 # Rows of a keyboard; a walk goes to neighbours along a row or between rows.
 _KEYBOARD = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
@@ -60,80 +67,93 @@ def _class_size(c: str) -> int:
     return 10 if c.isdigit() else 26 if c.isalpha() else 33
 
 
-@lru_cache(maxsize=4096)
 def guess_cost(value: str) -> float:
     """log10 of the guesses of the cheapest segmentation of `value`.
 
-    Dynamic programming over prefixes: each is reached by the cheapest of a word
-    (by rank, with capitals and look-alike digits), a date or year, a repeated
-    block, a walk over neighbouring keys or a run of code points, or one brute-force
-    character. Every segment also costs the choice of its kind. Work grows with length
-    times the longest word, plus the lengths of the runs found.
+    Dynamic programming over suffixes: each begins with the cheapest of a word (by rank,
+    with capitals and look-alike digits), a date or year, a repeated block of up to 8 code
+    points, a walk over neighbouring keys or a run of code points, or a span of brute force.
+    Blocks, walks and runs go as far as they can from where they begin. Every segment also
+    costs the choice of its kind. Where they end is carried along, so work is linear in length.
     """
+    return _short_cost(value) if len(value) <= 256 else _cost(value)
+
+
+@lru_cache(maxsize=4096)
+def _short_cost(value: str) -> float:
+    return _cost(value)
+
+
+def _cost(value: str) -> float:
     n = len(value)
     low = value.lower()
     plain = low.translate(_LEET)
     if len(low) != n:
         low = plain = value
     kind = math.log10(5)
-    best = [0.0] + [math.inf] * n
-    brute = [False] * (n + 1)
     dates: dict[int, list[tuple[int, float]]] = {}
     for m in _DATES.finditer(value):
         if m[1]:
             dates.setdefault(m.start(), []).append((m.end(1), math.log10(365 * 100)))
         if m[2]:
             dates.setdefault(m.start(), []).append((m.end(2), 2.0))
-    step = [ord(b) - ord(a) for a, b in zip(low, low[1:])]
-    near = [(a, b) in _NEAR for a, b in zip(low, low[1:])]
-    alphabet = {k: len({c for c in value if _class_size(c) == k}) for k in (10, 26, 33)}
-    cost = {k: math.log10(max(2, min(k, 16 if k == 26 and alphabet[26] <= 6 and alphabet[10] else k))) for k in (10, 26, 33)}
-
-    def reach(j: int, c: float) -> None:
-        if c < best[j]:
-            best[j], brute[j] = c, False
-
-    for i in range(n):
-        here = best[i]
-        c = here + cost[_class_size(value[i])] + (0 if brute[i] else kind)
-        if c < best[i + 1]:
-            best[i + 1], brute[i + 1] = c, True
-        for j in range(i + 3, min(n, i + _LONGEST) + 1):
-            rank = _RANK.get(plain[i:j])
-            if rank is not None:
-                shape = 0.3 * (value[i:j] != low[i:j]) + 0.5 * (low[i:j] != plain[i:j])
-                reach(j, here + kind + rank + shape)
+    seen: dict[int, int] = {10: 0, 26: 0, 33: 0}
+    for c in set(value):
+        seen[_class_size(c)] += 1
+    cost = {k: math.log10(max(2, min(k, 16 if k == 26 and seen[26] <= 6 and seen[10] else k))) for k in (10, 26, 33)}
+    each = {c: cost[_class_size(c)] for c in set(value)}
+
+    best = array("d", [0.0]) * (n + 1)  # cheapest segmentation of what follows
+    tail = array("d", [0.0]) * (n + 1)  # cost of all that follows as single characters
+    brute = math.inf  # what follows, if it begins within a span of brute force
+    walk = run = n - 1
+    slope = 0
+    ends = [n] * (SIZES + 1)  # by size of block: where what repeats from the next place on ends
+    for i in range(n - 1, -1, -1):
+        here = each[value[i]]
+        tail[i] = tail[i + 1] + here
+        brute = here + min(brute, best[i + 1])
+        found = kind + brute
+        for word in _BEGIN.get(plain[i : i + 3], ()):
+            if plain.startswith(word, i):
+                j = i + len(word)
+                shape = 0.3 * (value[i:j] != low[i:j]) + 0.5 * (low[i:j] != word)
+                found = min(found, kind + _RANK[word] + shape + best[j])
         for j, d in dates.get(i, ()):
-            reach(j, here + kind + d)
-        j = i
-        while j < n - 1 and near[j]:
-            j += 1
-        if j - i >= 2:
-            reach(j + 1, here + kind + math.log10(47) + 0.3 * (j - i) + math.log10(j - i))
-        j = i
-        while j < n - 1 and step[j] == step[i] and abs(step[i]) == 1:
-            j += 1
-        if j - i >= 2:
-            reach(j + 1, here + kind + math.log10(26) + math.log10(j - i))
-        for size in range(1, min(9, (n - i) // 2 + 1)):
+            found = min(found, kind + d + best[j])
+        if i < n - 1:
+            if (low[i], low[i + 1]) not in _NEAR:
+                walk = i
+            if walk - i >= 2:
+                found = min(found, kind + math.log10(47) + 0.3 * (walk - i) + math.log10(walk - i) + best[walk + 1])
+            step = ord(low[i + 1]) - ord(low[i])
+            if abs(step) != 1:
+                run = i
+            elif step != slope:
+                run = i + 1
+            slope = step
+            if run - i >= 2:
+                found = min(found, kind + math.log10(26) + math.log10(run - i) + best[run + 1])
+        for size in range(1, min(SIZES, n - i - 1) + 1):
             if value[i] != value[i + size]:
+                ends[size] = i + size
                 continue
-            j = i + size
-            while j < n and value[j] == value[j - size]:
-                j += 1
-            times = (j - i) // size
+            if size > 1 and ends[1] - i >= size:
+                continue  # a block of one code point repeated: size 1 covers it
+            times = (ends[size] - i) // size
             if times >= 2 and (size > 1 or times >= 3):
-                unit = sum(cost[_class_size(x)] for x in value[i : i + size])
-                reach(i + times * size, here + kind + unit + math.log10(times))
-    return best[n]
+                unit = tail[i] - tail[i + size]
+                found = min(found, kind + unit + math.log10(times) + best[i + times * size])
+        best[i] = found
+    return best[0]
 
 
-def spans_of(text: str | None, hard: float = HARD) -> list[tuple[str, int, int, float]]:
+def spans_of(text: str | None, hard: float = HARD) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, log10 guesses) by start, then kind; code points, end exclusive.
 
     `assign`, `access` and `hex` are the leftmost non-overlapping matches of their
     patterns; `guess` is a value in a credential context that costs 10^hard guesses or
-    more and that no other span covers.
+    more and that no other span covers; only such values are costed.
     """
     if not text:
         return []
@@ -141,17 +161,19 @@ def spans_of(text: str | None, hard: float = HARD) -> list[tuple[str, int, int,
     low = text.lower()
     hinted = any(h in low for h in _HINTS)
     if hinted:
-        found += [("assign", *m.span(), guess_cost(m[2])) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
+        found += [("assign", *m.span(), None) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
     if "AKIA" in text:
-        found += [("access", *m.span(), guess_cost(m[0])) for m in _ACCESS.finditer(text)]
-    found += [("hex", *m.span(), guess_cost(m[0])) for m in _HEX.finditer(text)]
+        found += [("access", *m.span(), None) for m in _ACCESS.finditer(text)]
+    found += [("hex", *m.span(), None) for m in _HEX.finditer(text)]
     if hinted:
-        base = list(found)
+        base = sorted((s, e) for _, s, e, _ in found)
+        furthest = [*accumulate((e for _, e in base), max)]
         for m in _CONTEXT.finditer(text):
             a, b = m.span(1)
             while b > a and text[b - 1] in ".,;:!?)]}":
                 b -= 1
-            if b - a >= 6 and not any(s <= a and b <= e for _, s, e, _ in base):
+            before = bisect_right(base, (a, math.inf))
+            if b - a >= 6 and not (before and furthest[before - 1] >= b):
                 guesses = guess_cost(text[a:b])
                 if guesses >= hard:
                     found.append(("guess", a, b, guesses))
