@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from lexloom.llm import layouts, lstm
-from lexloom.llm.common import pieces
+from lexloom.llm.common import pieces, smallest
 
 #: Buckets of tag paths and of words.
 PATHS, WORDS = 256, 64
@@ -290,10 +290,7 @@ def fit_labeller(pages: list[str], seed: int = 5) -> lstm.Labeller | None:
 def sample_pages(pages: DataFrame, html: str = "html", bound: int = FIT_PAGES) -> list[str]:
     """At most `bound` distinct pages of at most FIT_CHARS characters, those of the smallest hash."""
     pages = pages.select(F.col(html).alias("html")).where(F.length(html).between(1, FIT_CHARS))
-    n = pages.count()
-    part = int(min(1.0, 2.0 * bound / max(1, n)) * (1 << 30)) + 1
-    few = pages.where(F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < part).distinct()
-    return [r["html"] for r in few.orderBy(F.xxhash64("html"), "html").limit(bound).collect()]
+    return [r["html"] for r in smallest(pages, bound, "html")]
 
 
 def extract(pages: DataFrame, model: lstm.Labeller | None, html: str = "html") -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexloom.llm.common import held_out, one_text_per_key, saved
+from lexloom.llm.common import held_out, one_text_per_key, saved, smallest
 
 #: Labelled documents that the classifier is fitted on, at most.
 TRAIN_ROWS = 6_000
@@ -100,7 +100,7 @@ def fit_domains(
         .where(F.col("k").isNotNull() & F.col("d").isNotNull() & ~held_out("k"))
         .groupBy("k").agg(F.min("d").alias("d"))
     )
-    rows = known.orderBy(F.xxhash64("k"), "k").limit(bound).collect()
+    rows = smallest(known, bound, "k")
     sample = spark.createDataFrame([(r["k"], r["d"]) for r in rows], f"k {dict(known.dtypes)['k']}, d string")
     texts = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(sample), "k")
     texts = one_text_per_key(texts).select("text", "d")

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexloom.llm import trees
+from lexloom.llm.common import smallest
 
 #: Labelled urls that a model is fitted on, at most.
 TRAIN_ROWS = 20_000
@@ -105,17 +106,14 @@ def lexical(url: str | None, model: UrlModel) -> list[float]:
 
 
 def fit_urls(labelled: DataFrame, url: str = "url", label: str = "y", bound: int = TRAIN_ROWS) -> UrlModel:
-    """Fit on labelled urls (1: block); above `bound` rows those with the smallest hash.
+    """Fit on distinct labelled urls (1: block); above `bound` rows those with the smallest hash.
 
     One half of them, by checksum, gives the suffix rates, the other half the trees, so
     that no tree sees a rate that holds its own label.
     Rows without url or label take no part. Without any, every url scores one half.
     """
-    rows = (
-        labelled.select(F.col(url).alias("u"), F.col(label).cast("int").alias("y"))
-        .where(F.col("u").isNotNull() & F.col("y").isNotNull())
-        .orderBy(F.xxhash64("u"), "u", "y").limit(bound).collect()
-    )
+    known = labelled.select(F.col(url).alias("u"), F.col(label).cast("int").alias("y"))
+    rows = smallest(known.where(F.col("u").isNotNull() & F.col("y").isNotNull()), bound, "u")
     halves = ([r for r in rows if zlib.crc32(r["u"].encode("utf-8", "replace")) & 1 == h] for h in (0, 1))
     counted, trained = halves
     counts: dict[str, list[int]] = {}
