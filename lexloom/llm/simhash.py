@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 import numpy as np
@@ -20,10 +19,10 @@ BYTES = 8
 BLOCK_PAIRS = 2_000_000
 #: Stars that a group under one key is cut into at most, and members that need none.
 STARS, LEAST_STAR = 64, 256
-
-#: Near-duplicates by similarity: words of a shingle, lanes of 64 bits, choices of byte positions.
-SIMILAR_WORDS, LANES, CHOICES, KEY_BYTES = 5, 4, 160, 3
-SIMILARITY = 0.8
+#: Fingerprints under one key that one task compares, at most; larger groups are split.
+SLOT = 32_768
+#: Links of one node that meet in one task, at most, and nodes with more, at most.
+LEAST_HUB, HUBS = 1_024, 100_000
 
 
 def _shingle_hashes(text: str | None, words: int, seed: int) -> np.ndarray:
@@ -63,18 +62,6 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
     return _majority(_shingle_hashes(text, words, seed))
 
 
-def wide_fingerprint(text: str | None, words: int, lanes: int, seed: int = SEED) -> list[int]:
-    """`lanes` independent 64-bit SimHashes of the distinct shingles, by remixing each hash."""
-    h = np.unique(_shingle_hashes(text, words, seed))
-    out = [_majority(h)]
-    for _ in range(1, lanes):
-        h = h + np.uint64(0x9E3779B97F4A7C15)
-        x = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        out.append(_majority(x ^ (x >> np.uint64(31))))
-    return out
-
-
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """(key, fp) of every row, whole texts."""
 
@@ -86,10 +73,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 
 
 def _masks(radius: int) -> list[tuple[int, tuple[int, ...]]]:
-    """Byte positions of each key: fingerprints within `radius` share at least 8 - radius bytes."""
+    """Byte positions of each key: one byte less than fingerprints within `radius` share at least."""
     if not 0 <= radius < BYTES:
         raise ValueError("the byte index is exact for 0 to 7 differing bits")
-    return list(enumerate(combinations(range(BYTES), BYTES - radius)))
+    return list(enumerate(combinations(range(BYTES), max(1, BYTES - radius - 1))))
 
 
 def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -111,26 +98,29 @@ def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             return parent
 
 
-def near_pairs(a: np.ndarray, b: np.ndarray, radius: int, need: int) -> np.ndarray:
-    """[rows of a, rows of b]: do they share `need` positional bytes, and differ in at most `radius` bits.
+def tally(apart: np.ndarray) -> np.ndarray:
+    """Positional bytes that two fingerprints share, from their differing bits."""
+    t = apart | (apart >> np.uint64(4))
+    t |= t >> np.uint64(2)
+    t |= t >> np.uint64(1)
+    return BYTES - np.bitwise_count(t & np.uint64(0x0101010101010101))
 
-    Fingerprints are rows of 64-bit lanes. Bits are counted for all pairs, bytes are
-    tallied for those that the bits leave.
+
+def near_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a and in b of pairs that share the guaranteed number of bytes and differ in at most `radius` bits.
+
+    Bytes are tallied for all pairs that meet; bits are counted of those that reach the number.
     """
-    bits = np.zeros((len(a), len(b)), np.uint16)
-    for lane in range(a.shape[1]):
-        bits += np.bitwise_count(a[:, lane, None] ^ b[None, :, lane])
-    near = bits <= radius
-    i, j = np.nonzero(near)
-    shared = ((a[i] ^ b[j]).view(np.uint8) == 0).sum(1)
-    near[i, j] = shared >= need
-    return near
+    apart = a[:, None] ^ b[None]
+    i, j = np.nonzero(tally(apart) >= BYTES - radius)
+    near = np.bitwise_count(apart[i, j]) <= radius
+    return i[near], j[near]
 
 
-def forest(fps: np.ndarray, radius: int, need: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect the same members as all pairs sharing `need` bytes and within `radius` bits.
+def forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the same members as all pairs within `radius` bits.
 
-    `fps` are distinct rows of lanes; places of linked members come back, fewer than n
+    `fps` are distinct; places of linked members come back, fewer than n
     links. Members near one pivot are connected through it, so in a dense group only
     stars whose members are not yet connected, and members of no star, are compared with
     others, block by block. No pair is left out: two stars are compared until a link is found.
@@ -145,22 +135,23 @@ def forest(fps: np.ndarray, radius: int, need: int) -> tuple[np.ndarray, np.ndar
 
     free, stars = np.arange(n), []
     while len(free) > LEAST_STAR and len(stars) < STARS:
-        near = near_pairs(fps[free[:1]], fps[free], radius, need)[0]
+        near = np.zeros(len(free), bool)
         near[0] = True
+        near[near_pairs(fps[free[:1]], fps[free], radius)[1]] = True
         stars.append(free[near])
         free = free[~near]
         join(stars[-1][1:], np.full(len(stars[-1]) - 1, stars[-1][0]))
     step = max(1, BLOCK_PAIRS // n)
     for at in range(0, len(free), step):
         part = free[at : at + step]
-        i, j = np.nonzero(near_pairs(fps[part], fps, radius, need))
+        i, j = near_pairs(fps[part], fps, radius)
         join(part[i], j)
     for x, one in enumerate(stars):
         for other in stars[x + 1 :]:
             for at in range(0, len(one), step):
                 if parent[one[0]] == parent[other[0]]:
                     break
-                i, j = np.nonzero(near_pairs(fps[one[at : at + step]], fps[other], radius, need))
+                i, j = near_pairs(fps[one[at : at + step]], fps[other], radius)
                 join(one[at : at + step][i[:1]], other[j[:1]])
     child = np.nonzero(parent != np.arange(n))[0]
     return child, parent[child]
@@ -169,62 +160,103 @@ def forest(fps: np.ndarray, radius: int, need: int) -> tuple[np.ndarray, np.ndar
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): links that leave the same components as all pairs of `fp` within `radius` bits.
 
-    Every fingerprint is posted under each choice of the byte positions that a pair must
-    share at least (the guaranteed minimum of matches); rows of one key meet sorted in
-    one task, where the tally of shared bytes and the bits decide.
+    Every fingerprint is posted under each choice of byte positions, one fewer than a pair
+    within `radius` shares for certain (the guaranteed minimum of matches). Those that meet
+    under a key are tallied byte by byte; pairs that reach the minimum are verified. Keys of
+    more than SLOT fingerprints are found on the way and dealt out again: their fingerprints
+    fall into blocks, and each two blocks meet in a task.
     """
-    masks = _masks(radius)
-    need = BYTES - radius
     index = F.array(*[
         F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(_signed(sum(0xFF << (8 * p) for p in positions)))))
-        for k, positions in masks
+        for k, positions in _masks(radius)
     ])
-    return _links(distinct.select(F.explode(index).alias("slot"), F.col("fp").alias("node"), F.array("fp").alias("lanes")), radius, need)
+    posted = distinct.select(F.explode(index).alias("slot"), F.col("fp").alias("node"))
+    found = saved(_meet(posted, radius, SLOT), "pairs")
+    # At most one row for SLOT postings.
+    full = found.where("full").select(F.col("a").alias("slot"), F.ceil(2 * F.col("b") / SLOT).cast("int").alias("blocks"))
+    out = found.where("not full").select("a", "b")
+    if full.limit(1).count():
+        block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        dealt = posted.join(F.broadcast(full), "slot").withColumn("one", block)
+        dealt = dealt.select("slot", "node", "one", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("two"))
+        teams = dealt.select(F.xxhash64("slot", F.least("one", "two"), F.greatest("one", "two")).alias("slot"), "node")
+        out = out.union(_meet(teams, radius, None).select("a", "b"))
+    return out.distinct()
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _links(posted: DataFrame, radius: int, need: int) -> DataFrame:
-    """(a, b) nodes linked under any slot, from (slot, node, lanes) postings."""
+def _meet(posted: DataFrame, radius: int, most: int | None) -> DataFrame:
+    """(a, b, full) from (slot, node) postings: links under any slot, and (slot, size, true) of slots of more than `most`."""
     posted = posted.repartition("slot").sortWithinPartitions("slot", "node")
 
     def run(batches):
-        slots, nodes, lanes = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        slots = nodes = np.zeros(0, np.int64)
+        passed = 0  # size so far of a slot that is too large; its slot stays as the last one seen
+        last = None
         for b in batches:
             if not len(b):
                 continue
-            more = np.stack(b["lanes"].to_numpy())
-            slots = np.concatenate([slots, b["slot"].to_numpy()])
-            nodes = np.concatenate([nodes, b["node"].to_numpy()])
-            lanes = more if lanes is None else np.concatenate([lanes, more])
-            whole = np.searchsorted(slots, slots[-1])
+            s, n = b["slot"].to_numpy(), b["node"].to_numpy()
+            if passed:
+                cut = int(np.searchsorted(s, last, "right"))
+                passed += cut
+                s, n = s[cut:], n[cut:]
+                if not len(s):
+                    continue
+                yield pd.DataFrame({"a": [last], "b": [passed], "full": [True]})
+                passed = 0
+            slots, nodes = np.concatenate([slots, s]), np.concatenate([nodes, n])
+            whole = int(np.searchsorted(slots, slots[-1]))
             if whole:
-                yield _met(slots[:whole], nodes[:whole], lanes[:whole], radius, need)
-                slots, nodes, lanes = slots[whole:], nodes[whole:], lanes[whole:]
-        if lanes is not None:
-            yield _met(slots, nodes, lanes, radius, need)
-
-    return posted.mapInPandas(run, "a long, b long").distinct()
-
-
-def _met(slots: np.ndarray, nodes: np.ndarray, lanes: np.ndarray, radius: int, need: int) -> pd.DataFrame:
-    """Links within each run of equal slots."""
-    lanes = np.ascontiguousarray(lanes).view(np.uint64)
+                yield _met(slots[:whole], nodes[:whole], radius)
+                slots, nodes = slots[whole:], nodes[whole:]
+            if most is not None and len(slots) > most:
+                last, passed = slots[0], len(slots)
+                slots = nodes = np.zeros(0, np.int64)
+        if passed:
+            yield pd.DataFrame({"a": [last], "b": [passed], "full": [True]})
+        if len(slots):
+            yield _met(slots, nodes, radius)
+
+    return posted.mapInPandas(run, "a long, b long, full boolean")
+
+
+def _met(slots: np.ndarray, nodes: np.ndarray, radius: int) -> pd.DataFrame:
+    """Links within each run of equal slots; a node that comes twice counts once."""
+    once = np.ones(len(slots), bool)
+    once[1:] = (slots[1:] != slots[:-1]) | (nodes[1:] != nodes[:-1])
+    slots, nodes = slots[once], nodes[once]
+    fps = np.ascontiguousarray(nodes).view(np.uint64)
     edge = np.nonzero(slots[1:] != slots[:-1])[0] + 1
     first = np.concatenate([[0], edge])
     size = np.diff(np.concatenate([first, [len(slots)]]))
     pair = first[size == 2]
-    apart = lanes[pair] ^ lanes[pair + 1]
-    shared = (apart.view(np.uint8) == 0).sum(1)
-    pair = pair[(shared >= need) & (np.bitwise_count(apart).sum(1) <= radius)]
+    apart = fps[pair] ^ fps[pair + 1]
+    enough = tally(apart) >= BYTES - radius
+    pair = pair[enough][np.bitwise_count(apart[enough]) <= radius]
     a, b = [nodes[pair + 1]], [nodes[pair]]
     for at, k in zip(first[size > 2].tolist(), size[size > 2].tolist()):
-        child, root = forest(lanes[at : at + k], radius, need)
+        child, root = forest(fps[at : at + k], radius)
         a.append(nodes[at + child])
         b.append(nodes[at + root])
-    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
+    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b), "full": False})
+
+
+def _with_lowest(rows: DataFrame, low: DataFrame, links: int) -> DataFrame:
+    """`rows` with the lowest neighbour of `a`, from (a, low, n).
+
+    Nodes of very many links are few, so their lowest neighbours go to the rows; the rows of
+    other nodes go to the lowest neighbours.
+    """
+    hub = max(LEAST_HUB, links // HUBS)
+    # At most HUBS rows: each stands for more than links / HUBS links (two ends each).
+    hubs = F.broadcast(low.where(F.col("n") > 2 * hub).select("a", F.col("low").alias("_low")))
+    rows = rows.join(hubs, "a", "left")
+    there = rows.where(F.col("_low").isNotNull()).withColumnRenamed("_low", "low")
+    return there.union(rows.where(F.col("_low").isNull()).drop("_low").join(low.drop("n"), "a"))
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -247,14 +279,17 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     current = saved(edges.where("a <> b").mapInPandas(contract, "a long, b long"), "links")
     for _ in range(rounds):
+        count = current.count()
+        if not count:
+            return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
         # Large star: neighbours above a node move to the smallest around it.
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"), F.count("*").alias("n"))
+        large = _with_lowest(both.where("b > a"), low, count).select(F.col("b").alias("a"), F.col("low").alias("b"))
         large = saved(large.distinct(), "links")
         # Small star: neighbours below a node, and the node, move to the smallest of them.
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
+        small = _with_lowest(large, low, large.count()).where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         small = small.union(low.select("a", F.col("low").alias("b"))).distinct()
         current = saved(small.mapInPandas(contract, "a long, b long"), "links")
         twice = current.groupBy("a").count().where("count > 1").select("a")
@@ -275,79 +310,39 @@ def near_duplicates(
     a component's name unless all keys are null. Repeated rows are returned each.
     """
     marked = saved(fingerprints(docs, key, text, words), "fingerprints")
-    distinct = saved(marked.groupBy("fp").agg(F.min(key).alias("first")), "distinct")
-    nodes = components(links(distinct.select("fp"), radius))
-    return _classes(marked, distinct, nodes, key, "fp").select(key, "fp", "component")
-
-
-def radius_of(similarity: float, bits: int) -> int:
-    """Differing bits to allow for documents of equal length that share this part of their shingles.
-
-    Two sets of Jaccard similarity J and equal size have cosine 2J / (1 + J); a SimHash bit
-    differs with the angle's share of a half turn. Half a deviation of the count is added.
-    """
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + 0.5 * math.sqrt(bits * p * (1 - p)))
+    first = marked.groupBy("fp").agg(F.min(key).alias("first"))
+    return marked.join(_classes(first, radius), "fp").select(key, "fp", F.col("first").alias("component"))
 
 
-def byte_choices(positions: int, choose: int, count: int, seed: int = 1) -> list[tuple[int, ...]]:
-    """`count` different choices of byte positions that use all positions about equally often."""
-    rng = np.random.default_rng(seed)
-    out: dict[tuple[int, ...], None] = {}
-    while len(out) < count:
-        deal = rng.permutation(positions)
-        for at in range(0, positions - choose + 1, choose):
-            out.setdefault(tuple(sorted(int(p) for p in deal[at : at + choose])))
-    return list(out)[:count]
+def _classes(first: DataFrame, radius: int) -> DataFrame:
+    """(fp, first): the smallest `first` among all fingerprints that each of (fp, first) reaches."""
+    first = saved(first, "distinct")
+    nodes = components(links(first.select("fp"), radius)).withColumnRenamed("node", "fp")
+    named = first.join(nodes, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    smallest = named.groupBy("root").agg(F.min("first").alias("first"))
+    return named.select("fp", "root").join(smallest, "root").select("fp", "first")
 
 
-def similar_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY
+def drop_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS
 ) -> DataFrame:
-    """(key, component): groups of documents that share `similarity` of their word shingles, as SimHash tells.
-
-    64 bits and a radius that a byte index finds for certain tell only copies with very few
-    changes. Here a fingerprint has LANES times 64 bits, which measures the similarity to a
-    few hundredths, and is posted under CHOICES choices of KEY_BYTES byte positions: pairs that
-    share a choice, hence at least KEY_BYTES positional bytes, are tallied and verified on all
-    bits. A lone pair of similarity 0.9 is found with probability 0.99, one of 0.85 with 0.92, one
-    of 0.8 with 0.68; of similarity 0.7, 0.13 are linked too.
-    Nodes are 64-bit digests of distinct fingerprints. Nulls, blanks and repeats are treated
-    as by `near_duplicates`.
+    """One row of each group of `near_duplicates`, with all its columns.
+
+    The row with the smallest key stays (no key comes last), of those the one with the
+    smallest digest of its text, of equal rows any one. Groups are of rows, not of keys: a
+    key may stay in several groups, or in none. An empty table stays empty.
     """
 
-    @F.pandas_udf("array<long>")
+    @F.pandas_udf("long")
     def mark(texts: pd.Series) -> pd.Series:
-        return pd.Series([wide_fingerprint(t, words, LANES) for t in texts], dtype=object)
-
-    marked = docs.select(F.col(key), mark(F.col(text)).alias("lanes"))
-    marked = saved(marked.withColumn("node", F.xxhash64("lanes")), "fingerprints")
-    distinct = marked.groupBy("node").agg(F.min(key).alias("first"), F.first("lanes").alias("lanes"))
-    distinct = saved(distinct, "distinct")
+        return pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
 
-    # One row per choice first, so that its slot is plain arithmetic on columns.
-    chosen = F.array(*[
-        F.struct(F.lit(k).cast("long").alias("k"), F.array(*map(F.lit, positions)).alias("at"))
-        for k, positions in enumerate(byte_choices(LANES * BYTES, KEY_BYTES, CHOICES))
-    ])
-    rows = distinct.select("node", "lanes", F.explode(chosen).alias("c"))
-    slot = F.col("c.k")
-    for i in range(KEY_BYTES):
-        at = F.col("c.at")[i]
-        lane = F.col("lanes")[F.shiftright(at, 3)]
-        slot = F.shiftleft(slot, 8).bitwiseOR(F.call_function("shiftrightunsigned", lane, 8 * (at % 8)).bitwiseAND(F.lit(255)))
-    posted = rows.select(slot.alias("slot"), "node", "lanes")
-    nodes = components(_links(posted, radius_of(similarity, 64 * LANES), KEY_BYTES))
-    return _classes(marked, distinct.select("node", "first"), nodes, key, "node").select(key, "component")
-
-
-def _classes(marked: DataFrame, distinct: DataFrame, nodes: DataFrame, key: str, mark: str) -> DataFrame:
-    """`marked` with `component`, the smallest key of each node's group."""
-    roots_of = nodes.select(F.col("node").alias("_node"), "root")
-    named = distinct.join(roots_of, distinct[mark] == roots_of["_node"], "left")
-    named = named.select(mark, "first", F.coalesce("root", mark).alias("root"))
-    smallest = named.groupBy("root").agg(F.min("first").alias("component"))
-    return marked.join(named.join(smallest, "root").select(mark, "component"), mark)
+    # Rows are stored with a name of their own, so that one of them can be told from its copies.
+    rows = saved(docs.select(F.struct("*").alias("row"), mark(F.col(text)).alias("fp"), F.expr("uuid()").alias("name")), "rows")
+    order = F.struct(F.col(f"row.{key}").isNull().alias("none"), F.col(f"row.{key}").alias("key"), F.xxhash64(f"row.{text}").alias("text"), "name")
+    first = rows.groupBy("fp").agg(F.min(order).alias("first"))
+    kept = _classes(first, radius).select(F.col("first.name").alias("name")).distinct()
+    return rows.join(kept, "name", "left_semi").select("row.*")
 
 
 def hex_digits(fp: Column) -> Column:

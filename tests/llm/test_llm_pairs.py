@@ -107,46 +107,35 @@ def test_dense_groups_keep_every_link(least, stars, pairs, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK_PAIRS", pairs)
     more = random.Random(9)
     fps = ball(120, 1) + ball(60, 2, 9) + [more.getrandbits(64) for _ in range(20)]
-    child, parent = simhash.forest(np.array(fps, np.uint64)[:, None], 4, 0)
+    child, parent = simhash.forest(np.array(fps, np.uint64), 4)
     roots = simhash.roots(child, parent, len(fps))
     want = reference_groups(dict(enumerate(fps)))
     assert roots.tolist() == [want[i] for i in range(len(fps))]
 
 
-def jaccard(a, b, words=5):
-    def grams(t):
-        w = t.lower().split()
-        return {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))}
-
-    x, y = grams(a), grams(b)
-    return len(x & y) / len(x | y)
-
-
-def test_similar_documents_are_those_of_the_shingles(spark):
-    rng = random.Random(2)
-    vocabulary = [f"w{i}" for i in range(3000)]
-    texts, groups = [None, "", "few words", "few words", "other few"], [0, 0, 2, 2, 4]
-    for _ in range(60):
-        base = [rng.choice(vocabulary) for _ in range(rng.randint(200, 600))]
-        home = len(texts)
-        texts.append(" ".join(base))
-        groups.append(home)
-        for _ in range(rng.randint(0, 3)):
-            copy = list(base)
-            for _ in range(max(1, len(copy) // 150)):
-                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
-            texts.append(" ".join(copy))
-            groups.append(home)
-        # Half of another document's text is no near-duplicate of it.
-        texts.append(" ".join(base[: len(base) // 2] + [rng.choice(vocabulary) for _ in range(len(base) // 2)]))
-        groups.append(len(texts) - 1)
-    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, node int").repartition(4)
-    got = {r["doc_id"]: r["component"] for r in simhash.similar_documents(docs).collect()}
-    wrong = [i for i, g in enumerate(groups) if got[i] != g]
-    assert len(got) == len(texts) and len(wrong) <= 0.02 * len(texts)
-    for i in wrong:
-        assert got[i] == i or jaccard(texts[i], texts[got[i]]) > 0.7
-    assert simhash.similar_documents(docs.limit(0)).collect() == []
+def test_the_tally_rejects_pairs_before_bits_are_counted():
+    """Pairs that meet share 3 bytes; those that share no fourth never reach the count of bits."""
+    rng = random.Random(6)
+    a = np.array([rng.getrandbits(64) & ~0xFFFFFF | 0x123456 for _ in range(200)] + ball(100, 2, 12), np.uint64)
+    apart = a[:, None] ^ a[None]
+    shared = (apart.view(np.uint8).reshape(len(a), len(a), 8) == 0).sum(2)
+    assert (simhash.tally(apart) == shared).all()
+    met = shared >= 3
+    kept = met & (simhash.tally(apart) >= 4)
+    assert kept.sum() < 0.5 * met.sum()
+    i, j = simhash.near_pairs(a, a, 4)
+    assert {*zip(i.tolist(), j.tolist())} == {*zip(*(x.tolist() for x in np.nonzero(np.bitwise_count(apart) <= 4)))}
+
+
+@pytest.mark.parametrize("most", [2, 10, 64])
+def test_full_slots_are_split(spark, monkeypatch, most):
+    monkeypatch.setattr(simhash, "SLOT", most)
+    fps = ball(150, 8, 6) + ball(60, 9, 3)
+    signed = [int(x) for x in np.array(fps, np.uint64).view(np.int64)]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long").repartition(5)
+    nodes = {r["node"]: r["root"] for r in simhash.components(simhash.links(df)).collect()}
+    want = reference_groups(dict(zip(signed, fps)))
+    assert {x: nodes.get(x, x) for x in signed} == want
 
 
 def test_links_over_many_partitions(spark):
@@ -158,6 +147,13 @@ def test_links_over_many_partitions(spark):
     assert {x: nodes.get(x, x) for x in signed} == want
 
 
+def test_hubs_are_split(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "LEAST_HUB", 5)
+    edges = spark.createDataFrame([(i, 7) for i in range(8, 300)] + [(i, 300) for i in range(301, 400)] + [(301, 8), (500, 501)], "a long, b long").repartition(8)
+    got = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
+    assert got == {**{i: 7 for i in range(8, 400)}, 501: 500}
+
+
 def test_a_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(500)], "a long, b long").repartition(8)
     assert {(r["node"], r["root"]) for r in simhash.components(edges).collect()} == {(i, 0) for i in range(1, 501)}
@@ -172,7 +168,7 @@ def test_empty_table_and_null_keys(spark):
 
 
 def test_count_filter_is_guaranteed():
-    assert len(simhash._masks(4)) == math.comb(8, 4)
+    assert len(simhash._masks(4)) == math.comb(8, 3) and len(simhash._masks(7)) == 8
     with pytest.raises(ValueError):
         simhash._masks(8)
 

@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import random
+import time
 import re
 
 import pytest
@@ -101,6 +103,75 @@ def test_guesses_of_credential_values():
     assert cost("zx7#Qp") < cost("zx7#Qp9!kd")
 
 
+def plain_cost(value):
+    """The cheapest segmentation by trying all of them, without carrying anything along."""
+    n, low = len(value), value.lower()
+    plain, kind = low.translate(secrets._LEET), math.log10(5)
+    size_of = secrets._class_size
+    few = len({c for c in value if size_of(c) == 26}) <= 6 and any(size_of(c) == 10 for c in value)
+    one = [math.log10(16 if few and size_of(c) == 26 else size_of(c)) for c in value]
+
+    def segments(i):
+        """(end, cost) of what may begin at i."""
+        for j in range(i + 1, n + 1):
+            yield j, sum(one[i:j])
+            if plain[i:j] in secrets._RANK:
+                yield j, secrets._RANK[plain[i:j]] + 0.3 * (value[i:j] != low[i:j]) + 0.5 * (low[i:j] != plain[i:j])
+        for m in secrets._DATES.finditer(value):
+            if m.start() == i:
+                yield from [(m.end(1), math.log10(36500))] * bool(m[1]) + [(m.end(2), 2.0)] * bool(m[2])
+        j = i
+        while j < n - 1 and (low[j], low[j + 1]) in secrets._NEAR:
+            j += 1
+        if j - i >= 2:
+            yield j + 1, math.log10(47) + 0.3 * (j - i) + math.log10(j - i)
+        j = i
+        while j < n - 1 and ord(low[j + 1]) - ord(low[j]) == ord(low[i + 1]) - ord(low[i]) in (1, -1):
+            j += 1
+        if j - i >= 2:
+            yield j + 1, math.log10(26) + math.log10(j - i)
+        for size in range(1, secrets.SIZES + 1):
+            block, times = value[i : i + size], 1
+            while value[i + times * size : i + (times + 1) * size] == block and block:
+                times += 1
+            if times >= (2 if size > 1 else 3) and (size == 1 or len(set(block)) > 1):
+                yield i + times * size, sum(one[i : i + size]) + math.log10(times)
+
+    def cheapest(i):
+        return min((kind + c + cheapest(j) for j, c in segments(i)), default=math.inf) if i < n else 0.0
+
+    return cheapest(0)
+
+
+def test_guess_cost_against_all_segmentations():
+    draw = random.Random(4)
+    parts = ["abc", "1q2", "2019", "pass", "P4ss", "aaa", "xyx", "#", "7", "qwe", "Az", "0", "test", "dcb", "--"]
+    values = ["", "a", "password", "abab", "aaaa", "2019-05-12", "12.5.2019"]
+    values += ["".join(draw.choice(parts) for _ in range(draw.randint(1, 4)))[:11] for _ in range(150)]
+    for v in values:
+        assert secrets.guess_cost(v) == pytest.approx(plain_cost(v), abs=1e-9), v
+
+
+@pytest.mark.parametrize("text, spans", [
+    ("a" * 1_000_000, ["hex:0:1000000"]),
+    ("token: " + "=" * 1_000_000, ["assign:0:1000007"]),
+    ("pwd: " + "qwertyuioppoiuytrewq" * 50_000, ["guess:5:1000005"]),
+    ("pwd: " + "!" * 1_000_000 + "?!", []),
+    ("pwd: " + "xy" * 500_000, []),
+    ("password" + " " * 1_000_000 + ": x", []),
+    ("password :     x!y@z9QQ##kLmn0pQ2", ["guess:15:33"]),
+    ("secret=abcdefgh " * 50_000 + "pwd:x!y@z9QQ##kLmn0pQ2", None),
+])
+def test_long_runs_take_linear_time(text, spans):
+    begin = time.monotonic()
+    found = secrets.spans_of(text)
+    assert time.monotonic() - begin < 10
+    if spans is None:
+        assert len(found) == 50_001 and found[-1][0] == "guess"
+    else:
+        assert secrets.joined(found).split(",") == (spans or [""])
+
+
 def test_hard_values_join_and_easy_ones_do_not():
     spans = secrets.spans_of('db passphrase: "xK9#vQ2$mL7" and pwd = changeme, auth: password123')
     assert [(k, a, b) for k, a, b, _ in spans] == [("guess", 16, 27)]
@@ -125,7 +196,7 @@ def test_stages_take_effect_and_keep_columns(spark):
     one = stage["near_duplicates"](spark, kept, sf).cache()
     from lexloom.llm import simhash
 
-    groups = {r["component"] for r in simhash.similar_documents(kept).collect()}
+    groups = {r["component"] for r in simhash.near_duplicates(kept).collect()}
     assert one.columns == docs.columns
     assert sorted(r["doc_id"] for r in one.collect()) == sorted(groups)
 
@@ -144,12 +215,24 @@ def test_stages_take_effect_and_keep_columns(spark):
 
 
 def test_near_duplicates_stage_on_odd_rows(spark):
+    one, more = "a b c d e f g h", "completely other words stand here"
     docs = spark.createDataFrame(
-        [(3, "a b c d e", "x"), (1, "a b c d e", "x"), (1, "a b c d e", "x"), (None, "a b c d e", "x"), (None, "zz", "x"), (7, None, "x"), (8, "", "x")],
-        "doc_id long, text string, component string",
+        [(1, one, "x", 1), (7, one.upper(), "y", 1), (7, more, "z", 1), (None, more + " ", "x", 1), (None, "zz", "x", 1), (None, "zz", "x", 1), (9, None, "x", 1), (8, "", "x", 1)],
+        "doc_id long, text string, component string, fp long",
     )
-    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
-    assert sorted((r["doc_id"], r["text"]) for r in got if r["doc_id"] is not None) == [(1, "a b c d e"), (7, None)]
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in got.collect()) == [("1", one), ("7", more), ("8", ""), ("None", "zz")]
+    same = docs.where("doc_id = 1").union(docs.where("doc_id = 1"))
+    assert corpus_pipeline.drop_near_duplicates(spark, same, "").count() == 1
+    assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").collect() == []
+
+
+def test_run_on_an_empty_table(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
 def test_run_is_the_stages_in_turn(spark, sf_dir):
