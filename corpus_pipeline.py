@@ -18,38 +18,44 @@ CEILINGS = {"toxic"}
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    Null and empty texts are scored like any other; repeated rows get one decision; an empty
+    table, or one without labels, stays as it is scored.
+    """
     return quality.drop_low_quality(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near-duplicates.
+    """One row of each group of documents whose SimHash of four-word shingles differs in at most 4 bits.
 
-    Groups are those of the SimHash operator's wide fingerprints: documents that share 0.8
-    of their five-word shingles. Rows repeated under one id stay once for each text; rows
-    without id stay only in a group without any id.
+    Of a group the row of the smallest id stays; null and blank texts are one group, rows
+    without id stay only in a group without any id, equal rows stay once.
     """
-    found = simhash.similar_documents(docs)
-    first = found.select(F.col("component").alias("_first")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_first"]), "left_semi")
-    return kept.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+    return simhash.drop_near_duplicates(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in them masked and their lengths counted again."""
+    """All documents, secrets in them masked and their lengths counted again.
+
+    A null text stays null and keeps its length; repeated rows are masked alike.
+    """
     kept = docs.withColumn("_masked", secrets.mask_secrets(F.col("text")))
     kept = kept.withColumns({"text": F.col("_masked"), "n_chars": F.coalesce(F.length("_masked").cast("long"), F.col("n_chars"))})
     return kept.select(docs.columns)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents kept by rates that meet the target shares without repeating any domain; toxic may stay below its share."""
+    """Documents kept by rates that meet the target shares without repeating any domain; toxic may stay below its share.
+
+    Rows without text have no tokens and the rate of their posterior; an empty table stays empty.
+    """
     model = mixing.fit_domains(docs, domains(table(spark, sf_dir, "labels")))
     return mixing.resample(docs, model, TARGETS, repeats=False, ceilings=CEILINGS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in sequences."""
+    """Pieces of all documents and their places in sequences; a null text is an empty one, repeated rows are packed each."""
     return packing.pack(docs, RANKS, added=True)
 
 
