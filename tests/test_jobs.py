@@ -166,6 +166,63 @@ def test_generate_goes_on_after_a_failure_before_its_rows(spark, sf_dir, tmp_pat
     assert corpus.read_examples(spark, f"{where[1]}/*", with_model=False).count() == 60
 
 
+def counting_client(asked):
+    """A client that leaves a file for each call, named by the article's title."""
+    folder = str(asked)
+
+    def factory():
+        import json
+        import re
+        import uuid
+
+        class Client:
+            def complete(self, messages, **params):
+                title = re.search(r"Title \d+", messages[1]["content"])[0]
+                open(f"{folder}/{title}-{uuid.uuid4().hex}", "w").close()
+                one = {"text": "made up", "labels": ["a"], "not_labels": ["b"]}
+                return json.dumps({"shared_labels": [], "examples": [one] * 5})
+
+        return Client()
+
+    return factory
+
+
+def test_a_run_killed_between_slices_keeps_them_and_asks_nothing_twice(spark, sf_dir, tmp_path, monkeypatch):
+    conditions = (vocab.genre_table(spark), vocab.length_table(spark), vocab.level_table(spark))
+    articles = fx.articles(spark, sf_dir).withColumn("text", F.concat("title", F.lit(" ")))
+    where = (str(tmp_path / "replies"), str(tmp_path / "rows"))
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def run():
+        return generate.generate(
+            spark, articles, conditions, counting_client(asked), *where, 500, "run", sep="\n", slice_size=10, model="m",
+            wait=lambda attempt: 0.0,
+        ).collect()[0]
+
+    calls, real = [], generate.complete
+
+    def dies(*args, **kw):
+        calls.append(1)
+        if len(calls) > 3:
+            raise KeyboardInterrupt
+        return real(*args, **kw)
+
+    monkeypatch.setattr(generate, "complete", dies)
+    with pytest.raises(KeyboardInterrupt):
+        run()
+    assert generate.complete_folders(spark, where[0]) == generate.complete_folders(spark, where[1]) == [f"run--0.00000{i}" for i in range(3)]
+    kept = {r.article_id: r.response for r in generate.read_replies(spark, where[0]).collect()}
+    assert len(kept) == len(os.listdir(asked)) and 10 < len(kept) < 60
+    monkeypatch.setattr(generate, "complete", real)
+    assert run().bundles == 100
+    replies = {r.article_id: r.response for r in generate.read_replies(spark, where[0]).collect()}
+    assert kept.items() <= replies.items() and len(replies) == 100
+    titles = [f.split("-")[0] for f in os.listdir(asked)]
+    assert len(titles) == len(set(titles)) == 100
+    assert corpus.read_examples(spark, f"{where[1]}/*", with_model=False).count() == 500
+
+
 def test_complete_gives_up_and_keeps_the_row(spark):
     def factory():
         class Client:
