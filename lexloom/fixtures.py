@@ -1,7 +1,8 @@
 """Relations the checks derive from the `documents` table.
 
 `examples` are labelled rows, `replies` are model replies of five documents each,
-some missing, malformed, empty, fenced, inside an array or with a repeated key, and `articles` are the source texts.
+some missing, malformed, empty, fenced, inside an array, after chatter with a bracket or with a repeated key,
+and `articles` are the source texts.
 """
 
 from __future__ import annotations
@@ -100,6 +101,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(b % 13 == 0, F.lit('{"shared_labels":[],"examples":[]}'))
         .when(b % 17 == 0, F.concat(F.lit("["), "j", F.lit("]")))
         .when(b % 19 == 0, F.concat(F.lit('{"examples":[],'), F.expr("substring(j, 2)")))
+        .when(b % 23 == 0, F.concat(F.lit("Note [draft 1: "), "j"))
         .when(b % 2 == 0, F.concat(F.lit("Here you go:\n```json\n"), "j", F.lit("\n```")))
         .otherwise(F.col("j"))
         .alias("response"),
@@ -107,14 +109,14 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def genre_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Genres of the fixture: every distinct source, numbers above 14 count as new, three categories."""
+    """Genres of the fixture: every distinct source, numbers above 14 count as new, three categories, some without."""
     number = F.regexp_extract("source", r"(\d+)", 1).cast("int")
     names = documents(spark, sf_dir, "doc_id", "source").select("source").distinct()
     return names.select(
         F.col("source").alias("name"),
         F.col("source").alias("genre"),
         (number > 14).alias("is_new"),
-        F.concat(F.lit("cat"), number % 3).alias("category"),
+        F.when(number % 7 != 3, F.concat(F.lit("cat"), number % 3)).alias("category"),
         number.alias("position"),
         F.concat(F.lit("About "), "source").alias("description"),
     )

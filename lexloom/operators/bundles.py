@@ -17,14 +17,18 @@ NEGATIVE_RANGE = (8, 15)
 def parse_responses(df: DataFrame, response: str = "response") -> DataFrame:
     """Add `bundle VARIANT`: the JSON object inside a reply (fences and chatter cut off), null if malformed.
 
-    A repeated key keeps its last value, as in most JSON readers; Spark decides that by a
-    setting of the session, which is set here. An object that an array holds is no
-    bundle: a bracket before it is still open.
+    A repeated key keeps its last value, as in most JSON readers; Spark decides that by the
+    setting `spark.sql.variant.allowDuplicateKeys` of the session, which is set here and
+    holds for later plans too. An object that an array holds is no bundle: a bracket stands
+    directly before it, or what an open bracket before it begins is an array. Other
+    brackets are chatter.
     """
     df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     found = F.regexp_extract(F.col(response), r"(?s)(\{.*\})", 1)
     before = F.regexp_extract(F.col(response), r"(?s)\A([^{]*)", 1)
-    in_array = F.regexp_count(before, F.lit(r"\[")) > F.regexp_count(before, F.lit(r"\]"))
+    begun = F.regexp_extract(before, r"(\[[^\[\]]*)\z", 1)
+    array = F.try_parse_json(F.concat(begun, F.regexp_extract(F.col(response), r"(?s)(\{.*\])", 1)))
+    in_array = F.when(begun == "", F.lit(False)).otherwise(begun.rlike(r"\A\[\s*\z") | array.isNotNull())
     return df.withColumn("bundle", F.when(~in_array, F.try_parse_json(found)))
 
 

@@ -319,7 +319,8 @@ def category_words(df: DataFrame, categories: DataFrame, k: int = 15, counts: Da
     """Top words of each category over all categories' top words, scaled by the category's maximum.
 
     `categories` maps genre to category, `counts` are word counts per genre if a caller
-    has them. A word outside a category's own top k counts 0 there.
+    has them. A word outside a category's own top k counts 0 there. Genres without category
+    form one of their own.
     """
     of = categories.select("genre", "category")
     if counts is None:
@@ -328,6 +329,8 @@ def category_words(df: DataFrame, categories: DataFrame, k: int = 15, counts: Da
         words = roll_up(join_vocabulary(counts, of, "genre").where(~is_stopword(F.col("word"))), ["category"])
     top = top_words(words, ["category"], k)
     scaled = top.withColumn("scaled", F.col("n") / F.max("n").over(Window.partitionBy("category")))
-    names = [r["category"] for r in categories.select("category").distinct().orderBy("category").collect()]
-    table = scaled.groupBy("word").pivot("category", names).agg(F.first("scaled")).fillna(0.0, names)
-    return table.unpivot(["word"], names, "category", "scaled")
+    # One array of the categories goes to the words; the result has a row for each of both anyway.
+    every = categories.agg(F.array_sort(F.collect_set(F.struct("category")))).scalar()
+    grid = top.select("word").distinct().select("word", F.inline(every))
+    found = null_safe_join(grid, scaled.select("word", "category", "scaled"), ["word", "category"], "left")
+    return found.select("word", "category", F.coalesce("scaled", F.lit(0.0)).alias("scaled"))

@@ -119,7 +119,11 @@ def test_parsing_needs_no_setting_of_the_session(spark):
         "in fenced array": '```json\n[\n {"examples": [%s]}]\n```' % one,
         "second in array": '[1, {"examples": [%s]}]' % one,
         "chatter with brackets": 'As [asked]: {"examples": [%s]}' % one,
+        "chatter with an open bracket": 'Note [draft 1: {"examples": [%s]}' % one,
+        "open bracket and a list behind": 'Note [draft 1: {"examples": [%s]} and [so on]' % one,
+        "array that is cut off": '[ {"examples": [%s]}' % one,
     }
     df = spark.createDataFrame(list(replies.items()), "name string, response string")
     got = {r.name: r.is_valid for r in bundles.validate_bundles(bundles.parse_responses(df)).collect()}
-    assert got == {"repeated": True, "in array": False, "in fenced array": False, "second in array": False, "chatter with brackets": True}
+    assert got == {"repeated": True, "in array": False, "in fenced array": False, "second in array": False, "chatter with brackets": True,
+        "chatter with an open bracket": True, "open bracket and a list behind": True, "array that is cut off": False}
