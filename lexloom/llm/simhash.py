@@ -16,13 +16,15 @@ RADIUS = 4
 SEED = 42
 BYTES = 8
 #: Pairs of fingerprints compared at once.
-BLOCK_PAIRS = 2_000_000
+BLOCK_PAIRS = 500_000
 #: Stars that a group under one key is cut into at most, and members that need none.
 STARS, LEAST_STAR = 64, 256
 #: Fingerprints under one key that one task compares, at most; larger groups are split.
 SLOT = 32_768
 #: Links of one node that meet in one task, at most, and nodes with more, at most.
 LEAST_HUB, HUBS = 1_024, 100_000
+#: Links that a task and a file hold in a round, about.
+ROUND_LINKS = 250_000
 
 
 def _shingle_hashes(text: str | None, words: int, seed: int) -> np.ndarray:
@@ -282,16 +284,18 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         count = current.count()
         if not count:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        # Links get fewer from round to round; so do the files that a round writes and reads.
+        files = -(-count // ROUND_LINKS)
         # Large star: neighbours above a node move to the smallest around it.
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"), F.count("*").alias("n"))
         large = _with_lowest(both.where("b > a"), low, count).select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = saved(large.distinct(), "links")
+        large = saved(large.distinct().coalesce(files), "links")
         # Small star: neighbours below a node, and the node, move to the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
-        small = _with_lowest(large, low, large.count()).where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        small = _with_lowest(large, low, count).where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         small = small.union(low.select("a", F.col("low").alias("b"))).distinct()
-        current = saved(small.mapInPandas(contract, "a long, b long"), "links")
+        current = saved(small.coalesce(files).mapInPandas(contract, "a long, b long"), "links")
         twice = current.groupBy("a").count().where("count > 1").select("a")
         chained = current.join(current.select(F.col("a").alias("b")).distinct(), "b", "left_semi").select("a")
         if not twice.union(chained).limit(1).count():
