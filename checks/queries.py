@@ -716,19 +716,19 @@ def compare_means(spark, sf_dir):
 @query
 def ks_two_sample(spark, sf_dir):
     e = health.enrich(fx.examples(spark, sf_dir))
-    return compare.ks_two_sample(compare.paired_counts(e, "origin", fx.LEFT, fx.RIGHT, health.NUMERIC))
+    return compare.ks_two_sample(compare.paired_bins(e, "origin", fx.LEFT, fx.RIGHT, health.NUMERIC))
 
 
 @query
 def ks_two_sample_quality(spark, sf_dir):
     q = lexical.text_quality(fx.texts(spark, sf_dir))
-    return compare.ks_two_sample(compare.paired_counts(q, "origin", fx.LEFT, fx.RIGHT, lexical.QUALITY))
+    return compare.ks_two_sample(compare.paired_bins(q, "origin", fx.LEFT, fx.RIGHT, lexical.QUALITY))
 
 
 @query
 def mann_whitney(spark, sf_dir):
     e = health.enrich(fx.examples(spark, sf_dir))
-    return compare.mann_whitney(compare.paired_counts(e, "origin", fx.LEFT, fx.RIGHT, health.NUMERIC))
+    return compare.mann_whitney(compare.paired_bins(e, "origin", fx.LEFT, fx.RIGHT, health.NUMERIC))
 
 
 # --- streams -----------------------------------------------------------------

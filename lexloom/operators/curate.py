@@ -14,6 +14,9 @@ MAX_LITERAL_LABELS = 20_000
 # Keys of rows that carry a held-out label, 34 bytes each, are broadcast up to this number.
 MAX_BROADCAST_HITS = 500_000
 
+# Keys of new rows that are sent to the published digests, 34 bytes each, up to this number.
+MAX_KEYS = 500_000
+
 # Fixed value: share of the positive labels held out for about 1% test rows.
 TEST_RATIO = 0.005 / 3
 
@@ -177,26 +180,36 @@ def route_counts(routed: DataFrame) -> DataFrame:
     return routed.groupBy("split").agg(F.count("*").alias("n"))
 
 
-def _known(existing: DataFrame, keys: list[str]) -> DataFrame:
+def _known(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Those (digest, split) keys of `existing` that `new`, which has them too, may have.
+
+    Up to MAX_KEYS keys of the new rows are sent to the existing digests, which stay where
+    they are, and what they find is no more than that. More new keys meet them in a shuffle.
+    """
     digest = F.col("text_digest") if "text_digest" in existing.columns else text_key("text")
-    return existing.select(digest.alias("_text"), *[k for k in keys if k != "_text"]).distinct()
+    known = existing.select(digest.alias("_text"), *[k for k in keys if k != "_text"])
+    asked = new.select(*keys).distinct()
+    if asked.limit(MAX_KEYS + 1).count() > MAX_KEYS:
+        return known.distinct()
+    return F.broadcast(known.join(F.broadcast(asked), keys, "left_semi").distinct())
 
 
 def dedupe_against(new: DataFrame, existing: DataFrame, across_splits: bool = False) -> DataFrame:
     """New rows whose text is not yet in the same split (or, optionally, in any).
 
     Only digests of existing texts are compared. Where `existing` has them stored
-    as `text_digest`, its texts are not read.
+    as `text_digest`, its texts are not read. New rows are read twice and should be stored.
     """
     keys = ["_text"] if across_splits else ["_text", "split"]
-    return new.withColumn("_text", text_key("text")).join(_known(existing, keys), keys, "left_anti").select(*new.columns)
+    keyed = new.withColumn("_text", text_key("text"))
+    return keyed.join(_known(keyed, existing, keys), keys, "left_anti").select(*new.columns)
 
 
 def dedupe_counts(new: DataFrame, existing: DataFrame, across_splits: bool = False) -> DataFrame:
     """Per split of the new rows: how many `dedupe_against` keeps as `added`, and how many it skips as `skipped`."""
     keys = ["_text"] if across_splits else ["_text", "split"]
-    known = _known(existing, keys).withColumn("_known", F.lit(True))
-    marked = new.select("split", text_key("text").alias("_text")).join(known, keys, "left")
+    keyed = new.select("split", text_key("text").alias("_text"))
+    marked = keyed.join(_known(keyed, existing, keys).withColumn("_known", F.lit(True)), keys, "left")
     return marked.groupBy("split").agg(
         count_if(F.col("_known").isNull()).alias("added"), count_if(F.col("_known")).alias("skipped")
     )

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexloom.functions import text as T
 from lexloom.functions.columns import count_if, percent, stored, text_key
-from lexloom.operators.scan import exact_percentiles, is_vocabulary, long_values, null_safe_join
+from lexloom.operators.bins import stored_values, summaries
+from lexloom.operators.scan import is_vocabulary, null_safe_join
 from lexloom.session import materialise
 
 NUMERIC = ("n_pos", "n_neg", "text_words", "text_chars", "n_sentences", "n_all_labels")
@@ -61,17 +62,11 @@ def health(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """count, mean, sample std, min, quartiles and max per column (and group), exact, for any numeric type.
 
-    The columns are stored once, narrow. All but the quartiles are partial aggregates; the
-    quartiles rank only the values near them, see `exact_percentiles`.
+    The columns are stored once, narrow. One pass counts values by coarse bins, which give all
+    but the quartiles; only bins that hold a quartile are counted again, see `bins`.
     """
     keys = [*by, "metric"]
-    values = materialise(long_values(df, cols, by))
-    v = F.col("value")
-    basic = (
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"),
-    )
-    return exact_percentiles(values, (0.25, 0.5, 0.75), keys, basic).select(
+    return summaries(stored_values(df, cols, by), (0.25, 0.5, 0.75), keys).select(
         *keys, "count", "mean", "std", "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"),
         F.col("q2").alias("p75"), "max",
     )
@@ -79,10 +74,8 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
 
 def five_numbers(df: DataFrame, by: str, cols: Sequence[str]) -> DataFrame:
     """Minimum, quartiles and maximum per group; a group without values has nulls."""
-    values = materialise(long_values(df, cols, [by]))
     keys = [by, "metric"]
-    ends = (F.min("value").alias("min"), F.max("value").alias("max"))
-    found = exact_percentiles(values, (0.25, 0.5, 0.75), keys, ends)
+    found = summaries(stored_values(df, cols, [by]), (0.25, 0.5, 0.75), keys)
     groups = df.select(by).distinct().select(by, F.explode(F.array(*[F.lit(c) for c in cols])).alias("metric"))
     return null_safe_join(groups, found, keys, "left").select(
         *keys, "min", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max"

@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lexloom.functions import text as T
 from lexloom.functions.columns import count_if, let, long_sum, no_strings, ratio
 from lexloom.operators.labels import flag_new
-from lexloom.operators.scan import join_vocabulary, null_safe_join, prefix_sum
+from lexloom.operators.scan import is_vocabulary, join_vocabulary, null_safe_join, prefix_sum
 from lexloom.session import materialise
 from lexloom.vocab import STOPWORDS
 
 GROUP_LIMIT = 1_000  # up to so many rows a group, Spark limits groups before it shuffles them
-PARTS = 32  # tasks that a group's words are dealt over beyond that
+TIED = 100_000  # words of one count that one task puts in order, at most, if k is small
 CHUNK = 10_000  # neighbouring texts ranked together when n-grams may cross text ends
 
 
@@ -59,20 +59,43 @@ def token_stats(counts: DataFrame, by: Sequence[str] = (), stopwords: Sequence[s
 def top_words(counts: DataFrame, by: Sequence[str] = (), k: int = 30) -> DataFrame:
     """The k most frequent words per group; ties in word order.
 
-    Words of a group are dealt over tasks, each keeps its own k, and only those meet, so
-    no task sorts a whole vocabulary however large k is.
+    For a large k the numbers of words by count tell from which count on a word can be among
+    them; only those words, and of the words of the last count only as many as are missing,
+    meet in a group's task. No task sorts a vocabulary however large k is.
     """
     if not by:
         return counts.orderBy(F.desc("n"), "word").limit(k)
-    order = (F.desc("n"), "word")
     if k > GROUP_LIMIT:
-        counts = counts.withColumn("_part", F.pmod(F.xxhash64("word"), F.lit(PARTS)))
-        near = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))
-        counts = counts.withColumn("_near", near).where(F.col("_near") <= k).drop("_near", "_part")
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        counts = _likely(materialise(counts.select(*by, "word", "n")), by, k)
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "word"))
     return counts.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def _likely(counts: DataFrame, by: Sequence[str], k: int) -> DataFrame:
+    """Words above the count at which a group's k are full, and the first few of those at it."""
+    spectrum = counts.groupBy(*by, "n").agg(F.count("*").alias("words"))
+    higher = Window.partitionBy(*by).orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    spectrum = spectrum.withColumn("above", F.coalesce(F.sum("words").over(higher), F.lit(0)))
+    last = spectrum.where(F.col("above") < k).groupBy(*by).agg(
+        F.min("n").alias("_last"), (k - F.max("above")).alias("_missing"), F.min_by("words", "n").alias("_tied")
+    )
+    last = materialise(last)
+    few = F.broadcast(last) if is_vocabulary(last) else last
+    likely = null_safe_join(counts, few, by).where(F.col("n") >= F.col("_last"))
+    tied = likely.where(F.col("n") == F.col("_last"))
+    most = last.agg(F.max("_tied")).first()[0] or 0
+    # Very many words of one count are dealt over tasks, each keeps as many as are missing, and so on.
+    room, salt = max(TIED, 20 * k), 0
+    while most > room:
+        parts = -(-most // room)
+        part = F.pmod(F.xxhash64("word", F.lit(salt)), F.lit(parts))
+        place = F.row_number().over(Window.partitionBy(*by, part).orderBy("word"))
+        tied = tied.withColumn("_place", place).where(F.col("_place") <= F.col("_missing")).drop("_place")
+        most, salt = parts * k, salt + 1
+    sure = likely.where(F.col("n") > F.col("_last"))
+    return sure.unionByName(tied).drop("_last", "_missing", "_tied")
+
+
 def ttr(counts: DataFrame, by: Sequence[str] = (), stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
     """Types per token, with and without stopwords."""
     s = token_stats(counts, by, stopwords)

@@ -115,77 +115,3 @@ def join_vocabulary(df: DataFrame, vocabulary: DataFrame, key: str, how: str = "
     is joined as the adaptive plan sees fit."""
     small = F.broadcast(vocabulary) if is_vocabulary(vocabulary) else vocabulary
     return null_safe_join(df, small, [key], how)
-
-
-def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """One row per (by, metric, value), nulls dropped; several numeric columns in one pass."""
-    wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-    return wide.unpivot(list(by), list(cols), "metric", "value").where(F.col("value").isNotNull())
-
-
-def weighted_percentiles(counts: DataFrame, probabilities: Sequence[float], by: Sequence[str]) -> DataFrame:
-    """Exact linear-interpolated percentiles of (by, value, n) rows as `q0`, `q1`, ...
-
-    A continuous column has about one value per row, too many for one aggregate,
-    so the percentiles are read off distributed running counts.
-    """
-    by = list(by)
-    ranked = prefix_sum(counts, "value", ["n"], by)
-    first, last = F.col("n_before"), F.col("n_before") + F.col("n") - 1
-
-    def at(position: Column) -> Column:
-        return F.max(F.when((first <= position) & (position <= last), F.col("value")))
-
-    found = []
-    for i, p in enumerate(probabilities):
-        position = (F.col("n_total") - 1) * F.lit(float(p))
-        found += [
-            at(F.floor(position)).alias(f"_lo{i}"),
-            at(F.ceil(position)).alias(f"_hi{i}"),
-            F.max(position - F.floor(position)).alias(f"_w{i}"),
-        ]
-    return ranked.groupBy(*by).agg(*found).select(
-        *by,
-        *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(f"q{i}")
-            for i in range(len(probabilities))
-        ],
-    )
-
-
-#: Rank error of the sketch that brackets a percentile, as a share of the rows.
-SKETCH = 1_000
-
-
-def exact_percentiles(
-    values: DataFrame, probabilities: Sequence[float], by: Sequence[str], also: Sequence[Column] = ()
-) -> DataFrame:
-    """Exact linear-interpolated percentiles of (by, value) rows as `q0`, `q1`, ...
-
-    A sketch per group brackets each percentile between two values. Values outside all
-    brackets are counted by the gap they fall in, so only those inside, a few in a
-    thousand and any with many copies counted once, are shuffled and ranked. `values`
-    is read twice and should be stored. `also` are named aggregates of the same groups,
-    taken in the pass that takes the sketch.
-    """
-    by = list(by)
-    around = [min(1.0, max(0.0, p + off)) for p in probabilities for off in (-4.0 / SKETCH, 4.0 / SKETCH)]
-    sketch = F.percentile_approx("value", around, SKETCH)
-    groups = values.groupBy(*by).agg(sketch.alias("_edges"), F.count("*").alias("_size"), *also)
-    groups = materialise(groups)
-    small = F.col("_size") <= 2 * SKETCH
-    edges = groups.select(*by, F.when(~small, F.col("_edges")).alias("_edges"))
-    near = null_safe_join(values, F.broadcast(edges) if is_vocabulary(edges) else edges, by)
-    v, e = F.col("value"), F.col("_edges")
-    kept = e.isNull()
-    gap = e[0]
-    for i in range(len(probabilities)):
-        low, high = e[2 * i], e[2 * i + 1]
-        kept = kept | v.between(low, high)
-        # A gap above bracket i is named by its lower end: no percentile lies in it.
-        gap = F.when(v > high, high).otherwise(gap)
-    # What lies below the first bracket is counted with that bracket's lower end.
-    counts = near.select(*by, F.when(kept, v).otherwise(gap).alias("value"))
-    counts = counts.groupBy(*by, "value").agg(F.count("*").alias("n"))
-    found = weighted_percentiles(materialise(counts), probabilities, by)
-    return null_safe_join(groups.drop("_edges", "_size"), found, by) if also else found

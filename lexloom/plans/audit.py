@@ -66,7 +66,7 @@ def audit_pair(df: DataFrame, key: str, by: str, left: str, right: str) -> dict[
     rows = health.enrich(lexical.text_quality(df))
     cols = [*health.NUMERIC, *lexical.QUALITY]
     rows = materialise(rows.select(by, *cols))
-    pairs = materialise(compare.paired_counts(rows, by, left, right, cols))
+    pairs = compare.paired_bins(rows, by, left, right, cols)
     bigrams = materialise(lexical.ngrams(df, 2, [by], across_texts=True, key=key))
     sides = [bigrams.where(F.col(by) == side) for side in (left, right)]
     return {

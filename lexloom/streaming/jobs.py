@@ -63,7 +63,7 @@ def stream_increment(
     its rows by the same rows. A query whose checkpoint is lost is another query: it is
     compared with every row its predecessors added, wherever they stood, and adds none of
     them again. Published and earlier digests are gathered once, at the start; a batch
-    reads the digests of its own query's batches and no old text.
+    reads the digests of its own query's batches, where they lie, and no old text.
     """
     spark.createDataFrame([], ADDED_SCHEMA).write.mode("ignore").partitionBy("query", "batch", "split").parquet(out_dir)
     name = _query_name(spark, checkpoint)
@@ -73,7 +73,7 @@ def stream_increment(
 
     def add(batch: DataFrame, number: int) -> None:
         own = read_increment(batch.sparkSession, out_dir).where((F.col("query") == name) & (F.col("batch") < number))
-        routed = route_increment(merge_by_text(normalise_lists(batch)), heldout)
+        routed = materialise(route_increment(merge_by_text(normalise_lists(batch)), heldout))
         fresh = dedupe_against(
             routed.where(F.col("split") != "dropped"), base.unionByName(own.select("text_digest", "split"))
         ).withColumn("text_digest", text_key("text"))

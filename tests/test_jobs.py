@@ -81,8 +81,32 @@ def test_increment_reads_digests_of_published_rows_only(spark, tmp_path):
     new = spark.createDataFrame([("a", "train"), ("b", "train")], "text string, split string")
     fresh = curate.dedupe_against(new, corpus.read_published(spark, str(tmp_path / "d")))
     assert [r.text for r in fresh.collect()] == ["b"]
-    scan = fresh._jdf.queryExecution().executedPlan().toString().split("FileScan")[1]
-    assert "text_digest" in scan and "ReadSchema: struct<text_digest:binary>" in scan
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<text_digest:binary>" in plan
+
+
+@pytest.mark.parametrize("across", [False, True])
+@pytest.mark.parametrize("most", [500_000, 2])
+def test_published_digests_stay_where_they_are(spark, tmp_path, monkeypatch, across, most):
+    """New digests go to the published ones, up to a number; the rows are the same beyond it."""
+    monkeypatch.setattr(curate, "MAX_KEYS", most)
+    old = spark.range(2000).select(F.concat(F.lit("t"), F.col("id") % 900).alias("text"), F.when(F.col("id") % 3 == 0, "test").otherwise("train").alias("split"))
+    corpus_rows = old.select("text", F.array(F.lit("x")).alias("labels"), F.array(F.lit("y")).alias("not_labels"), "split")
+    corpus.write_dataset(corpus_rows, str(tmp_path / "d"))
+    new = spark.createDataFrame([(f"t{i}", s) for i in (1, 3, 898, 901, 5000) for s in ("train", "test")] + [(None, "train")], "text string, split string")
+    published = corpus.read_published(spark, str(tmp_path / "d"))
+    fresh = curate.dedupe_against(new, published, across)
+    have = {(r.text,) if across else (r.text, r.split) for r in old.collect()}
+    want = sorted(str(tuple(r)) for r in new.collect() if ((r.text,) if across else (r.text, r.split)) not in have)
+    assert sorted(str(tuple(r)) for r in fresh.collect()) == want and 0 < len(want) < 11
+    counts = {r.split: (r.added, r.skipped) for r in curate.dedupe_counts(new, published, across).collect()}
+    assert sum(a for a, _ in counts.values()) == len(want) and sum(a + b for a, b in counts.values()) == 11
+    if most > 2:
+        # Only what the semi join leaves of the published digests is exchanged, as a broadcast.
+        found = curate._known(new.withColumn("_text", F.sha2("text", 256).cast("binary")), published, ["_text", "split"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        semi = plan.split("LeftSemi")[1].split("BroadcastExchange")[0]
+        assert "FileScan" in semi and "Exchange" not in semi
 
 
 

@@ -6,8 +6,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from lexloom.operators import compare, labels, lexical
+from lexloom.operators import bins, compare, labels, lexical
 from lexloom.vocab import GENRES, STOPWORDS, genre_table
 
 
@@ -100,7 +101,7 @@ def test_two_samples(spark):
     rng = np.random.default_rng(5)
     a, b = rng.integers(0, 20, 80), rng.integers(3, 25, 120)
     data = [("a", float(x)) for x in a] + [("b", float(x)) for x in b]
-    pairs = compare.paired_counts(spark.createDataFrame(data, "side string, x double"), "side", "a", "b", ["x"])
+    pairs = compare.paired_bins(spark.createDataFrame(data, "side string, x double"), "side", "a", "b", ["x"])
     ks, mw = compare.ks_two_sample(pairs).collect()[0], compare.mann_whitney(pairs).collect()[0]
     grid = np.union1d(a, b)
     assert ks.ks_stat == pytest.approx(max(abs((a <= v).mean() - (b <= v).mean()) for v in grid))
@@ -116,13 +117,42 @@ def test_two_samples(spark):
     assert ks.ks_p == pytest.approx(2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * x * x) for k in range(1, 60)))
 
 
+@pytest.mark.parametrize("digits", [64, 1 << 16])
+def test_two_samples_of_any_shape(spark, monkeypatch, digits):
+    monkeypatch.setattr(bins, "DIGITS", digits)
+    rng = np.random.default_rng(digits)
+    columns = {
+        "same": (rng.normal(size=150), rng.normal(size=90)), "shifted": (rng.random(150), rng.random(90) + 0.3),
+        "ties": (rng.integers(0, 3, 150).astype(float), rng.integers(0, 4, 90).astype(float)),
+        "apart": (np.full(150, 2.0), np.full(90, -5.0)), "close": (1 + rng.integers(0, 9, 150) * 2.0**-50, 1 + rng.integers(2, 12, 90) * 2.0**-50),
+    }
+    rows = [("a", *[float(c[0][i]) for c in columns.values()], 1.0) for i in range(150)] + [("b", *[float(c[1][i]) for c in columns.values()], None) for i in range(90)]
+    df = spark.createDataFrame(rows + [("c", *[9.0] * 6)], "side string, " + ", ".join(f"{c} double" for c in columns) + ", lone double").repartition(4)
+    pairs = compare.paired_bins(df, "side", "a", "b", [*columns, "lone"])
+    ks, mw = ({r.metric: r for r in f(pairs).collect()} for f in (compare.ks_two_sample, compare.mann_whitney))
+    assert set(ks) == set(mw) == set(columns)
+    for name, (a, b) in columns.items():
+        assert ks[name].ks_stat == pytest.approx(max(abs((a <= v).mean() - (b <= v).mean()) for v in np.union1d(a, b)))
+        assert mw[name].u_stat == pytest.approx(sum((x > b).sum() + 0.5 * (x == b).sum() for x in a))
+
+
+def test_distribution_functions_cut_few_bins(spark, monkeypatch):
+    """Bins that cannot hold the largest distance are not counted finer."""
+    monkeypatch.setattr(bins, "DIGITS", 64)
+    sizes, real = [], compare.materialise
+    monkeypatch.setattr(compare, "materialise", lambda df: sizes.append(df.count()) or real(df))
+    df = spark.range(100_000).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("side"), (F.rand(1) + 0.2 * (F.col("id") % 2)).alias("x"))
+    assert 0.18 < compare.ks_two_sample(compare.paired_bins(df, "side", "a", "b", ["x"])).collect()[0].ks_stat < 0.22
+    assert sum(sizes) < 20_000
+
+
 def test_equal_samples_are_not_significant(spark):
     data = [(s, float(x)) for s in "ab" for x in range(30)]
-    pairs = compare.paired_counts(spark.createDataFrame(data, "side string, x double"), "side", "a", "b", ["x"])
+    pairs = compare.paired_bins(spark.createDataFrame(data, "side string, x double"), "side", "a", "b", ["x"])
     ks, mw = compare.ks_two_sample(pairs).collect()[0], compare.mann_whitney(pairs).collect()[0]
     assert ks.ks_stat == 0 and ks.ks_p == 1.0 and not ks.significant and mw.u_stat == 450 and mw.mw_p == pytest.approx(1)
     one_value = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "side string, x double")
-    assert compare.mann_whitney(compare.paired_counts(one_value, "side", "a", "b", ["x"])).collect()[0].mw_p == 1.0
+    assert compare.mann_whitney(compare.paired_bins(one_value, "side", "a", "b", ["x"])).collect()[0].mw_p == 1.0
 
 
 def test_vocabularies(spark):

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexloom.operators import health, sampling, scan
+from lexloom.operators import bins, health, sampling, scan
 
 
 @pytest.mark.parametrize("partitions", [1, 7])
@@ -113,7 +113,7 @@ def test_describe_is_the_same_for_every_type(spark):
 
 
 @pytest.mark.parametrize("kind", ["spread", "ties", "two", "heavy"])
-def test_percentiles_beyond_the_sketch(spark, kind):
+def test_percentiles_of_groups(spark, kind):
     rng = np.random.default_rng(3)
     n = 20_000
     v = {
@@ -130,18 +130,53 @@ def test_percentiles_beyond_the_sketch(spark, kind):
         assert got[g].std == pytest.approx(part.std(ddof=1), abs=1e-12) and got[g]["count"] == len(part)
 
 
-def test_percentiles_shuffle_few_values(spark):
-    from lexloom.operators import scan
+@pytest.mark.parametrize("digits", [64, 1 << 16])
+def test_bins_are_cut_until_a_quantile_is_known(spark, monkeypatch, digits):
+    monkeypatch.setattr(bins, "DIGITS", digits)
+    rng = np.random.default_rng(digits)
+    for v in (
+        rng.normal(size=501) * 10.0 ** rng.integers(-300, 300, 501), rng.random(400), np.array([-0.0, 0.0, 5e-324, -5e-324, 1e308, -1e308]),
+        np.array([1.7e308, 1.79e308, np.inf, np.inf, 1.0, -np.inf]), np.nextafter(1.0, 2.0) ** np.arange(40), np.array([4.0]),
+    ):
+        df = spark.createDataFrame([(float(x),) for x in v] + [(None,)], "v double").repartition(3)
+        got = bins.summaries(bins.stored_values(df, ["v"]), (0.0, 0.25, 0.5, 0.75, 1.0), ["metric"]).collect()[0]
+        at, places = np.sort(v), np.array([0, 0.25, 0.5, 0.75, 1]) * (len(v) - 1)
+        ends = [(at[int(np.floor(p))], at[int(np.ceil(p))], p % 1) for p in places]
+        want = [a if a == b else a + (b - a) * w for a, b, w in ends]
+        assert [got[f"q{i}"] for i in range(5)] == pytest.approx(list(want), rel=1e-12)
+        assert got["count"] == len(v) and got["min"] == v.min() and got["max"] == v.max()
 
-    df = spark.range(200_000).select(F.rand(1).alias("value"), F.lit("v").alias("metric"))
-    kept = []
-    rank = scan.weighted_percentiles
-    scan.weighted_percentiles = lambda counts, *a: kept.append(counts.count()) or rank(counts, *a)
-    try:
-        found = scan.exact_percentiles(scan.materialise(df), (0.25, 0.5, 0.75), ["metric"]).collect()
-    finally:
-        scan.weighted_percentiles = rank
-    assert kept[0] < 200_000 * 0.05 and abs(found[0].q1 - 0.5) < 0.01
+
+def test_not_a_number_comes_last(spark):
+    df = spark.createDataFrame([(float(x),) for x in (1, 2, 3)] + [(float("nan"),)] * 2, "v double")
+    got = bins.summaries(bins.stored_values(df, ["v"]), (0.0, 0.5, 1.0), ["metric"]).collect()[0]
+    assert (got.q0, got.q1) == (1.0, 3.0) and np.isnan(got.q2)
+
+
+def test_bins_never_fall_as_values_grow(spark):
+    rng = np.random.default_rng(8)
+    v = sorted([*rng.normal(size=3000) * 10.0 ** rng.integers(-320, 308, 3000), float("inf"), -float("inf"), 0.0, 1e300, -1e300])
+    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(v)], "i int, v double")
+    digits = [r.d for r in df.select("i", bins.coarse(F.col("v")).alias("d")).orderBy("i").collect()]
+    assert digits == sorted(digits) and max(digits) < 1 << 20
+
+
+def test_quartiles_exchange_bins_not_values(spark, monkeypatch):
+    sizes, real = [], bins.materialise
+
+    def kept(df):
+        out = real(df)
+        sizes.append((out.count(), "value" in out.columns))
+        return out
+
+    df = spark.range(200_000).select(F.rand(1).alias("v"))
+    monkeypatch.setattr(bins, "materialise", kept)
+    found = health.describe(df, ["v"])
+    assert abs(found.collect()[0].p50 - 0.5) < 0.01
+    # The column itself, its coarse bins, and those that hold a quartile.
+    assert sizes[0][0] == 200_000 and max(n for n, _ in sizes[1:]) < 500 and not any(v for _, v in sizes)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Exchange" in x and "value" in x]
 
 
 def test_samples_narrow_their_buckets(spark, monkeypatch):
@@ -180,6 +215,23 @@ def test_long_top_lists_meet_in_parts(spark):
         assert got == [(i + 1, *w) for i, w in enumerate(want)]
 
 
+@pytest.mark.parametrize("k, tied", [(40, 50), (700, 30), (1500, 10), (5000, 100)])
+def test_long_top_lists_read_few_words(spark, monkeypatch, k, tied):
+    """Words below the count that fills a group's list never meet; many of one count are thinned in rounds."""
+    from lexloom.operators import lexical
+
+    monkeypatch.setattr(lexical, "GROUP_LIMIT", 1)
+    monkeypatch.setattr(lexical, "TIED", tied)
+    words = [(g, f"w{i}", 1 + (50 if i < 9 else 0) + i % 3 * (i % 5 == 0)) for g in ("a", None, "b") for i in range({"a": 4000, None: 900, "b": 3}[g])]
+    counts = spark.createDataFrame(words, "g string, word string, n long").repartition(5)
+    got = sorted((str(r.g), r["rank"], r.word, r.n) for r in lexical.top_words(counts, ["g"], k).collect())
+    want = []
+    for g in ("a", None, "b"):
+        best = sorted((-n, w) for h, w, n in words if h == g)[:k]
+        want += [(str(g), i + 1, w, -n) for i, (n, w) in enumerate(best)]
+    assert got == sorted(want)
+
+
 def test_across_texts_cuts_texts_once(spark):
     from lexloom.operators import lexical
 
