@@ -67,7 +67,7 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule], give=lambda r: r.
 
 @dataclass
 class UrlModel:
-    """Trees and the smoothed block rate of host suffixes."""
+    """Trees and the smoothed block rate of suffixes."""
 
     forest: trees.Forest
     suffixes: dict[str, tuple[int, int]]
@@ -75,9 +75,11 @@ class UrlModel:
 
 
 def suffixes_of(url: str) -> list[str]:
-    """The last label, and the last two labels, of the host."""
-    labels = re.split(r"[/?#]", url.partition("://")[2], maxsplit=1)[0].lower().split(".")
-    return [labels[-1], ".".join(labels[-2:])]
+    """The last label, and the last two labels, of the host; the last label with the first part of the path."""
+    rest = url.partition("://")[2]
+    labels = re.split(r"[/?#]", rest, maxsplit=1)[0].lower().split(".")
+    section = re.match(r"[^/?#]*/([^/?#]*)/", rest)
+    return [labels[-1], ".".join(labels[-2:]), f"{labels[-1]}/{section[1] if section else ''}"]
 
 
 def _entropy(s: str) -> float:

@@ -361,3 +361,28 @@ def test_a_repeated_key_leaves_the_sample_bounded_and_whole(spark):
     assert len(sample) == sum(not out_of_sample(i) for i, _, _ in known)
     again = common.sampled_texts(docs.repartition(3, "text"), "doc_id", "text", labels, "y", 40).collect()
     assert sorted(sample) == sorted(again)
+
+
+def test_trees_meet_rules_on_held_out_urls(spark):
+    """A fifth of the urls that rules decide are not learned from."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    ruled = urls.judge_urls(pages, RULES, model=urls.fit_urls(pages.limit(0).select("url", F.lit(0).alias("y")))).where("rule is not null")
+    known = ruled.join(pages, "page_id").select("url", (F.col("verdict") == "block").cast("int").alias("y")).distinct().cache()
+    apart = F.pmod(F.crc32(F.col("url").cast("binary")), F.lit(5)) == 0
+    model = urls.fit_urls(known.where(~apart))
+    held = known.where(apart).collect()
+    right = sum((model.forest.score(np.array([urls.lexical(r.url, model)], float))[0] >= urls.BLOCK) == (r.y == 1) for r in held)
+    assert len(held) > 50 and 0 < sum(r.y for r in held) < len(held)
+    most = max(sum(r.y for r in held), sum(1 - r.y for r in held))
+    assert right >= 0.9 * len(held) > most, (right / len(held), most / len(held))
+
+
+def test_a_sample_has_a_bar_before_it_leaves_the_tasks(spark):
+    rows = spark.range(20_000).select((F.col("id") % 9_000).alias("k"), F.lit("x").alias("d")).union(spark.range(9_000).select(F.lit(3).alias("k"), F.lit("x").alias("d")))
+    few = common.smallest(rows, 50, "k")
+    assert len(few) == 50 == len({r.k for r in few})
+    hashes = {r.k: r.h for r in rows.distinct().select("k", F.xxhash64("k").alias("h")).collect()}
+    bar = int(1.25 * 50 / 9_000 * (1 << 30))
+    assert all(hashes[r.k] % (1 << 30) < 1.3 * bar for r in few)
+    assert sorted(r.k for r in common.smallest(rows.where("k < 20"), 50, "k")) == list(range(20))
+    assert common.smallest(rows.limit(0), 50, "k") == []
