@@ -658,7 +658,7 @@ def bigrams(spark, sf_dir):
 
 @query
 def top_bigrams_across_texts(spark, sf_dir):
-    grams = lexical.ngrams(fx.texts(spark, sf_dir), 2, ["origin"], across_texts=True, key="doc_id")
+    grams = lexical.frequent_ngrams(fx.texts(spark, sf_dir), 2, 20, ["origin"], across_texts=True, key="doc_id")
     return lexical.top_ngrams(grams, ["origin"], 20)
 
 
@@ -669,19 +669,19 @@ def trigrams_across_texts(spark, sf_dir):
 
 @query
 def top_trigrams(spark, sf_dir):
-    return lexical.top_ngrams(lexical.ngrams(fx.texts(spark, sf_dir), 3), (), 20)
+    return lexical.top_ngrams(lexical.frequent_ngrams(fx.texts(spark, sf_dir), 3, 20), (), 20)
 
 
 @query
 def ngram_overlap(spark, sf_dir):
-    grams = materialise(lexical.ngrams(fx.texts(spark, sf_dir), 2, ["origin"], across_texts=True, key="doc_id"))
+    grams = lexical.frequent_ngrams(fx.texts(spark, sf_dir), 2, 5000, ["origin"], across_texts=True, key="doc_id")
     return lexical.ngram_overlap(*[grams.where(F.col("origin") == side) for side in (fx.LEFT, fx.RIGHT)])
 
 
 @query
 def new_genre_bigrams(spark, sf_dir):
     t = labels.flag_new(fx.texts(spark, sf_dir), fx.genre_table(spark, sf_dir)).where("is_new")
-    return lexical.top_ngrams(lexical.ngrams(t, 2, across_texts=True, key="doc_id"), (), 15)
+    return lexical.top_ngrams(lexical.frequent_ngrams(t, 2, 15, across_texts=True, key="doc_id"), (), 15)
 
 
 @query

@@ -15,6 +15,8 @@ from lexloom.vocab import STOPWORDS
 
 GROUP_LIMIT = 1_000  # up to so many rows a group, Spark limits groups before it shuffles them
 TIED = 100_000  # words of one count that one task puts in order, at most, if k is small
+MIN_SLOTS = 65_536  # hash slots that n-grams of a group are added up in, at least
+MAX_SLOTS = 200_000  # slots, with their group, that are sent to every task
 CHUNK = 10_000  # neighbouring texts ranked together when n-grams may cross text ends
 
 
@@ -248,13 +250,25 @@ def ngrams(
     each text, so whole texts are never sorted. Texts are cut into words once, and the
     words stored as a line each; n-grams and outer words are read off the lines.
     """
+    grams = _ngram_rows(df, n, by, stopwords, across_texts, key, False)
+    return grams.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
+
+
+def _ngram_rows(
+    df: DataFrame, n: int, by: Sequence[str], stopwords: Sequence[str] | None, across_texts: bool, key: str | None,
+    again: bool,
+) -> DataFrame:
+    """A row for each n-gram; with `again`, words and what crosses text ends are stored for several readings."""
     tokens = content_tokens(T.tokens(F.col("text")), stopwords)
+    across = across_texts and n > 1
     # Exploding a named column would let the optimizer build it a second time for a filter.
-    if not across_texts or n == 1:
-        grams = df.select(*by, F.explode(let(tokens, lambda t: _ngrams_of(t, n))).alias("ngram"))
-        return grams.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
-    lines = materialise(df.select(*by, key, F.array_join(tokens, " ").alias("line")).where(F.col("line") != ""))
+    if not across and not again:
+        return df.select(*by, F.explode(let(tokens, lambda t: _ngrams_of(t, n))).alias("ngram"))
+    kept = [*by, key] if across else by
+    lines = materialise(df.select(*kept, F.array_join(tokens, " ").alias("line")).where(F.col("line") != ""))
     grams = lines.select(*by, F.explode(let(F.split("line", " "), lambda t: _ngrams_of(t, n))).alias("ngram"))
+    if not across:
+        return grams
     edges = materialise(
         lines.select(
             *by,
@@ -264,8 +278,73 @@ def ngrams(
             F.lit(1).cast("bigint").alias("one"),
         )
     )
-    grams = grams.unionByName(_crossing_ngrams(edges, n, by, key))
-    return grams.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
+    crossing = _crossing_ngrams(edges, n, by, key)
+    return grams.unionByName(materialise(crossing) if again else crossing)
+
+
+def frequent_ngrams(
+    df: DataFrame,
+    n: int,
+    k: int = 20,
+    by: Sequence[str] = (),
+    stopwords: Sequence[str] | None = STOPWORDS,
+    across_texts: bool = False,
+    key: str | None = None,
+    slots: int | None = None,
+) -> DataFrame:
+    """Exact counts of the n-grams that `ngrams` counts as often as the k-th of their group or more often.
+
+    No count of every distinct n-gram is made. A first pass adds up n-grams by a hash slot;
+    a slot's total bounds the count of each n-gram in it from above. The n-grams of the
+    fullest slots are then counted by name, and the k-th count among them bounds the true
+    k-th from below. Slots whose total does not reach it cannot hold one of the k; where
+    others were left out they are counted too, and then nothing can be missing. Tasks send
+    on at most `slots` totals a group (64 k, at least 65,536 unless given), and then only
+    n-grams of the slots that count. All ties at the k-th count are in the result.
+    """
+    slots = slots or max(MIN_SLOTS, 64 * k)
+    rows = _ngram_rows(df, n, by, stopwords, across_texts, key, True)
+    rows = rows.withColumn("_slot", F.pmod(F.xxhash64("ngram"), F.lit(slots)).cast("int"))
+    totals = materialise(rows.groupBy(*by, "_slot").agg(F.count("*").alias("total")))
+    fullest = _kth(totals, "total", by, 2 * k).withColumnRenamed("kth", "_from")
+    bounded = materialise(_with_bound(totals, fullest, by).fillna(0, ["_from"]))
+    counted = _count_slots(rows, bounded.where(F.col("total") >= F.col("_from")), by)
+    least = materialise(_kth(counted, "n", by, k))
+    left = _with_bound(bounded.where(F.col("total") < F.col("_from")), least, by)
+    left = materialise(left.where(F.col("total") >= F.coalesce("kth", F.lit(0))).drop("kth"))
+    if not left.isEmpty():
+        counted = counted.unionByName(_count_slots(rows, left, by))
+        least = materialise(_kth(counted, "n", by, k))
+    return _with_bound(counted, least, by).where(F.col("n") >= F.coalesce("kth", F.lit(0))).drop("kth")
+
+
+def _kth(df: DataFrame, value: str, by: Sequence[str], k: int) -> DataFrame:
+    """The k-th largest value of each group as `kth`; groups of fewer rows are left out."""
+    often = df.groupBy(*by, value).agg(F.count("*").alias("_rows"))
+    down = Window.partitionBy(*by).orderBy(F.desc(value))
+    reached = often.withColumn("_reached", F.sum("_rows").over(down)).where(F.col("_reached") >= k)
+    return reached.groupBy(*by).agg(F.max(value).alias("kth"))
+
+
+def _with_bound(df: DataFrame, bound: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the bound of a row's group, null where the group has none."""
+    if by:
+        return null_safe_join(df, F.broadcast(bound) if is_vocabulary(bound) else bound, by, "left")
+    return df.withColumn(bound.columns[0], bound.agg(F.max(bound.columns[0])).scalar())
+
+
+def _count_slots(rows: DataFrame, slots: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Counts of the n-grams that fall in the slots, stored.
+
+    More slots than are sent to every task meet n-grams that are counted already, as all of them would be.
+    """
+    chosen = slots.select(*by, "_slot")
+    at = [*by, "_slot"]
+    if chosen.limit(MAX_SLOTS + 1).count() <= MAX_SLOTS:
+        rows = null_safe_join(rows, F.broadcast(chosen), at, "left_semi")
+        return materialise(rows.groupBy(*by, "ngram").agg(F.count("*").alias("n")))
+    every = rows.groupBy(*at, "ngram").agg(F.count("*").alias("n"))
+    return materialise(null_safe_join(every, chosen, at, "left_semi").drop("_slot"))
 
 
 def _crossing_ngrams(edges: DataFrame, n: int, by: Sequence[str], key: str) -> DataFrame:

@@ -46,7 +46,7 @@ def audit_genres(df: DataFrame, genres: DataFrame, key: str, k: int = 20) -> dic
     """
     words = materialise(lexical.word_counts(df, ["genre"]))
     rich = materialise(labels.flag_new(lexical.lexical_richness(df, ["genre"], words), genres))
-    grams = materialise(lexical.ngrams(labels.flag_new(df, genres).where("is_new"), 2, across_texts=True, key=key))
+    grams = lexical.frequent_ngrams(labels.flag_new(df, genres).where("is_new"), 2, across_texts=True, key=key)
     return {
         "distribution": labels.genre_distribution(df, genres),
         "entropy": labels.genre_entropy(df),
@@ -61,13 +61,13 @@ def audit_genres(df: DataFrame, genres: DataFrame, key: str, k: int = 20) -> dic
 
 
 def audit_pair(df: DataFrame, key: str, by: str, left: str, right: str) -> dict[str, DataFrame]:
-    """Word profiles of both corpora and the tests between them; words and bigrams are counted once."""
+    """Word profiles of both corpora and the tests between them; words are counted once, n-grams as far as lists show them."""
     words = materialise(lexical.word_counts(df, [by]))
     rows = health.enrich(lexical.text_quality(df))
     cols = [*health.NUMERIC, *lexical.QUALITY]
     rows = materialise(rows.select(by, *cols))
     pairs = compare.paired_bins(rows, by, left, right, cols)
-    bigrams = materialise(lexical.ngrams(df, 2, [by], across_texts=True, key=key))
+    bigrams = lexical.frequent_ngrams(df, 2, 5_000, [by], across_texts=True, key=key)
     sides = [bigrams.where(F.col(by) == side) for side in (left, right)]
     return {
         "token_stats": lexical.token_stats(words, [by]),
@@ -78,7 +78,7 @@ def audit_pair(df: DataFrame, key: str, by: str, left: str, right: str) -> dict[
         "richness": lexical.lexical_richness(df, [by], words),
         "top_bigrams": lexical.top_ngrams(bigrams, [by]),
         "bigram_overlap": lexical.ngram_overlap(*sides),
-        "trigrams": lexical.top_ngrams(lexical.ngrams(df, 3, [by]), [by]),
+        "trigrams": lexical.top_ngrams(lexical.frequent_ngrams(df, 3, by=[by]), [by]),
         "means": compare.compare_means(rows, by, left, right, cols),
         "ks": compare.ks_two_sample(pairs),
         "mann_whitney": compare.mann_whitney(pairs),

@@ -55,6 +55,63 @@ def test_ngrams_within_texts(corpus):
     assert got == want
 
 
+def counted_ngrams(data, n):
+    want = Counter()
+    for _, t, g in data:
+        s = tok(t or "")
+        want.update((g, " ".join(s[i : i + n])) for i in range(len(s) - n + 1))
+    return want
+
+
+def at_least_kth(want, k):
+    """All n-grams counted as often as their group's k-th, or all of a group with fewer."""
+    least = {}
+    for g in {g for g, _ in want}:
+        down = sorted((n for (h, _), n in want.items() if h == g), reverse=True)
+        least[g] = down[k - 1] if len(down) >= k else 0
+    return {key: n for key, n in want.items() if n >= least[key[0]]}
+
+
+@pytest.mark.parametrize("k, slots", [(2, 9), (8, 300), (5, None), (1_000, 50)])
+def test_frequent_ngrams(spark, monkeypatch, k, slots):
+    rng = np.random.default_rng(k)
+    words = [a + b for a in "bcdfg" for b in ("a", "e", "i")]
+    texts = [" ".join(rng.choice(words, 9, p=np.arange(15, 0, -1) / 120)) for _ in range(150)]
+    data = [(i, t, [None, "g0", "g1"][i % 3]) for i, t in enumerate(texts)] + [(900, None, "g0"), (901, "", "g9")]
+    df = spark.createDataFrame(data, "id int, text string, g string").repartition(5)
+    want = at_least_kth(counted_ngrams(data, 2), k)
+    for most in (200_000, 3):  # beyond MAX_SLOTS the slots are joined and not broadcast
+        monkeypatch.setattr(lexical, "MAX_SLOTS", most)
+        got = [((r.g, r.ngram), r.n) for r in lexical.frequent_ngrams(df, 2, k, ["g"], None, slots=slots).collect()]
+        assert len(got) == len(want) and dict(got) == want
+    whole = [(i, t, None) for i, t, _ in data]
+    got = {(None, r.ngram): r.n for r in lexical.frequent_ngrams(df, 2, k, (), None, slots=slots).collect()}
+    assert got == at_least_kth(counted_ngrams(whole, 2), k)
+
+
+def test_frequent_ngrams_across_texts(corpus, monkeypatch):
+    monkeypatch.setattr(lexical, "CHUNK", 16)
+    df, data = corpus
+    got = {(r.g, r.ngram): r.n for r in lexical.frequent_ngrams(df, 3, 4, ["g"], across_texts=True, key="id", slots=8).collect()}
+    want = Counter()
+    for g in ("g0", "g1"):
+        s = stream(data, g, True)
+        want.update((g, " ".join(s[i : i + 3])) for i in range(len(s) - 2))
+    assert got == at_least_kth(want, 4)
+
+
+def test_frequent_ngrams_count_few_by_name(spark, monkeypatch):
+    """Rare n-grams are added up by slot only; an empty table has none."""
+    rare = [(i, f"common pair x{i:05d}y".replace("0", "o").translate(str.maketrans("123456789", "abcdefghi"))) for i in range(3000)]
+    df = spark.createDataFrame(rare, "id int, text string")
+    sizes, count = [], lexical._count_slots
+    monkeypatch.setattr(lexical, "_count_slots", lambda *a: sizes.append(count(*a)) or sizes[-1])
+    got = lexical.frequent_ngrams(df, 2, 1, stopwords=None).collect()
+    assert [tuple(r) for r in got] == [("common pair", 3000)]
+    assert len(sizes) == 1 and sizes[0].count() < 300
+    assert lexical.frequent_ngrams(df.limit(0), 2, 5).collect() == []
+
+
 @pytest.mark.parametrize("segment", [7, 50, 10_000])
 def test_msttr(corpus, segment):
     df, data = corpus
