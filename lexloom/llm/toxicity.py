@@ -50,68 +50,60 @@ REPORTS = (
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;\n]+")
 _BREAK = -1
-WIDTH = 9
+WIDTH = 7
 
 
-@dataclass
-class Machine:
-    """One transducer: states, and for each state and class the next state and the weight it emits."""
-
-    step: np.ndarray
-    emit: np.ndarray
-
-
-def _counter(start: int, classes: int = 6) -> Machine:
-    """State k > 0 says that a word of class `start` was seen at most REACH words ago."""
+def _counter(start: int, classes: int = 6) -> np.ndarray:
+    """Next states by class: state k > 0 says that a word of class `start` was read at most REACH words ago."""
     step = np.zeros((REACH + 1, classes), np.int64)
     for s in range(REACH + 1):
         step[s] = max(0, s - 1)
         step[s, start] = REACH
-    return Machine(step, np.zeros((REACH + 1, classes)))
+    return step
 
 
-def _flag(start: int, classes: int = 6) -> Machine:
-    """State 1 from a word of class `start` to the end of the clause."""
+def _flag(start: int, classes: int = 6) -> np.ndarray:
+    """State 1 from a word of class `start` on to where the reading ends."""
     step = np.array([[0] * classes, [1] * classes])
     step[0, start] = 1
-    return Machine(step, np.zeros((2, classes)))
+    return step
 
 
-def _matcher(word: int, classes: int = 6) -> Machine:
-    """Emits 1 for each word of a class; its state says whether one was seen."""
-    step = np.array([[0] * classes, [1] * classes])
-    step[0, word] = 1
-    emit = np.zeros((2, classes))
-    emit[:, word] = 1
-    return Machine(step, emit)
+def _product(machines: list[np.ndarray]) -> tuple[np.ndarray, list[tuple[int, ...]]]:
+    """All machines run at once: next states, and what states of theirs a state stands for."""
+    sizes = [len(m) for m in machines]
+    parts = [tuple(int(p) for p in np.unravel_index(s, sizes)) for s in range(int(np.prod(sizes)))]
+    step = [[np.ravel_multi_index([m[p, c] for m, p in zip(machines, at)], sizes) for c in range(6)] for at in parts]
+    return np.array(step), parts
 
 
-#: What modifiers make of a match.
-NEGATED, REPORTED, TARGETED = 0.3, 0.5, 1.5
+#: What modifiers make of a match, and what a threat weighs whose target stands farther off.
+NEGATED, REPORTED, TARGETED, FAR = 0.3, 0.5, 1.5, 0.5
 
 
-def compose() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The product of the five transducers as tables: next state, weight of an insult, weight of a threat.
+def compose() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The grammar as tables: next states from the left and from the right, weights of insults and of threats.
 
-    A match is scaled by the states that the modifiers are in: less after a negation or
-    in reported speech, more near a target. A threat without a target in its clause weighs nothing.
+    A clause is read in both directions, as what modifies a match may stand before or after it. Forwards
+    run transducers for targets (near, and anywhere), negation and reported speech, backwards those for
+    targets and reported speech. A match is weighed by the pair of states that meet at it: less after a
+    negation within REACH words or in a clause of reported speech; an insult more with a target within
+    REACH words; a threat in full with such a target, by FAR with one elsewhere in its clause, and
+    else not at all. Modifiers multiply, so a negated or reported threat always weighs less than a plain one.
     """
-    machines = [_matcher(INSULT), _matcher(THREAT), _counter(TARGET), _counter(NEGATION), _flag(REPORT)]
-    sizes = [len(m.step) for m in machines]
-    total = int(np.prod(sizes))
-    step = np.zeros((total, 6), np.int64)
-    insult, threat = np.zeros((total, 6)), np.zeros((total, 6))
-    for state in range(total):
-        parts = np.unravel_index(state, sizes)
-        for c in range(6):
-            step[state, c] = np.ravel_multi_index([m.step[s, c] for m, s in zip(machines, parts)], sizes)
-            scale = (NEGATED if parts[3] else 1) * (REPORTED if parts[4] else 1)
-            insult[state, c] = machines[0].emit[parts[0], c] * scale * (TARGETED if parts[2] else 1)
-            threat[state, c] = machines[1].emit[parts[1], c] * scale * bool(parts[2])
-    return step, insult, threat
+    left_step, left = _product([_counter(TARGET), _flag(TARGET), _counter(NEGATION), _flag(REPORT)])
+    right_step, right = _product([_counter(TARGET), _flag(TARGET), _flag(REPORT)])
+    insult, threat = np.zeros((len(left), len(right))), np.zeros((len(left), len(right)))
+    for i, (near, aimed, negated, reported) in enumerate(left):
+        for j, (near_after, aimed_after, reported_after) in enumerate(right):
+            scale = (NEGATED if negated else 1) * (REPORTED if reported or reported_after else 1)
+            close = near or near_after
+            insult[i, j] = scale * (TARGETED if close else 1)
+            threat[i, j] = scale * (1 if close else FAR if aimed or aimed_after else 0)
+    return left_step, right_step, insult, threat
 
 
-_STEP, _INSULT_OUT, _THREAT_OUT = (t.tolist() for t in compose())
+_LEFT, _RIGHT, _INSULT_OUT, _THREAT_OUT = (t.tolist() for t in compose())
 
 
 @dataclass
@@ -119,7 +111,7 @@ class Grammar:
     """Word classes with weights, and the logistic weights of the clause scores."""
 
     words: dict[str, tuple[int, float]]
-    stems: dict[str, float]
+    stems: dict[str, tuple[int, float]]
     weights: np.ndarray = field(default_factory=lambda: np.zeros(WIDTH + 1))
     centre: np.ndarray = field(default_factory=lambda: np.zeros(WIDTH))
     scale: np.ndarray = field(default_factory=lambda: np.ones(WIDTH))
@@ -128,8 +120,8 @@ class Grammar:
     def look(self, word: str) -> tuple[int, float]:
         found = self.words.get(word)
         if found is None:
-            weight = max((self.stems.get(word[:n], 0.0) for n in STEMS if len(word) >= n), default=0.0)
-            found = (INSULT, weight) if weight > 0 else (OTHER, 0.0)
+            known = [self.stems[word[:n]] for n in STEMS if len(word) >= n and word[:n] in self.stems]
+            found = max(known, key=lambda k: (k[1], -k[0]), default=(OTHER, 0.0))
         if len(self.seen) > 200_000:
             self.seen.clear()
         self.seen[word] = found
@@ -138,8 +130,8 @@ class Grammar:
     def __getstate__(self):
         return {**self.__dict__, "seen": {}}
 
-    def clauses(self, text: str | None) -> tuple[list[tuple[float, float, int]], int]:
-        """(insult weight, threat weight, hits) of each clause with a hit, and the number of words."""
+    def clauses(self, text: str | None) -> tuple[list[tuple[float, float]], int]:
+        """(insult weight, threat weight) of each clause with a match, and the number of words."""
         if not text:
             return [], 0
         tokens = _WORD.findall(text.lower())
@@ -156,27 +148,18 @@ class Grammar:
             b = i
             while b < len(tokens) and not _is_break(tokens[b]):
                 b += 1
-            done, state, insult, threat, n = b, 0, 0.0, 0.0, 0
-            near = any(c == TARGET for c, _ in classes[a:b])
-            for c, w in classes[a:b]:
-                if c in (INSULT, THREAT):
-                    n += 1
-                    insult += w * _INSULT_OUT[state][c]
-                    threat += w * (_THREAT_OUT[state][c] or (0.5 * near if c == THREAT else 0))
-                state = _STEP[state][c]
-            out.append((insult, threat, n))
+            done = b
+            out.append(_weigh(classes[a:b]))
         return out, len(tokens)
 
     def features(self, text: str | None) -> np.ndarray:
+        """What the clauses weigh: the heaviest two and the sum, threats among them, and the sum by length."""
         found, n = self.clauses(text)
-        if not found:
-            return np.array([0, 0, 0, 0, 0, 0, 0, 0, math.log1p(n)], float)
-        insult = [f[0] for f in found]
+        clauses = sorted((f[0] + f[1] for f in found), reverse=True) + [0.0, 0.0]
         threat = [f[1] for f in found]
-        hits = sum(f[2] for f in found)
         return np.array([
-            max(insult), math.log1p(sum(insult)), max(threat), math.log1p(sum(threat)), math.log1p(len(found)),
-            math.log1p(hits), math.log1p(100 * hits / n), min(hits, 2), math.log1p(n),
+            clauses[0], clauses[1], math.log1p(sum(clauses)), max(threat, default=0.0), math.log1p(sum(threat)),
+            math.log1p(100 * sum(clauses) / max(n, 1)), math.log1p(n),
         ])
 
     def matrix(self, texts) -> np.ndarray:
@@ -187,6 +170,22 @@ class Grammar:
         return 1 / (1 + np.exp(-np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
+def _weigh(classes: list[tuple[int, float]]) -> tuple[float, float]:
+    """Insult and threat weight of a clause of (class, weight) words."""
+    after, state = [0] * len(classes), 0
+    for i in range(len(classes) - 1, -1, -1):
+        after[i] = state
+        state = _RIGHT[state][classes[i][0]]
+    state, insult, threat = 0, 0.0, 0.0
+    for i, (c, w) in enumerate(classes):
+        if c == INSULT:
+            insult += w * _INSULT_OUT[state][after[i]]
+        elif c == THREAT:
+            threat += w * _THREAT_OUT[state][after[i]]
+        state = _LEFT[state][c]
+    return insult, threat
+
+
 def _is_break(token: str) -> bool:
     return token[0] in ".!?;\n"
 
@@ -194,7 +193,11 @@ def _is_break(token: str) -> bool:
 def seed_words() -> dict[str, tuple[int, float]]:
     out = {w: (TARGET, 0.0) for w in TARGETS}
     out |= {w: (NEGATION, 0.0) for w in NEGATIONS} | {w: (REPORT, 0.0) for w in REPORTS}
-    return out | {w: (THREAT, 1.0) for w in THREATS} | {w: (INSULT, 2.0) for w in INSULTS}
+    return out | {w: (THREAT, 2.0) for w in THREATS} | {w: (INSULT, 2.0) for w in INSULTS}
+
+
+def _kind(term: str) -> int:
+    return THREAT if term.startswith(tuple(THREATS)) else INSULT
 
 
 def terms(text: str | None) -> set[str]:
@@ -226,8 +229,9 @@ def fit_toxicity(
 ) -> Grammar:
     """Learn lexicon and weights from at most `bound` labelled documents that are not held out.
 
-    A word, or a word beginning, joins the insults if at least SUPPORT toxic documents
-    hold it and its smoothed log-odds against the others reach ODDS. Executors count the
+    A word, or a word beginning, joins the matches if at least SUPPORT toxic documents
+    hold it and its smoothed log-odds against the others reach ODDS: as a threat if it is
+    one of the seeds or begins with one, else as an insult. Executors count the
     terms of toxic documents, partly summed inside tasks; only those with support, a number
     that the sample bounds, are then counted in the others. Without both labels in the
     sample the seeds stay, and the weights are those of the share of ones.
@@ -253,10 +257,10 @@ def fit_toxicity(
     # Beginnings need twice the support of words: each stands for many of them.
     for term, n, weight in chosen:
         if not term.endswith("*"):
-            if known.get(term, (INSULT, 0))[0] == INSULT:
-                known[term] = (INSULT, weight)
+            if known.get(term, (INSULT, 0))[0] in (INSULT, THREAT):
+                known[term] = (_kind(term), weight)
         elif n >= 2 * SUPPORT:
-            grammar.stems[term[:-1]] = weight
+            grammar.stems[term[:-1]] = (_kind(term[:-1]), weight)
 
     def measure(batches):
         for b in pieces(batches, "text"):

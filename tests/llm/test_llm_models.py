@@ -171,31 +171,91 @@ def test_languages_of_odd_rows(spark, odd):
 
 
 def test_clauses_weigh_what_surrounds_an_insult():
-    grammar = toxicity.Grammar(toxicity.seed_words(), {"lowei": 3.0})
+    grammar = toxicity.Grammar(toxicity.seed_words(), {"lowei": (toxicity.INSULT, 3.0)})
 
     def insult(text):
         return grammar.clauses(text)[0][0][0]
 
     plain = insult("what an idiot came here")
-    assert insult("you idiot") == pytest.approx(plain * toxicity.TARGETED)
+    assert insult("you idiot") == insult("idiot you") == pytest.approx(plain * toxicity.TARGETED)
     assert insult("not an idiot") == pytest.approx(plain * toxicity.NEGATED)
     assert insult("he said that idiot came") == pytest.approx(plain * toxicity.REPORTED * toxicity.TARGETED)
+    assert insult("an idiot came, the paper said") == pytest.approx(plain * toxicity.REPORTED)
     # Negation ends with its reach, and with its clause.
     assert insult("not a b c d e idiot") == pytest.approx(plain)
     assert insult("no. an idiot") == pytest.approx(plain)
     assert insult("ein loweixyz") == 3.0
-    threats = [c[1] for c in grammar.clauses("i will kill you. they kill time. kill time")[0]]
-    assert threats[0] > 0 and threats[2] == 0
     assert grammar.clauses(None) == ([], 0) and grammar.clauses("nothing here")[0] == []
 
 
+def test_negated_and_reported_threats_weigh_less():
+    grammar = toxicity.Grammar(toxicity.seed_words(), {})
+
+    def threat(text):
+        return grammar.clauses(text)[0][0][1]
+
+    plain = threat("i will kill you")
+    assert plain == threat("you i will kill") > 0 == threat("kill time")
+    assert threat("kill it as a b c d e you") == pytest.approx(plain * toxicity.FAR)
+    assert threat("i will not kill you") == threat("never kill you") == pytest.approx(plain * toxicity.NEGATED)
+    assert threat("the man said i will kill you") == pytest.approx(plain * toxicity.REPORTED)
+    assert threat("the man said i will not kill you") == pytest.approx(plain * toxicity.REPORTED * toxicity.NEGATED)
+
+
+def test_grammar_agrees_with_a_plain_reading_of_clauses():
+    """Every match is weighed by looking at all words of its clause, without states."""
+    grammar = toxicity.Grammar(toxicity.seed_words(), {"zor": (toxicity.INSULT, 2.5), "zork": (toxicity.THREAT, 2.7)})
+    rng = np.random.default_rng(3)
+    words = "idiot kill zorkly you they not never said wrote a b c d e . ! you".split()
+    reach = toxicity.REACH
+    for _ in range(400):
+        text = " ".join(rng.choice(words, rng.integers(1, 40)))
+        want = []
+        for clause in text.replace("!", ".").split("."):
+            kinds = [grammar.look(w) for w in clause.split()]
+            at = {c: [i for i, (k, _) in enumerate(kinds) if k == c] for c in range(6)}
+            total = {toxicity.INSULT: 0.0, toxicity.THREAT: 0.0}
+            for i, (c, w) in enumerate(kinds):
+                if c not in total:
+                    continue
+                if any(0 < i - j <= reach for j in at[toxicity.NEGATION]):
+                    w *= toxicity.NEGATED
+                if at[toxicity.REPORT]:
+                    w *= toxicity.REPORTED
+                near = any(abs(i - j) <= reach for j in at[toxicity.TARGET])
+                if c == toxicity.INSULT:
+                    w *= toxicity.TARGETED if near else 1
+                else:
+                    w *= 1 if near else toxicity.FAR if at[toxicity.TARGET] else 0
+                total[c] += w
+            if at[toxicity.INSULT] or at[toxicity.THREAT]:
+                want.append((total[toxicity.INSULT], total[toxicity.THREAT]))
+        got = grammar.clauses(text)[0]
+        assert len(got) == len(want) and all(g == pytest.approx(w) for g, w in zip(got, want))
+
+
+def test_states_change_scores_of_a_fitted_grammar(spark):
+    """The same words score less where they are negated or reported, and threats count with a target only."""
+    grammar = toxicity.fit_toxicity(read(spark, "documents"), read(spark, "labels"))
+
+    def score(clause):
+        return grammar.score([clause + ". " + "the a and of " * 30])[0]
+
+    assert score("you are an idiot") > score("you are not an idiot")
+    assert score("you are an idiot") > score("said that you are an idiot") > score("said nothing to you")
+    assert score("i will kill you now") > score("i will not kill you now")
+    assert score("i will kill you now") > score("i will kill time now")
+
+
 def test_composition_is_the_product_of_its_parts():
-    step, insult, threat = toxicity.compose()
-    assert step.shape == insult.shape == threat.shape and step.max() < len(step)
+    left, right, insult, threat = toxicity.compose()
+    assert insult.shape == threat.shape == (len(left), len(right))
+    assert left.max() < len(left) and right.max() < len(right)
     state = 0
     for c in (toxicity.TARGET, toxicity.NEGATION):
-        state = step[state, c]
-    assert insult[state, toxicity.INSULT] == pytest.approx(toxicity.NEGATED * toxicity.TARGETED)
+        state = left[state, c]
+    assert insult[state, 0] == pytest.approx(toxicity.NEGATED * toxicity.TARGETED)
+    assert threat[state, 0] == pytest.approx(toxicity.NEGATED)
 
 
 def test_toxicity_on_held_out_documents(spark):
