@@ -43,8 +43,56 @@ def stream_expand(
 
 
 def read_increment(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Rows added so far, with the digest of their text, `query`, `batch` and `split`."""
-    return spark.read.schema(ADDED_SCHEMA).parquet(out_dir)
+    """Rows added so far, with the digest of their text, `query`, `batch` and `split`.
+
+    Batch -n, if there is one, holds what `fold_increment` made of a query's first n batches.
+    """
+    paths = [path for found in _standing(_folders(spark, out_dir)).values() for path in found.values()]
+    if not paths:
+        return spark.createDataFrame([], ADDED_SCHEMA)
+    return spark.read.schema(ADDED_SCHEMA).option("basePath", out_dir).parquet(*paths)
+
+
+def fold_increment(spark: SparkSession, out_dir: str) -> int:
+    """Rewrite the batches of each query as one; returns how many folders were taken away.
+
+    For use between runs of the streams that write to `out_dir`, so that what a batch
+    reads of its predecessors stays a few files however many batches there were. The first
+    n batches become the folder of batch -n, which counts once it is complete and from then
+    on stands for all of them, so a fold that dies neither loses nor doubles rows; the next
+    one clears up after it. A folded batch that the stream runs again adds nothing.
+    """
+    for query, found in _standing(_folders(spark, out_dir)).items():
+        if len(found) > 1:
+            rows = read_increment(spark, out_dir).where(F.col("query") == query).drop("query", "batch")
+            rows.write.mode("overwrite").partitionBy("split").parquet(f"{out_dir}/query={query}/batch={-max(found) - 1}")
+    folders = _folders(spark, out_dir)
+    standing = _standing(folders)
+    replaced = [path for q, found in folders.items() for batch, path in found.items() if batch not in standing[q]]
+    for path in replaced:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return len(replaced)
+
+
+def _folders(spark: SparkSession, out_dir: str) -> dict[str, dict[int, str]]:
+    """The complete batch folders of each query."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/query=*/batch=*/_SUCCESS")
+    found: dict[str, dict[int, str]] = {}
+    for status in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []:
+        folder = status.getPath().getParent()
+        query = folder.getParent().getName().removeprefix("query=")
+        found.setdefault(query, {})[int(folder.getName().removeprefix("batch="))] = folder.toString()
+    return found
+
+
+def _standing(folders: dict[str, dict[int, str]]) -> dict[str, dict[int, str]]:
+    """Of each query its longest fold, and the batches after it."""
+    out = {}
+    for query, found in folders.items():
+        fold = min(found)
+        out[query] = {b: path for b, path in found.items() if b == fold or b > max(-fold - 1, -1)}
+    return out
 
 
 def stream_increment(
@@ -63,7 +111,8 @@ def stream_increment(
     its rows by the same rows. A query whose checkpoint is lost is another query: it is
     compared with every row its predecessors added, wherever they stood, and adds none of
     them again. Published and earlier digests are gathered once, at the start; a batch
-    reads the digests of its own query's batches, where they lie, and no old text.
+    reads the digests of its own query's batches, where they lie, and no old text;
+    `fold_increment` keeps those few files.
     """
     spark.createDataFrame([], ADDED_SCHEMA).write.mode("ignore").partitionBy("query", "batch", "split").parquet(out_dir)
     name = _query_name(spark, checkpoint)

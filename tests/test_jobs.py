@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -323,6 +324,44 @@ def test_lost_checkpoint_after_some_batches(spark, tmp_path, batches):
     assert sorted(r.text for r in jobs.read_increment(spark, args[3]).collect()) == want
 
 
+def test_folded_batches(spark, tmp_path):
+    published = spark.createDataFrame([("known", "train")], "text string, split string")
+    heldout = spark.createDataFrame([("h",)], "label string")
+    args = (str(tmp_path / "in"), published, heldout, str(tmp_path / "out"))
+    folders = lambda: sorted(int(p.name[6:]) for p in (tmp_path / "out").glob("query=*/batch=*"))
+    added = lambda: sorted((r.text, r.split) for r in jobs.read_increment(spark, args[3]).collect())
+
+    def arrive(i, cp="cp"):
+        rows = [(f"t{i}", ["a"], ["b"], "m"), ("both", ["a"], ["b"], "m"), ("held", ["h"], ["b"], "m")]
+        spark.createDataFrame(rows, jobs.INCREMENT_SCHEMA).write.mode("append").json(args[0])
+        jobs.stream_increment(spark, *args, str(tmp_path / cp), 1).awaitTermination()
+
+    for i in range(2):
+        arrive(i)
+    want = added()
+    assert want == [("both", "train"), ("held", "test"), ("t0", "train"), ("t1", "train")]
+    n = len(folders())
+    (query,) = (tmp_path / "out").glob("query=*")
+    # What a fold that died left behind does not count, and does not stop the next.
+    shutil.copytree(query / "batch=0", query / f"batch={-n}")
+    (query / f"batch={-n}" / "_SUCCESS").unlink()
+    assert added() == want
+    shutil.copytree(query / "batch=0", tmp_path / "first")
+    assert jobs.fold_increment(spark, args[3]) == n and folders() == [-n] and added() == want
+    assert jobs.fold_increment(spark, args[3]) == 0 and added() == want
+    # Folded batches that are there again are not counted twice.
+    shutil.copytree(tmp_path / "first", query / "batch=0")
+    assert added() == want
+    arrive(2)
+    want = sorted([*want, ("t2", "train")])
+    assert added() == want
+    jobs.fold_increment(spark, args[3])
+    assert added() == want and len(folders()) == 1 and folders()[0] < -n
+    # Another query finds the folded rows.
+    jobs.stream_increment(spark, *args, str(tmp_path / "cp2"), 100).awaitTermination()
+    assert added() == want
+
+
 def test_audits_run(spark, sf_dir):
     e = fx.examples(spark, sf_dir)
     from checks.queries import QUERIES
