@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types
 
 from lexloom.functions import text as T
 from lexloom.functions.columns import count_if, let, long_sum, no_strings, ratio
@@ -13,10 +14,16 @@ from lexloom.operators.scan import is_vocabulary, join_vocabulary, null_safe_joi
 from lexloom.session import materialise
 from lexloom.vocab import STOPWORDS
 
+if TYPE_CHECKING:
+    import pyarrow as pa
+
 GROUP_LIMIT = 1_000  # up to so many rows a group, Spark limits groups before it shuffles them
 TIED = 100_000  # words of one count that one task puts in order, at most, if k is small
 MIN_SLOTS = 65_536  # hash slots that n-grams of a group are added up in, at least
 MAX_SLOTS = 200_000  # slots, with their group, that are sent to every task
+PIECE = 8_000_000  # bytes of lines whose n-grams are added up at once, before they are sent on
+PIECE_WORDS = 1 << 21  # words of a line whose n-grams are added up at once
+BATCH_ROWS = 50_000  # n-grams handed back to Spark at once
 CHUNK = 10_000  # neighbouring texts ranked together when n-grams may cross text ends
 
 
@@ -226,13 +233,66 @@ def quality_by_genre(df: DataFrame, genres: DataFrame, by: str = "genre") -> Dat
     return flag_new(means, genres, by).orderBy("flesch_kincaid", by)
 
 
-def _ngrams_of(tokens: Column, n: int) -> Column:
-    """All n-grams of a token array: the array zipped with itself shifted by 1 .. n-1."""
-    count = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
-    grams = F.slice(tokens, F.lit(1), count)
-    for shift in range(1, n):
-        grams = F.zip_with(grams, F.slice(tokens, F.lit(shift + 1), count), lambda a, b: F.concat(a, F.lit(" "), b))
-    return grams
+def _counted(n: int):
+    """For mapInArrow: (groups, line) to (groups, ngram, n), added up over pieces of neighbouring lines.
+
+    Words of a piece become numbers, an n-gram one number of its group and words, and equal
+    numbers are counted. A line longer than a piece is counted by runs of PIECE_WORDS words.
+    """
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def numbers(column) -> tuple:
+            found = column.dictionary_encode("encode")
+            return found.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(found.dictionary)
+
+        def pieces() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                batch = batch.filter(pc.not_equal(batch["line"], ""))
+                ends, start = np.cumsum(pc.binary_length(batch["line"]).to_numpy(), dtype=np.int64), 0
+                while start < len(batch):
+                    done = ends[start - 1] if start else 0
+                    stop = max(start + 1, int(ends.searchsorted(done + PIECE, "right")))
+                    yield batch.slice(start, stop - start)
+                    start = stop
+
+        for batch in pieces():
+            *groups, lines = batch.columns
+            words = pc.split_pattern(lines, " ")
+            row = pc.list_parent_indices(words).to_numpy().astype(np.int64)
+            words = words.flatten()
+            group, size = np.zeros(len(batch), np.int64), 1
+            for column in groups:
+                if pa.types.is_nested(column.type):  # rows apart are added up later
+                    group, size = np.arange(len(batch)), len(batch)
+                    break
+                ids, kinds = numbers(column)
+                group, size = np.unique(group * kinds + ids, return_inverse=True)[1], min(size * kinds, len(batch))
+            for start in range(0, len(words) - n + 1, PIECE_WORDS):
+                part = words.slice(start, PIECE_WORDS + n - 1)
+                ids, kinds = numbers(part)
+                at = np.arange(len(part) - n + 1)
+                at = at[row[start + at] == row[start + at + n - 1]]
+                code, bound = group[row[start + at]], size
+                for shift in range(n):
+                    if bound * kinds >= 1 << 62:
+                        code, bound = np.unique(code, return_inverse=True)[1], len(code)
+                    code, bound = code * kinds + ids[at + shift], bound * kinds
+                _, first, total = np.unique(code, return_index=True, return_counts=True)
+                at = at[first]
+                grams = pc.binary_join_element_wise(*[part.take(pa.array(at + i)) for i in range(n)], " ")
+                of = pa.array(row[start + at])
+                found = pa.RecordBatch.from_arrays(
+                    [*[c.take(of) for c in groups], grams, pa.array(total, pa.int64())],
+                    names=[*batch.schema.names[:-1], "ngram", "n"],
+                )
+                for low in range(0, len(found), BATCH_ROWS):
+                    yield found.slice(low, BATCH_ROWS)
+
+    return count
 
 
 def ngrams(
@@ -250,36 +310,44 @@ def ngrams(
     each text, so whole texts are never sorted. Texts are cut into words once, and the
     words stored as a line each; n-grams and outer words are read off the lines.
     """
-    grams = _ngram_rows(df, n, by, stopwords, across_texts, key, False)
-    return grams.groupBy(*by, "ngram").agg(F.count("*").alias("n"))
+    return _add_up(_ngram_rows(df, n, by, stopwords, across_texts, key, False), [*by, "ngram"])
+
+
+def _add_up(rows: DataFrame, at: Sequence[str]) -> DataFrame:
+    """Totals of `n` of rows that are mostly distinct and were added up before, where none comes very often.
+
+    Tasks add up once rows have met and not before, as most of what they hold would be kept
+    and spilled for little. A hash leads the key: where a task has to sort, it settles the order.
+    """
+    met = rows.repartition(*at).withColumn("_hash", F.xxhash64(*at))
+    return met.groupBy("_hash", *at).agg(F.sum("n").alias("n")).drop("_hash")
 
 
 def _ngram_rows(
     df: DataFrame, n: int, by: Sequence[str], stopwords: Sequence[str] | None, across_texts: bool, key: str | None,
     again: bool,
 ) -> DataFrame:
-    """A row for each n-gram; with `again`, words and what crosses text ends are stored for several readings."""
+    """n-grams with a count each, added up within pieces of a task; with `again`, what they are read off is stored."""
     tokens = content_tokens(T.tokens(F.col("text")), stopwords)
     across = across_texts and n > 1
-    # Exploding a named column would let the optimizer build it a second time for a filter.
-    if not across and not again:
-        return df.select(*by, F.explode(let(tokens, lambda t: _ngrams_of(t, n))).alias("ngram"))
     kept = [*by, key] if across else by
-    lines = materialise(df.select(*kept, F.array_join(tokens, " ").alias("line")).where(F.col("line") != ""))
-    grams = lines.select(*by, F.explode(let(F.split("line", " "), lambda t: _ngrams_of(t, n))).alias("ngram"))
-    if not across:
-        return grams
-    edges = materialise(
-        lines.select(
-            *by,
-            key,
-            F.split(F.substring_index("line", " ", n - 1), " ").alias("head"),
-            F.split(F.substring_index("line", " ", 1 - n), " ").alias("tail"),
-            F.lit(1).cast("bigint").alias("one"),
+    lines = df.select(*kept, F.array_join(tokens, " ").alias("line"))
+    if across or again:
+        lines = materialise(lines.where(F.col("line") != ""))
+    if across:
+        edges = materialise(
+            lines.select(
+                *by,
+                key,
+                F.split(F.substring_index("line", " ", n - 1), " ").alias("head"),
+                F.split(F.substring_index("line", " ", 1 - n), " ").alias("tail"),
+                F.lit(1).cast("bigint").alias("one"),
+            )
         )
-    )
-    crossing = _crossing_ngrams(edges, n, by, key)
-    return grams.unionByName(materialise(crossing) if again else crossing)
+        crossing = _crossing_lines(edges, n, by, key)
+        lines = lines.select(*by, "line").unionByName(materialise(crossing) if again else crossing)
+    schema = types.StructType([*lines.select(*by).schema, types.StructField("ngram", types.StringType()), types.StructField("n", types.LongType())])
+    return lines.mapInArrow(_counted(n), schema)
 
 
 def frequent_ngrams(
@@ -305,7 +373,7 @@ def frequent_ngrams(
     slots = slots or max(MIN_SLOTS, 64 * k)
     rows = _ngram_rows(df, n, by, stopwords, across_texts, key, True)
     rows = rows.withColumn("_slot", F.pmod(F.xxhash64("ngram"), F.lit(slots)).cast("int"))
-    totals = materialise(rows.groupBy(*by, "_slot").agg(F.count("*").alias("total")))
+    totals = materialise(rows.groupBy(*by, "_slot").agg(F.sum("n").alias("total")))
     fullest = _kth(totals, "total", by, 2 * k).withColumnRenamed("kth", "_from")
     bounded = materialise(_with_bound(totals, fullest, by).fillna(0, ["_from"]))
     counted = _count_slots(rows, bounded.where(F.col("total") >= F.col("_from")), by)
@@ -342,13 +410,13 @@ def _count_slots(rows: DataFrame, slots: DataFrame, by: Sequence[str]) -> DataFr
     at = [*by, "_slot"]
     if chosen.limit(MAX_SLOTS + 1).count() <= MAX_SLOTS:
         rows = null_safe_join(rows, F.broadcast(chosen), at, "left_semi")
-        return materialise(rows.groupBy(*by, "ngram").agg(F.count("*").alias("n")))
-    every = rows.groupBy(*at, "ngram").agg(F.count("*").alias("n"))
+        return materialise(rows.groupBy(*by, "ngram").agg(F.sum("n").alias("n")))
+    every = _add_up(rows, [*at, "ngram"])
     return materialise(null_safe_join(every, chosen, at, "left_semi").drop("_slot"))
 
 
-def _crossing_ngrams(edges: DataFrame, n: int, by: Sequence[str], key: str) -> DataFrame:
-    """n-grams that start in one text and end in a later one, from the outer words of each."""
+def _crossing_lines(edges: DataFrame, n: int, by: Sequence[str], key: str) -> DataFrame:
+    """The last n-1 words of each text and the n-1 that follow, whose n-grams are those that run over its end."""
     ranked = prefix_sum(edges, key, ["one"], by).withColumn("place", F.col("one_before"))
     # Each chunk also receives the first n-1 texts of the next one, marked as copies.
     chunk = F.floor(F.col("place") / CHUNK)
@@ -361,12 +429,8 @@ def _crossing_ngrams(edges: DataFrame, n: int, by: Sequence[str], key: str) -> D
     sent = ranked.select(*by, "place", "head", "tail", F.inline(F.when(early, both).otherwise(homes)))
     w = Window.partitionBy(*by, "chunk").orderBy("place")
     following = F.flatten(F.array_compact(F.array(*[F.lead("head", i).over(w) for i in range(1, n)])))
-    joined = sent.withColumn("following", following).where(~F.col("copy")).select(
-        *by,
-        F.size("tail").alias("n_tail"),
-        F.concat("tail", F.slice("following", 1, n - 1)).alias("run"),
-    )
-    return joined.select(*by, F.explode(F.slice(_ngrams_of(F.col("run"), n), F.lit(1), F.col("n_tail"))).alias("ngram"))
+    joined = sent.withColumn("following", following).where(~F.col("copy"))
+    return joined.select(*by, F.array_join(F.concat("tail", F.slice("following", 1, n - 1)), " ").alias("line"))
 
 
 def top_ngrams(counts: DataFrame, by: Sequence[str] = (), k: int = 20) -> DataFrame:

@@ -55,6 +55,34 @@ def test_ngrams_within_texts(corpus):
     assert got == want
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 6])
+def test_ngrams_of_small_pieces(spark, monkeypatch, n):
+    """Lines cut into runs of words, groups that are null, missing or nested, texts that come twice."""
+    monkeypatch.setattr(lexical, "PIECE", 40)
+    monkeypatch.setattr(lexical, "PIECE_WORDS", 3)
+    monkeypatch.setattr(lexical, "BATCH_ROWS", 2)
+    texts = [*TINY, None, "a b a b a b a b c", "a b a b a b a b c"]
+    data = [(t, None if i % 3 == 2 else f"g{i % 3}", (i % 2,)) for i, t in enumerate(texts * 4)]
+    df = spark.createDataFrame(data, "text string, g string, s struct<x int>").repartition(3)
+    for by, at in (["g"], lambda r: r[1]), (["s"], lambda r: r[2]), (["g", "s"], lambda r: (r[1], r[2])):
+        want = Counter()
+        for r in data:
+            words = tok(r[0] or "")
+            want.update((at(r), " ".join(words[i : i + n])) for i in range(len(words) - n + 1))
+        rows = lexical.ngrams(df, n, by, None).collect()
+        got = {(tuple(r[c] for c in by) if len(by) > 1 else r[by[0]], r.ngram): r.n for r in rows}
+        assert len(rows) == len(got) and got == want
+
+
+def test_complete_ngrams_are_not_added_up_by_a_table_before_they_meet(corpus):
+    """Before the exchange a table of nearly all n-grams of a task would be spilled and sorted."""
+    grams = lexical.ngrams(corpus[0], 3, ["g"], None, across_texts=True, key="id")
+    plan = grams._jdf.queryExecution().executedPlan().toString()
+    met = plan.index("Exchange hashpartitioning(g")
+    assert "HashAggregate" in plan[:met] and "MapInArrow" in plan[met:]
+    assert "HashAggregate" not in plan[met : plan.index("MapInArrow")]
+
+
 def counted_ngrams(data, n):
     want = Counter()
     for _, t, g in data:
